@@ -15,6 +15,7 @@ under a temporary name and then renamed; a retried task writes the same bytes.
 from __future__ import annotations
 
 import itertools
+import re
 import struct
 import uuid
 import zlib
@@ -32,7 +33,7 @@ MAGIC = b"GZDAC001"
 CHUNK_BITS = 8
 RANK_BLOCK = 512
 #: Tokens after which a task closes a file and begins the next (bounds its memory).
-FILE_TOKENS = 4_000_000
+FILE_TOKENS = 2_000_000
 END_ID = 2
 
 
@@ -129,23 +130,48 @@ class TokenFile:
 # ------------------------------------------------------- encoding whole texts
 
 
+#: Parts whose normal form and pre-tokens are known without the library: printable ASCII and the letters À to ÿ.
+_PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]*")
+#: The tokenizer's own pre-token pattern over the lower-cased plain characters.
+_PRETOKEN = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[!-/:-@\[-`{-~]+")
+
+
+def byte_letters() -> dict[int, str]:
+    """The character that stands for each byte in a byte-level vocabulary."""
+    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    spare = itertools.count(256)
+    return {b: chr(b if b in own else next(spare)) for b in range(256)}
+
+
 def word_encoder(tokenizer_path: str) -> Callable[[list[bytes]], list[bytes]]:
     """Encodes texts with the tokenizers library to little-endian unsigned 32-bit ids.
 
     This tokenizer never joins anything across a space or a line end (its pre-tokenizer
     drops white space and neither composition nor lower-casing looks across it), so a text's
     ids are those of its parts between spaces and line ends, and each different part
-    is encoded once.
+    is encoded once. A part of plain characters is in normal form but for its case; its
+    pre-tokens go to the library's model one by one. Other parts, and those in which a special token
+    may begin, go through the whole library.
     """
     from tokenizers import Tokenizer
 
     library = Tokenizer.from_file(tokenizer_path)
+    model, letters = library.model, {i: c for i, c in byte_letters().items() if i > 127}
+
+    def encode_pretokens(words: list[str]) -> list[bytes]:
+        spelled = [w if w.isascii() else "".join(letters.get(b) or chr(b) for b in w.encode()) for w in words]
+        return [np.array([t.id for t in model.tokenize(w)], "<u4").tobytes() for w in spelled]
+
+    pretokens = WordCache(encode_pretokens, 150_000)
 
     def encode_parts(parts: list[bytes]) -> list[bytes]:
-        found = library.encode_batch_fast([x.decode() for x in parts], add_special_tokens=False)
-        return [np.array(x.ids, "<u4").tobytes() for x in found]
+        texts = [x.decode() for x in parts]
+        split = [_PRETOKEN.findall(x.lower()) if _PLAIN.fullmatch(x) and "<|" not in x else None for x in texts]
+        pretokens.fill(set(itertools.chain.from_iterable(x for x in split if x)))
+        odd = iter(library.encode_batch_fast([t for t, x in zip(texts, split, strict=True) if x is None], add_special_tokens=False))
+        return [np.array(next(odd).ids, "<u4").tobytes() if x is None else b"".join(map(pretokens.__getitem__, x)) for x in split]
 
-    cache = WordCache(encode_parts)
+    cache = WordCache(encode_parts, 250_000)
     lines = bytes.maketrans(b"\n", b" ")
 
     def encode(texts: list[bytes]) -> list[bytes]:

@@ -8,6 +8,7 @@ import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -56,7 +57,7 @@ def utf8(column: pa.Array) -> list[bytes]:
 def chunks(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
     """Cuts Arrow batches so that each piece holds about CHUNK_BYTES of text (a text stays whole)."""
     for batch in batches:
-        sizes = [len(x) for x in utf8(batch.column(column))] if batch.num_rows else []
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
         at = 0
         while at < batch.num_rows:
             end, total = at, 0
@@ -81,9 +82,11 @@ class WordCache(dict):
         self.make, self.limit = make, limit
 
     def fill(self, words: set[bytes]) -> None:
-        """Makes the missing values in one call."""
+        """Makes the missing values in one call. Past the limit only the values of these words stay."""
         if len(self) + len(words) > self.limit:
+            kept = {w: self[w] for w in words if w in self}
             self.clear()
+            self.update(kept)
         missing = [w for w in words if w not in self]
         if missing:
             self.update(zip(missing, self.make(missing), strict=True))
