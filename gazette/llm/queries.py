@@ -2,10 +2,18 @@
 
 from __future__ import annotations
 
+from gazette.llm.op1_sharding import op1_sharding
+from gazette.llm.op2_decontaminate import op2_decontaminate
+from gazette.llm.op4_pieces import op4_pieces
+from gazette.llm import op7_quality as op7
 from gazette.llm.op9_token_files import op9_token_files
 
 QUERIES = {
+    "op1_sharding": op1_sharding,
+    "op2_decontaminate": op2_decontaminate,
+    "op4_pieces": op4_pieces,
+    "op7_quality": op7.op7_quality,
     "op9_token_files": op9_token_files,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op7_quality": op7.ORACLE}
