@@ -269,17 +269,22 @@ def near_duplicates(df: DataFrame) -> DataFrame:
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
 
 
-def keep_first(df: DataFrame) -> DataFrame:
-    """df's rows without those that are near-duplicates of a smaller doc_id.
+def without_ids(df: DataFrame, ids: DataFrame) -> DataFrame:
+    """df without the rows whose doc_id is in ids(doc_id).
 
-    Most rows pass on a filter of the dropped ids alone and are never shuffled.
+    Most rows pass on a filter of the ids alone and are never shuffled.
     """
-    dropped = materialize(near_duplicates(df).where("not kept").select("doc_id").distinct(), "dropped")
+    dropped = materialize(ids.select(F.col("doc_id").cast("long").alias("doc_id")).distinct(), "dropped")
     bits = id_filter(dropped)
     maybe = prune(df, bits, True)
     return prune(df, bits, False).unionByName(maybe.join(dropped.withColumnRenamed("doc_id", "_dropped"), F.col("doc_id").eqNullSafe(F.col("_dropped")), "left_anti"))
 
 
+def keep_first(df: DataFrame) -> DataFrame:
+    """df's rows without those that are near-duplicates of a smaller doc_id."""
+    return without_ids(df, near_duplicates(df).where("not kept"))
+
+
 def op3_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents."""
     return near_duplicates(table(spark, sf_dir, "documents"))

@@ -147,8 +147,13 @@ def judge(df: DataFrame, at: str = "_quality", sample_rows: int = SAMPLE_ROWS) -
 
 
 def keep_good(df: DataFrame) -> DataFrame:
-    """The rows that pass, with df's columns."""
-    return judge(df).where("_quality.kept").select(*df.columns)
+    """The rows that pass, with df's columns.
+
+    A filter right on the verdict would be pushed below the features, with a copy of them at each
+    place that reads one. Spark pushes none below a row number.
+    """
+    numbered = judge(df).withColumn("_quality_row", F.monotonically_increasing_id())
+    return numbered.where("_quality.kept and _quality_row >= 0").select(*df.columns)
 
 
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
