@@ -17,7 +17,8 @@ Documents of equal sets are one node, so exact copies cost nothing. Then
    (the original of a group, as a rule), and these pairs are confirmed on the full sets;
 2. components of the confirmed links;
 3. only keys that still hold several components are left. A shingle that no other of their nodes has can't
-   be in an intersection, which bounds the similarity of a node to any other;
+   be in an intersection, and what two nodes share inside their leader's set is at most what either has in common
+   with the leader; both bound the similarity of a node to another;
    pairs of different components within the bound are confirmed on the full sets, and join components.
 
 A pair inside one component needs no test, so no group's pairs are ever all made.
@@ -188,13 +189,12 @@ def full_sets(df: DataFrame, needed: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- the join
 
 
-def confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) that are links, on their full sets."""
+def compare(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """a, b, common (elements of both full sets), linked of each pair (a, b)."""
     one = pairs.join(sets, pairs.b == sets.node).select("a", "b", F.col("shingles").alias("other"))
     both = one.join(sets, one.a == sets.node)
-    shared = F.size(F.array_intersect("shingles", "other"))
-    union = F.size("shingles") + F.size("other") - shared
-    return both.where(100 * shared >= PERCENT * union).select("a", "b").distinct()
+    counted = both.select("a", "b", F.size(F.array_intersect("shingles", "other")).alias("common"), (F.size("shingles") + F.size("other")).alias("total"))
+    return counted.select("a", "b", "common", (100 * F.col("common") >= PERCENT * (F.col("total") - F.col("common"))).alias("linked"))
 
 
 def may_link(shared, n_a, n_b):
@@ -202,13 +202,17 @@ def may_link(shared, n_a, n_b):
     return 100 * shared >= PERCENT * (n_a + n_b - shared)
 
 
-def star_pairs(members: DataFrame) -> DataFrame:
-    """(leader, node) for every key's nodes. members: key, node, n_shingles, n (nodes of the key)."""
+def with_leaders(members: DataFrame) -> DataFrame:
+    """Adds each key's leader and its set's size. members: key, node, n_shingles, n (nodes of the key)."""
     scored = members.join(members.groupBy("node").agg(F.sum("n").alias("score")), "node")
     leaders = scored.groupBy("key").agg(F.max(F.struct("score", "node", "n_shingles")).alias("top"))
-    both = scored.join(leaders, "key").where(F.col("node") != F.col("top.node"))
-    able = may_link(F.least("n_shingles", "top.n_shingles"), F.col("n_shingles"), F.col("top.n_shingles"))
-    return both.where(able).select(F.col("top.node").alias("a"), F.col("node").alias("b")).distinct()
+    return members.join(leaders, "key").select("key", "node", "n_shingles", F.col("top.node").alias("leader"), F.col("top.n_shingles").alias("n_leader"))
+
+
+def star_pairs(led: DataFrame) -> DataFrame:
+    """(leader, node) for every key's nodes."""
+    able = may_link(F.least("n_shingles", "n_leader"), F.col("n_shingles"), F.col("n_leader"))
+    return led.where((F.col("node") != F.col("leader")) & able).select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
 
 
 def several(rows: DataFrame) -> DataFrame:
@@ -217,25 +221,39 @@ def several(rows: DataFrame) -> DataFrame:
     return rows.join(keys.select("key"), "key")
 
 
-def cross_pairs(members: DataFrame, found: DataFrame, sets: DataFrame) -> DataFrame:
-    """Pairs (a, b) of different components (ca, cb) that share a key and aren't ruled out by their sets' bounds."""
-    labelled = members.join(found, "node", "left").select("key", "node", "n_shingles", F.coalesce("component", "node").alias("component"))
+def cross_pairs(led: DataFrame, tested: DataFrame, found: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs (a, b) of different components (ca, cb) that share a key and aren't ruled out by their sets' bounds.
+
+    What two nodes have in common lies inside their key's leader or outside. Inside it is no more than either has
+    in common with the leader (known from ``tested``), outside no more than either's shingles that any other node
+    here has. A node that was too far in size from the leader to be tested has the second bound on its whole set.
+    """
+    labelled = led.join(found, "node", "left").select("key", "node", "n_shingles", "leader", "n_leader", F.coalesce("component", "node").alias("component"))
     rows = materialize(several(labelled), "mixed")
     own = rows.select("node").distinct()
     shingles = sets.join(own, "node", "left_semi").select("node", F.explode("shingles").alias("shingle"))
     common = shingles.groupBy("shingle").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high")
     bound = shingles.join(common.select("shingle"), "shingle").groupBy("node").agg(F.count("*").alias("shared"))
     able = rows.join(bound, "node").where(may_link(F.col("shared"), F.col("n_shingles"), F.col("shared")))
-    rest = materialize(several(able), "mixed_able")
-    # A key's largest component is only paired with the others, never with itself.
-    sizes = rest.groupBy("key", "component").agg(F.count("*").alias("n"))
-    largest = sizes.groupBy("key").agg(F.max(F.struct("n", "component")).getField("component").alias("largest"))
-    marked = rest.join(largest, "key")
-    a = marked.where("component <> largest").select("key", *[F.col(c).alias(f"{c}_a") for c in ("node", "component", "n_shingles", "shared")])
-    b = marked.select("key", "largest", *[F.col(c).alias(f"{c}_b") for c in ("node", "component", "n_shingles", "shared")])
+    common_with = tested.select(F.col("a").alias("leader"), F.col("b").alias("node"), "common")
+    inside = F.when(F.col("node") == F.col("leader"), F.col("n_leader")).otherwise(F.col("common"))
+    able = able.join(common_with, ["leader", "node"], "left").withColumn("inside", inside.cast("long")).drop("n_leader", "common")
+    # One row a leader and node, so that a pair with many keys in common is made once and not for each.
+    carried = ("node", "component", "n_shingles", "shared", "inside")
+    rest = materialize(several(able).groupBy("leader", *carried).agg(F.collect_set("key").alias("keys")), "mixed_able")
+    # A leader's largest component is only paired with the others, never with itself.
+    sizes = rest.groupBy("leader", "component").agg(F.count("*").alias("n"))
+    largest = sizes.groupBy("leader").agg(F.max(F.struct("n", "component")).getField("component").alias("largest"))
+    marked = rest.join(largest, "leader")
+    a = marked.where("component <> largest").select("leader", *[F.col(c).alias(f"{c}_a") for c in (*carried, "keys")])
+    b = marked.select("leader", "largest", *[F.col(c).alias(f"{c}_b") for c in (*carried, "keys")])
     each_once = (F.col("component_b") == F.col("largest")) | (F.col("node_a") < F.col("node_b"))
-    within = may_link(F.least("shared_a", "shared_b"), F.col("n_shingles_a"), F.col("n_shingles_b"))
-    pairs = a.join(b, "key").where((F.col("component_a") != F.col("component_b")) & each_once & within)
+    outside = F.least(F.col("shared_a") - F.col("inside_a"), F.col("shared_b") - F.col("inside_b"))
+    most = F.least("shared_a", "shared_b", F.least("inside_a", "inside_b") + outside)
+    # least() skips nulls; the bound holds only if both were tested.
+    most = F.when(F.col("inside_a").isNull() | F.col("inside_b").isNull(), F.least("shared_a", "shared_b")).otherwise(most)
+    within = may_link(most, F.col("n_shingles_a"), F.col("n_shingles_b"))
+    pairs = a.join(b, "leader").where((F.col("component_a") != F.col("component_b")) & each_once & within & F.arrays_overlap("keys_a", "keys_b"))
     return pairs.select(F.col("node_a").alias("a"), F.col("node_b").alias("b"), F.col("component_a").alias("ca"), F.col("component_b").alias("cb")).distinct()
 
 
@@ -251,12 +269,13 @@ def near_duplicates(df: DataFrame) -> DataFrame:
     classes = materialize(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
     probes = classes.select("node", "n_shingles", F.explode("keys").alias("key"))
     shared = probes.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    members = materialize(probes.join(shared, "key"), "members")
+    members = materialize(with_leaders(materialize(probes.join(shared, "key"), "members")), "led_members")
     needed = classes.select("first_doc", "digest", "node").join(members.select("node").distinct(), "node", "left_semi")
     sets = materialize(full_sets(df, needed), "sets")
-    found = components(confirm(star_pairs(members), sets))
-    pairs = materialize(cross_pairs(members, found, sets), "cross")
-    links = confirm(pairs.select("a", "b"), sets).join(pairs, ["a", "b"]).select(F.col("ca").alias("a"), F.col("cb").alias("b"))
+    tested = materialize(compare(star_pairs(members), sets), "tested")
+    found = components(tested.where("linked"))
+    pairs = materialize(cross_pairs(members, tested, found, sets), "cross")
+    links = compare(pairs.select("a", "b"), sets).where("linked").join(pairs, ["a", "b"]).select(F.col("ca").alias("a"), F.col("cb").alias("b"))
     wider = components(links).select(F.col("node").alias("component"), F.col("component").alias("wide"))
     nodes = found.unionByName(wider.select(F.col("component").alias("node"), "component").join(found, "node", "left_anti"))
     nodes = nodes.join(wider, "component", "left").select("node", F.coalesce("wide", "component").alias("component"))
