@@ -14,6 +14,7 @@ sentencepiece library, and any difference stops the job.
 
 from __future__ import annotations
 
+import functools
 import heapq
 import itertools
 import re
@@ -186,6 +187,12 @@ class PieceCodec:
         return out
 
 
+@functools.lru_cache(1)
+def codec_of_worker(model_path: str, check: bool) -> PieceCodec:
+    """One codec for all tasks of a Python worker, so that its parts are made once; PieceCodec bounds them."""
+    return PieceCodec(model_path, check)
+
+
 def encode_decode(df: DataFrame, model_path: str, check: bool = True) -> DataFrame:
     """Adds n_tokens long, ids string (decimal, one space between, end id last) and decoded string.
 
@@ -195,7 +202,7 @@ def encode_decode(df: DataFrame, model_path: str, check: bool = True) -> DataFra
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = PieceCodec(model_path, check)
+        codec = codec_of_worker(model_path, check)
         for piece, texts in chunks(batches):
             made = codec.encode(texts)
             yield pa.RecordBatch.from_pydict(

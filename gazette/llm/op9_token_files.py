@@ -14,6 +14,7 @@ under a temporary name and then renamed; a retried task writes the same bytes.
 
 from __future__ import annotations
 
+import functools
 import itertools
 import re
 import struct
@@ -143,13 +144,14 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b if b in own else next(spare)) for b in range(256)}
 
 
+@functools.lru_cache(1)
 def word_encoder(tokenizer_path: str) -> Callable[[list[bytes]], list[bytes]]:
     """Encodes texts with the tokenizers library to little-endian unsigned 32-bit ids.
 
     This tokenizer never joins anything across a space or a line end (its pre-tokenizer
     drops white space and neither composition nor lower-casing looks across it), so a text's
     ids are those of its parts between spaces and line ends, and each different part
-    is encoded once. A part of plain characters is in normal form but for its case; its
+    is encoded once by a Python worker, over all its tasks. A part of plain characters is in normal form but for its case; its
     pre-tokens go to the library's model one by one. Other parts, and those in which a special token
     may begin, go through the whole library.
     """
