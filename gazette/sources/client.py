@@ -18,7 +18,7 @@ RETRIES, RETRY_BASE = 5, 3.0
 
 
 class ApiError(Exception):
-    """kind: daily_quota, rate, range, budget, http or other."""
+    """kind: daily_quota, rate, range, budget, truncated, http or other."""
 
     def __init__(self, kind: str, message: str):
         super().__init__(message)
@@ -97,9 +97,10 @@ class PagedClient:
         return found if isinstance(found, list) else [found] if found else []
 
     def scan(self, params: dict, max_pages: int = 200, known: Callable[[dict], bool] | None = None, min_pages: int = 0) -> Iterator[dict]:
-        """All records of a query, a page at a time: to an empty page, the total or max_pages.
+        """All records of a query, a page at a time: to an empty page or the total.
 
-        With ``known`` also to the first page after min_pages that holds nothing new.
+        With ``known`` also to the first page after min_pages that holds nothing new. Raises ApiError
+        ``truncated`` if max_pages end before that.
         """
         n = 0
         for page in range(1, max_pages + 1):
@@ -112,3 +113,4 @@ class PagedClient:
             fresh = known is None or any(not known(x) for x in found)
             if not found or n >= int(body.get("totalCount") or 0) or (page >= min_pages and not fresh):
                 return
+        raise ApiError("truncated", f"{n} records in {max_pages} pages, more are left")
