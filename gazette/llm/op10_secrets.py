@@ -1,7 +1,7 @@
 """Secret scans: pattern candidates, and a random forest that removes false positives.
 
-1. Candidates are runs of key characters that may be a secret: long runs with a digit, values assigned
-   to a name, and private key blocks.
+1. Candidates are what may be a secret: long runs of key characters with a digit, values assigned to a
+   name, quoted values, what follows a word like 'password', passwords in URLs, and private key blocks.
 2. Each gets features: length, character classes, transitions between characters (mean log probability
    under a bigram model of dictionary words, and changes of class), the share that dictionary words cover, words
    before and after it, the name it is assigned to, and its path.
@@ -23,6 +23,7 @@ import re
 import string
 import uuid
 import zlib
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -46,10 +47,26 @@ CONTEXT = 48
 REDACTED = "[SECRET]"
 
 _RUN = rb"[A-Za-z0-9+/=_\-.~]"
-_CANDIDATE = re.compile(
-    rb"(?P<block>-----BEGIN [A-Z ]*PRIVATE KEY-----[^-]*(?:-----END [A-Z ]*PRIVATE KEY-----)?)"
-    rb"|(?<![A-Za-z0-9+/=_\-.~@])(?P<run>" + _RUN + rb"{8,})(?![A-Za-z0-9+/=_\-.~@])"
+#: A private key up to its END line; one that is cut off, up to a dash.
+_BLOCK = re.compile(
+    rb"-----BEGIN [A-Z ]*PRIVATE KEY(?: BLOCK)?-----(?:(?:(?!-----BEGIN ).)*?-----END [A-Z ]*PRIVATE KEY(?: BLOCK)?-----|[^-]*)", re.S
 )
+_RUNS = re.compile(rb"(?<![A-Za-z0-9+/=_\-.~])" + _RUN + rb"{16,}")
+#: A password between a user and a host in a URL.
+_LOGIN = re.compile(rb"://[^\s:/@\"'`]*:([^\s/\"'`]+)@")
+_SIGN = re.compile(rb"[=:](?<![=!<>:][=:])[=>]?(?<!==)(?!=)")
+#: What is assigned: up to its quote, else to white space, a quote, or the next assignment after a separator.
+_VALUE = re.compile(
+    rb"\s*(?:bearer\s+|basic\s+)?"
+    rb"(?:\"([^\"\n]+)\"|'([^'\n]+)'|`([^`\n]+)`|[\"'`]?((?:(?![?&;,][A-Za-z_][A-Za-z0-9_.\-]*[=:])[^\s\"'`])+))",
+    re.I,
+)
+_NAME = re.compile(rb"([A-Za-z_][A-Za-z0-9_.\-]*)[\"']?\s*$")
+#: An assignment that begins a value.
+_INNER = re.compile(rb"\s*[A-Za-z_][A-Za-z0-9_.\-]*=[^\s=]")
+#: A quoted value without white space that nothing is assigned to.
+_QUOTED = re.compile(rb"[\"'`](?<![A-Za-z0-9].)([^\s\"'`]{8,})[\"'`]")
+_HOST = re.compile(rb"[A-Za-z0-9][A-Za-z0-9.\-]*(?:[:/].*)?")
 #: A name and an assignment sign right before a candidate.
 _ASSIGNED = re.compile(rb"([A-Za-z_][A-Za-z0-9_.\-]*)[\"']?\s*(?::=|=>|=|:)\s*(?:bearer\s+|basic\s+)?[\"'`]?$", re.I)
 _WORDS = re.compile(rb"[A-Za-z]+")
@@ -57,10 +74,13 @@ _WORDS = re.compile(rb"[A-Za-z]+")
 # Words and formats that speak for or against a secret.
 SECRET_WORDS = set("access api apikey auth authorization bearer client credential credentials key login pass passphrase passwd password private pwd pw secret signing token webhook".split())
 BENIGN_WORDS = set("author build checksum class color commit digest example file hash href icon id image img integrity isbn md5 order phone placeholder revision sample sha sha1 sha256 sha512 src style test tracking url uuid version".split())
+#: A value that a secret's word speaks of without an assignment; looked for in lower case.
+_TOLD = re.compile(rb"(?:" + "|".join(sorted(SECRET_WORDS, key=lambda w: (-len(w), w))).encode() + rb")\s+(?:is\s+|was\s+)?(?=([^\s\"'`=:][^\s\"'`]*[^\s\"'`.,;:)~\-]))")
 PLACEHOLDER_WORDS = set("changeme dummy example fake insert placeholder redacted replace sample some test todo xxx xxxx your".split())
 TEST_PATHS = set("demo doc docs example examples fixture fixtures mock mocks sample samples spec test tests vendor".split())
 CONFIG_PATHS = set("conf config credentials deploy env ini pem properties secrets settings terraform toml yaml yml".split())
 KNOWN_PREFIXES = ("AKIA", "ASIA", "AIza", "ghp_", "gho_", "ghs_", "github_pat_", "glpat-", "xoxb-", "xoxp-", "xoxa-", "sk_live_", "rk_live_", "pk_live_", "sk-", "SG.", "eyJ", "npm_", "pypi-", "dop_v1_", "hf_", "shpat_", "ya29.")
+_PREFIXES = tuple(x.encode() for x in KNOWN_PREFIXES)
 
 FEATURES = (
     "length", "digit_share", "upper_share", "lower_share", "symbol_share", "hex_only", "distinct_share", "entropy", "class_changes", "transition", "dictionary",
@@ -141,29 +161,87 @@ def describe(value: str, before: bytes, after: bytes, path: str, dictionary: Dic
     ]
 
 
-def candidates(text: bytes) -> Iterator[tuple[int, int]]:
-    """(begin, end) of the candidates in a text."""
-    for m in _CANDIDATE.finditer(text):
+def _runs(text: bytes) -> Iterator[tuple[int, int]]:
+    """(begin, end) of the runs of 16 key characters or more, digits and others or with a known prefix."""
+    for m in _RUNS.finditer(text):
         begin, end = m.span()
-        if m["block"] is None:
-            # Punctuation at the ends belongs to the sentence.
-            while end > begin and text[end - 1 : end] in (b".", b"-", b"~"):
+        # Punctuation at the ends belongs to the sentence.
+        while end > begin and text[end - 1 : end] in (b".", b"-", b"~"):
+            end -= 1
+        digits = sum(48 <= b <= 57 for b in text[begin:end])
+        if end - begin >= 16 and (0 < digits < end - begin or text.startswith(_PREFIXES, begin)):
+            yield begin, end
+
+
+def _assigned_values(text: bytes) -> Iterator[tuple[int, int, bool]]:
+    """(begin, end, whether the name speaks of a secret) of the values assigned to a name."""
+    at = 0
+    while sign := _SIGN.search(text, at):
+        at = sign.end()
+        # The name first: only then is a value read, and each once.
+        name = _NAME.search(text[max(0, sign.start() - CONTEXT) : sign.start()])
+        if name is None:
+            continue
+        secret = bool({x.decode().lower() for x in re.findall(rb"[A-Z]?[a-z0-9]+|[A-Z0-9]+", name[1])} & SECRET_WORDS)
+        if not secret and _INNER.match(text, at):
+            continue
+        m = _VALUE.match(text, at)
+        if m is None:
+            continue
+        begin, end = m.span(m.lastindex)
+        at = end
+        if m.lastindex == 4:
+            while end > begin and text[end - 1 : end] in (b".", b"-", b"~", b",", b";", b":", b")"):
                 end -= 1
-            value = text[begin:end]
-            if end - begin < 8:
-                continue
-            digits = sum(48 <= b <= 57 for b in value)
-            mixed = digits and digits < len(value)
-            before = text[max(0, begin - CONTEXT) : begin]
-            if not ((mixed and len(value) >= 16) or _ASSIGNED.search(before)):
-                continue
-        yield begin, end
+            host = text.rfind(b"@", begin, end)
+            if not secret and host > begin and _HOST.fullmatch(text, host + 1, end):
+                end = host
+        if end > begin:
+            yield begin, end, secret
+
+
+def candidates(text: bytes) -> list[tuple[int, int]]:
+    """(begin, end) of the candidates in a text, in order and apart: private keys, passwords in URLs, assigned values
+    of any characters and length, quoted ones without white space, what follows a secret's word, and long runs with a digit.
+
+    What several kinds hold is taken by the first. A value gives way to the long runs in it if its name doesn't
+    speak of a secret or it holds white space.
+    """
+    found = [m.span() for m in _BLOCK.finditer(text)] if b"PRIVATE KEY" in text else []
+    if b"://" in text:
+        found += [m.span(1) for m in _LOGIN.finditer(text)]
+    runs = list(_runs(text))
+    for a, b, secret in _assigned_values(text):
+        inner = runs[bisect_left(runs, (a,)) : bisect_left(runs, (b,))]
+        if not inner or (secret and len(text[a:b].split()) == 1):
+            found.append((a, b))
+    found += [m.span(1) for m in _QUOTED.finditer(text)]
+    found += [m.span(1) for m in _TOLD.finditer(text.lower())]
+    found += runs
+    out: list[tuple[int, int]] = []
+    for a, b in found:
+        i = bisect_left(out, (a, b))
+        if (i == 0 or out[i - 1][1] <= a) and (i == len(out) or out[i][0] >= b):
+            out.insert(i, (a, b))
+    return out
 
 
 def context(text: bytes, begin: int, end: int) -> tuple[bytes, bytes]:
     return text[max(0, begin - CONTEXT) : begin], text[end : end + CONTEXT]
 
 
+def seen(before: bytes, value: bytes, after: bytes) -> tuple[int, int] | None:
+    """The candidate of a text that holds most of a value in it; None: a scan sees none there."""
+    begin, end = len(before), len(before) + len(value)
+    held = [(min(b, end) - max(a, begin), a, b) for a, b in candidates(before + value + after)]
+    most = max(held, default=(0, 0, 0))
+    return most[1:] if most[0] > 0 else None
+
+
+def describe_in(text: bytes, span: tuple[int, int], path: str, dictionary: Dictionary) -> list[float]:
+    return describe(text[slice(*span)].decode(errors="replace"), *context(text, *span), path, dictionary)
+
+
 # ---------------------------------------------------------- labelled findings
 
 
@@ -191,6 +269,7 @@ def labelled_findings(n: int = TRAIN_FINDINGS, seed: int = SEED) -> list[tuple[s
         lambda: f"eyJ{pick(alnum, 30)}.eyJ{pick(alnum, 60)}.{pick(alnum + '_-', 43)}",
     ]
     passwords = [lambda: pick(alnum + "_-", rng.randrange(10, 18)), lambda: rng.choice(prose).title() + pick(string.digits, 4) + pick(alnum, 6)]
+    passwords += [lambda: pick(alnum + "@$!%&*#^?", rng.randrange(6, 18)), lambda: rng.choice(prose).title() + rng.choice("@$!#") + pick(alnum, rng.randrange(4, 8)) + pick(string.digits, 2), lambda: pick(string.ascii_lowercase, 3) + pick(string.digits, rng.randrange(3, 6))]
     words = "customer invoice delivery station mountain summer window market garden picture history science teacher program service".split()
     benign = [
         lambda: (rng.choice(["sha256", "checksum", "md5", "integrity", "digest"]) + rng.choice([": ", "=", " "]), pick(hexa, rng.choice([32, 40, 64]))),
@@ -206,6 +285,10 @@ def labelled_findings(n: int = TRAIN_FINDINGS, seed: int = SEED) -> list[tuple[s
         lambda: (filler() + " ", f"20{pick('012', 1)}{pick(string.digits, 1)}-0{rng.randrange(1, 10)}-{rng.randrange(10, 29)}T{rng.randrange(10, 24)}.{rng.randrange(10, 60)}"),
         lambda: (rng.choice(["note: ", "time: ", "see: ", "price: "]), rng.choice(words) + rng.choice(["", "-", "."]) + rng.choice(words)),
         lambda: (assign(["password", "token", "secret", "key"]), rng.choice(["required", "undefined", "optional", "disabled", "expired", "authentication", "management"])),
+        lambda: (rng.choice(["note: ", "time: ", "page: ", "count = ", "color=", "see: ", "at ", "x = ", "mailto:"]), rng.choice([pick(string.digits, rng.randrange(1, 5)), rng.choice(prose), rng.choice(words), f"{rng.randrange(24)}:{pick(string.digits, 2)}", f"({rng.choice(words)})"])),
+        lambda: (filler() + rng.choice([" ", ' "', " ("]), rng.choice(words) + rng.choice(["", ".", "_"]) + rng.choice(words + [""]) + pick(string.digits, rng.randrange(0, 4)) + f"@{rng.choice(words)}{pick(string.digits, 1)}.example.com"),
+        lambda: (filler() + rng.choice([" password ", " the token is ", " key ", " client ", " private ", " secret "]), rng.choice(prose + words) + rng.choice(["", "s", ",", "."])),
+        lambda: (rng.choice(['said: "', 'title = "', 'note: "']), " ".join(rng.choices(prose + words, k=rng.randrange(2, 12))) + '"'),
     ]
     out = []
     for i in range(n):
@@ -254,6 +337,8 @@ class Forest:
 def train(findings: DataFrame, dictionary: Dictionary, limit: int = TRAIN_FINDINGS) -> Forest:
     """A forest from findings(path, before, value, after, is_secret), at most ``limit`` of them by a hash of the row.
 
+    A finding is described as a scan would see it: by its candidate in the text. One without a candidate teaches nothing.
+
     The fitted model's node table has at most TREES * 2 ** (DEPTH + 1) rows.
     """
     spark = findings.sparkSession
@@ -262,8 +347,10 @@ def train(findings: DataFrame, dictionary: Dictionary, limit: int = TRAIN_FINDIN
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = [(r["value"] or "", (r["before"] or "").encode(), (r["after"] or "").encode(), r["path"] or "") for r in batch.to_pylist()]
-            made = [describe(v, b[-CONTEXT:], a[:CONTEXT], p, shared.value) if v else [0.0] * len(FEATURES) for v, b, a, p in rows]
-            yield pa.RecordBatch.from_pydict({"label": batch.column("is_secret").cast(pa.float64()), "x": pa.array(made, pa.list_(pa.float64()))})
+            spans = [seen(b, v.encode(), a) for v, b, a, _ in rows]
+            made = [describe_in(b + v.encode() + a, s, p, shared.value) for (v, b, a, p), s in zip(rows, spans, strict=True) if s]
+            labels = [float(y) for y, s in zip(batch.column("is_secret").to_pylist(), spans, strict=True) if s]
+            yield pa.RecordBatch.from_pydict({"label": pa.array(labels, pa.float64()), "x": pa.array(made, pa.list_(pa.float64()))})
 
     known = findings.where("value is not null and is_secret is not null").select("path", "before", "value", "after", "is_secret")
     chosen = known.orderBy(F.xxhash64("path", "before", "value", "after")).limit(limit)
@@ -317,7 +404,7 @@ def scan(df: DataFrame, forest: Forest, dictionary: Dictionary, path: str | None
         describe_one = lambda v, b, a, p: kept(v, b, a, p) if len(v) <= 256 else describe(v, b, a, p, dictionary)
         for piece, texts in chunks(batches):
             paths = [x or "" for x in piece.column(where).cast(pa.string()).to_pylist()] if where is not None else [""] * len(texts)
-            spans = [list(candidates(t)) for t in texts]
+            spans = [candidates(t) for t in texts]
             rows = [describe_one(t[a:b].decode(errors="replace"), *context(t, a, b), p) for t, s, p in zip(texts, spans, paths, strict=True) for a, b in s]
             scores = forest.score(np.array(rows)) if rows else np.zeros(0)
             n, found, redacted = 0, [], []
