@@ -84,13 +84,15 @@ def base_failed(f: str) -> Column:
 def default_rules(f: str) -> list[Rule]:
     """The rules over the struct column ``f`` of with_features."""
     g = lambda x: F.col(f"{f}.{x}")
-    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    # Over half of the letters of any script. A text that is half lower-case ASCII can't be, and is told without a regex.
+    letters, upper = (F.length(F.regexp_replace(g("text"), x, "")) for x in (r"\P{L}+", r"\P{Lu}+"))
+    shouting = F.when(2 * n_of(g("text"), "abcdefghijklmnopqrstuvwxyz") >= g("word_chars"), F.lit(False)).otherwise(2 * upper > letters)
     ends = F.size(F.filter(g("lines"), lambda x: x.endswith("...") | x.endswith("…")))
     return [
         Rule("symbols", 10 * g("n_symbols") > g("n_words")),
         Rule("repeated_lines", 2 * g("n_dup_lines") > F.size(g("lines"))),
         Rule("word_length", (g("word_chars") < 2 * g("n_words")) | (g("word_chars") > 12 * g("n_words"))),
-        Rule("shouting", n_of(g("text"), upper) > n_of(g("text"), lower)),
+        Rule("shouting", shouting),
         Rule("placeholder", F.lower(g("text")).contains("lorem ipsum")),
         Rule("cut_lines", 10 * ends > 3 * F.size(g("lines"))),
     ]

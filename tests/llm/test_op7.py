@@ -61,3 +61,14 @@ def test_query_as_sql(spark):
     con.execute(f"create view documents as select * from '{sf}/documents.parquet'")
     want = sorted(con.execute(f"select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept from ({m.ORACLE})").fetchall())
     assert sorted(map(tuple, m.op7_quality(spark, sf).collect())) == want
+
+
+def test_shouting_counts_letters_of_every_script(spark):
+    words = lambda x: " ".join(f"{x}{chr(0x3B1 + i % 20)}{chr(0x3B1 + i // 20)}" for i in range(60))
+    greek = words("λόγος")
+    hangul = " ".join(f"교육{chr(0xAC00 + i)}" for i in range(60))
+    arabic = " ".join(f"كتاب{chr(0x628 + i % 20)}{chr(0x628 + i // 20)}" for i in range(60))
+    kept = [greek + " API", hangul + " API USA", arabic + " API", greek.upper()[:3] + greek]
+    rejected = [greek.upper(), words("МОСКВА").upper(), " ".join(f"WORD{i}" for i in range(60))]
+    df = spark.createDataFrame(list(enumerate(kept + rejected)), "doc_id long, text string")
+    assert sorted(r.doc_id for r in m.keep_good(df).collect()) == list(range(len(kept)))
