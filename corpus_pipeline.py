@@ -4,7 +4,8 @@ Every stage takes (spark, docs, sf_dir) and returns a DataFrame; ``run`` writes
 folder and rereads it as the next stage's docs. All but the last return the columns of ``documents``.
 
 Rows are dropped by the first three stages: those that fail the quality rules, near-duplicates of a
-smaller doc_id that is in the corpus, and documents with a passage of the benchmark. The fourth
+smaller doc_id that is in the corpus, and documents with a passage of the benchmark. The last two
+decide by row, so null and repeated doc_ids drop no other rows; equal rows are near-duplicates. The fourth
 replaces secrets in the text and keeps every row. The last returns ids and the decoded text's digest.
 """
 
@@ -29,8 +30,9 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with an exact match of a benchmark window go."""
-    found = op2_decontaminate.find_contamination(docs, table(spark, sf_dir, "benchmark"), slop=0)
-    return op3_near_dup.without_ids(docs, found.where(F.size("hits") > 0))
+    rows = op3_near_dup.numbered(docs)
+    found = op2_decontaminate.find_contamination(op3_near_dup.by_row(rows), table(spark, sf_dir, "benchmark"), slop=0)
+    return op3_near_dup.without_rows(rows, found.where(F.size("hits") > 0).select(F.col("doc_id").alias(op3_near_dup.ROW)))
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -44,6 +44,8 @@ CHUNKS = 10
 SYMBOLS = 4 * CHUNKS
 #: Bits of the filter that prunes documents before a shuffle; what it lets through too much is dropped later.
 FILTER_BITS = 1 << 24
+#: The column of row numbers where documents are dropped by row.
+ROW = "_row"
 
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _RNG = np.random.default_rng(3)
@@ -155,13 +157,13 @@ def in_filter(bits: np.ndarray, ids: pa.Array) -> np.ndarray:
     return (bits[at >> 6] >> (at & 63)) & 1 == 1
 
 
-def prune(df: DataFrame, bits: np.ndarray, inside: bool) -> DataFrame:
-    """df's rows whose doc_id may be (or can't be) in the filter."""
+def prune(df: DataFrame, bits: np.ndarray, inside: bool, key: str = "doc_id") -> DataFrame:
+    """df's rows whose key may be (or can't be) in the filter."""
     shared = df.sparkSession.sparkContext.broadcast(bits)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield batch.filter(pa.array(in_filter(shared.value, batch.column("doc_id")) == inside))
+            yield batch.filter(pa.array(in_filter(shared.value, batch.column(key)) == inside))
 
     return df.mapInArrow(run, df.schema)
 
@@ -288,20 +290,41 @@ def near_duplicates(df: DataFrame) -> DataFrame:
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
 
 
-def without_ids(df: DataFrame, ids: DataFrame) -> DataFrame:
-    """df without the rows whose doc_id is in ids(doc_id).
+def numbered(df: DataFrame) -> DataFrame:
+    """df with a row number in ROW, stored, so that all who read it see the same: doc_ids may be null or repeated."""
+    if ROW in df.columns:
+        raise ValueError(f"{ROW} is a column already")
+    return materialize(df.withColumn(ROW, F.monotonically_increasing_id()), "numbered_rows")
 
-    Most rows pass on a filter of the ids alone and are never shuffled.
+
+def by_row(rows: DataFrame) -> DataFrame:
+    """The row numbers as doc_ids, and the texts."""
+    return rows.select(F.col(ROW).alias("doc_id"), "text")
+
+
+def without_rows(rows: DataFrame, dropped: DataFrame) -> DataFrame:
+    """A numbered table without the rows whose number is in dropped(ROW), and without the numbers.
+
+    Most rows pass on a filter of the numbers alone and are never shuffled.
     """
-    dropped = materialize(ids.select(F.col("doc_id").cast("long").alias("doc_id")).distinct(), "dropped")
+    dropped = materialize(dropped.select(ROW).distinct(), "dropped")
     bits = id_filter(dropped)
-    maybe = prune(df, bits, True)
-    return prune(df, bits, False).unionByName(maybe.join(dropped.withColumnRenamed("doc_id", "_dropped"), F.col("doc_id").eqNullSafe(F.col("_dropped")), "left_anti"))
+    maybe = prune(rows, bits, True, ROW)
+    return prune(rows, bits, False, ROW).unionByName(maybe.join(dropped, ROW, "left_anti")).drop(ROW)
 
 
 def keep_first(df: DataFrame) -> DataFrame:
-    """df's rows without those that are near-duplicates of a smaller doc_id."""
-    return without_ids(df, near_duplicates(df).where("not kept"))
+    """df's rows, of each near-duplicate component only the one with the smallest doc_id.
+
+    A null doc_id comes last; of rows with one doc_id in a component the first stays.
+    """
+    rows = numbered(df)
+    found = materialize(near_duplicates(by_row(rows)).where("not kept").select(F.col("doc_id").alias(ROW), "component_id"), "later_rows")
+    # A component's label is its first row, which is kept.
+    members = found.unionByName(found.select(F.col("component_id").alias(ROW), "component_id").distinct())
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", ROW)
+    chosen = members.join(rows.select(ROW, "doc_id"), ROW).groupBy("component_id").agg(F.min(order).getField(ROW).alias(ROW))
+    return without_rows(rows, members.join(chosen.select(ROW), ROW, "left_anti"))
 
 
 def op3_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -41,3 +41,18 @@ def test_stages_against_brute_force(spark, tmp_path):
         at = out
     assert p.run(spark, str(tmp_path)).count() == 13
     assert len(p.STAGES) == 5
+
+
+def test_null_and_repeated_ids_drop_by_row(spark, tmp_path):
+    rng = random.Random(6)
+    text = lambda n: " ".join(f"word{rng.randrange(3000)}a" for _ in range(n))
+    a, b, c, d, e, item = (text(n) for n in (120, 120, 120, 120, 120, 14))
+    leak = f"{text(60)} {item} {text(60)}"
+    docs = [(1, a), (None, a), (None, b), (2, a), (2, c), (3, d), (3, d), (None, e), (None, e), (None, leak), (4, leak), (4, text(90))]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    order = lambda rows: sorted(rows, key=str)
+    kept = [tuple(r) for r in p.near_dedup(spark, df, str(tmp_path)).collect()]
+    assert order(kept) == order([(1, a), (None, b), (2, c), (3, d), (None, e), (4, leak), docs[-1]])
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    clean = [tuple(r) for r in p.decontaminate(spark, df, str(tmp_path)).collect()]
+    assert order(clean) == order(x for x in docs if x[1] != leak)
