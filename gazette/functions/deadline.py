@@ -7,6 +7,8 @@ wins, then the latest date. A year that isn't written is the one nearest to the
 
 from __future__ import annotations
 
+import functools
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column
@@ -22,40 +24,55 @@ WEEKDAYS = "월|화|수|목|금|토|일"
 NEAREST_YEAR = (-60, 370)
 PLAUSIBLE = (-60, 400)
 
-#: Group 1 is what stands before: all of it up to 23 characters, else exactly 24.
-_CONTEXT = "(?s)(?<=(^.{0,23}|.{24}))"
+#: Characters before a date that its context is read from.
+CONTEXT = 24
 _N, _S = "(\\d{1,2})", f"{WS}*"
+# What sets matches and their groups apart in a text; letters of the text that look like these are changed.
+_MARK, _GROUP, _OTHER = "\u0001", "\u0002", "\u0003"
 
 
 @dataclass(frozen=True)
 class Family:
-    """A pattern, and which of its groups (context is 1) are year (0: none), month and day."""
+    """A pattern, which of its groups are month, day and year (0: none), and what a text must hold for a match."""
 
     pattern: str
-    year: int
     month: int
     day: int
+    year: int
+    needs: tuple[str, ...]
 
 
+# The five ways that a last day is written in.
 FAMILIES = (
-    Family(f"{_N}{_S}월{_S}{_N}{_S}일[^0-9월]{{0,8}}(?:부터|~|-)[^0-9]{{0,8}}{_N}{_S}월{_S}{_N}{_S}일", 0, 4, 5),
-    Family(f"{_N}{_S}월{_S}{_N}{_S}(?:일{_S})?[~\\-]{_S}{_N}{_S}일", 0, 2, 4),
-    Family(f"{_N}{_S}월{_S}{_N}{_S}일{_S}(?:까지|마감)", 0, 2, 3),
-    Family(f"~{_S}(?:(\\d{{4}}){_S}\\.{_S})?{_N}{_S}\\.{_S}{_N}{_S}\\.", 2, 3, 4),
-    Family(f"~{_S}{_N}{_S}/{_S}{_N}(?!\\d|{_S}/)", 0, 2, 3),
+    Family(f"{_N}{_S}월{_S}{_N}{_S}일[^0-9월]{{0,8}}(?:부터|~|-)[^0-9]{{0,8}}{_N}{_S}월{_S}{_N}{_S}일", 3, 4, 0, ("월", "일")),
+    Family(f"{_N}{_S}월{_S}{_N}{_S}(?:일{_S})?[~\\-]{_S}{_N}{_S}일", 1, 3, 0, ("월", "일")),
+    Family(f"{_N}{_S}월{_S}{_N}{_S}일{_S}(?:까지|마감)", 1, 2, 0, ("월", "일")),
+    Family(f"~{_S}(?:(\\d{{4}}){_S}\\.{_S})?{_N}{_S}\\.{_S}{_N}{_S}\\.", 2, 3, 1, ("~", ".")),
+    Family(f"~{_S}{_N}{_S}/{_S}{_N}(?!\\d|{_S}/)", 1, 2, 0, ("~", "/")),
 )
+#: The shortest match has four characters, so that many pieces before one hold its context.
+_PIECES = 2 * (CONTEXT // 4) + 1
+
+
+def _let(value: Column, then: Callable[[Column], Column]) -> Column:
+    """``then`` over a value that is computed once; Catalyst would put its expression in each place."""
+    return F.get(F.transform(F.array(value), then), 0)
 
 
 def _date(year: Column, month: Column, of_month: Column) -> Column:
-    return F.concat_ws("-", year, F.lpad(month, 2, "0"), F.lpad(of_month, 2, "0")).try_cast("date")
+    """Null where the calendar has no such day."""
+    in_year = F.make_date(year, F.least(F.greatest(month, F.lit(1)), F.lit(12)), F.lit(1))
+    return _let(in_year, lambda first: F.when(month.between(1, 12) & of_month.between(1, F.dayofmonth(F.last_day(first))), F.date_add(first, of_month - 1)))
 
 
 def _nearest(post: Column, month: Column, of_month: Column) -> Column:
     """The date in the year before, of or after the post date that is nearest to it; the earlier one of equals."""
-    options = F.array(*[F.struct(F.lit(i).alias("order"), _date(F.lpad((F.year(post) + i - 1).cast("string"), 4, "0"), month, of_month).alias("date")) for i in range(3)])
-    apart = lambda x: F.datediff(x["date"], post)
-    near = F.filter(options, lambda x: x["date"].isNotNull() & apart(x).between(*NEAREST_YEAR))
-    return F.array_min(F.transform(near, lambda x: F.struct(F.abs(apart(x)).alias("apart"), x["order"].alias("order"), x["date"].alias("date"))))["date"]
+
+    def option(k: Column) -> Column:
+        apart = lambda d: F.datediff(d, post)
+        return _let(_date(F.year(post) + k, month, of_month), lambda d: F.when(apart(d).between(*NEAREST_YEAR), F.struct(F.abs(apart(d)).alias("apart"), d.alias("date"))))
+
+    return F.array_min(F.transform(F.array(F.lit(-1), F.lit(0), F.lit(1)), option))["date"]
 
 
 def _tier(context: Column) -> Column:
@@ -63,25 +80,45 @@ def _tier(context: Column) -> Column:
 
 
 def _of_family(f: Family, plain: Column, post: Column) -> Column:
-    each = lambda g: F.regexp_extract_all(plain, F.lit(_CONTEXT + f.pattern), F.lit(g))
-    parts = [each(1), each(f.month), each(f.day)] + ([each(f.year)] if f.year else [])
+    """array<struct<tier, date>>: one pass marks all matches and their groups, the rest works on the pieces."""
+    marks = _MARK + "$0" + "".join(f"{_GROUP}{f'${g}' if g else ''}" for g in (f.month, f.day, f.year)) + _MARK
+
+    def read(pieces: Column) -> Column:
+        def one(i: Column) -> Column:
+            first = F.greatest(F.lit(0), i - _PIECES)
+            before = F.transform(F.slice(pieces, first + 1, i - first), lambda x: F.substring_index(x, _GROUP, 1))
+            number = lambda groups, g: F.get(groups, g).cast("int")
 
-    def read(x: Column) -> Column:
-        near = _nearest(post, x["1"], x["2"])
-        date = F.when(x["3"] != "", _date(x["3"], x["1"], x["2"])).otherwise(near) if f.year else near
-        return F.struct(_tier(x["0"]).alias("tier"), date.alias("date"))
+            def dated(groups: Column) -> Column:
+                near = _nearest(post, number(groups, 1), number(groups, 2))
+                date = F.when(F.get(groups, 3) != "", _date(F.get(groups, 3).try_cast("int"), number(groups, 1), number(groups, 2))).otherwise(near) if f.year else near
+                return F.struct(_let(F.right(F.array_join(before, ""), F.lit(CONTEXT)), _tier).alias("tier"), date.alias("date"))
 
-    return F.transform(F.arrays_zip(*parts), read)
+            return _let(F.split(F.get(pieces, i), _GROUP), dated)
+
+        # Matches are the odd pieces.
+        return F.when(F.size(pieces) > 1, F.transform(F.sequence(F.lit(1), F.size(pieces) - 1, F.lit(2)), one))
+
+    able = functools.reduce(Column.__and__, [plain.contains(x) for x in f.needs])
+    found = _let(F.split(F.regexp_replace(plain, f.pattern, marks), _MARK), read)
+    return F.coalesce(F.when(able, found), F.array().cast("array<struct<tier:int,date:date>>"))
 
 
 def candidates(text: Column, post: Column) -> Column:
     """array<struct<tier, date>> of a text's plausible dates."""
-    plain = F.regexp_replace(text, f"\\({_S}(?:{WEEKDAYS}){_S}\\)", "")
-    found = [_of_family(f, plain, post) for f in FAMILIES]
-    return F.filter(F.concat(*found), lambda x: (x["tier"] >= 0) & x["date"].isNotNull() & F.datediff(x["date"], post).between(*PLAUSIBLE))
+    plain = F.regexp_replace(F.translate(text, _MARK + _GROUP, _OTHER * 2), f"\\({_S}(?:{WEEKDAYS}){_S}\\)", "")
+
+    def scan(x: Column) -> Column:
+        found = F.concat(*[_of_family(f, x["plain"], x["post"]) for f in FAMILIES])
+        return F.filter(found, lambda c: (c["tier"] >= 0) & c["date"].isNotNull() & F.datediff(c["date"], x["post"]).between(*PLAUSIBLE))
+
+    return _let(F.struct(plain.alias("plain"), post.alias("post")), scan)
 
 
 def extract_deadline(post_date: Column, *texts: Column) -> Column:
     """The deadline (date) in the first text that has a candidate; null if none has or the post date is none."""
-    post = day(post_date)
-    return F.coalesce(*[F.array_max(candidates(F.coalesce(t, F.lit("")), post))["date"] for t in texts])
+
+    def first(post: Column) -> Column:
+        return F.when(post.isNotNull(), F.coalesce(*[F.array_max(candidates(F.coalesce(t, F.lit("")), post))["date"] for t in texts]))
+
+    return _let(day(post_date), first)
