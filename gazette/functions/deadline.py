@@ -8,13 +8,12 @@ wins, then the latest date. A year that isn't written is the one nearest to the
 from __future__ import annotations
 
 import functools
-from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from gazette.functions.text import WS, day
+from gazette.functions.text import WS, day, let
 
 # The context words, the windows of days, and the weekdays in parentheses.
 APPLY = "신청|접수|모집|공모|응모|원서|등록"
@@ -54,15 +53,10 @@ FAMILIES = (
 _PIECES = 2 * (CONTEXT // 4) + 1
 
 
-def _let(value: Column, then: Callable[[Column], Column]) -> Column:
-    """``then`` over a value that is computed once; Catalyst would put its expression in each place."""
-    return F.get(F.transform(F.array(value), then), 0)
-
-
 def _date(year: Column, month: Column, of_month: Column) -> Column:
     """Null where the calendar has no such day."""
     in_year = F.make_date(year, F.least(F.greatest(month, F.lit(1)), F.lit(12)), F.lit(1))
-    return _let(in_year, lambda first: F.when(month.between(1, 12) & of_month.between(1, F.dayofmonth(F.last_day(first))), F.date_add(first, of_month - 1)))
+    return let(in_year, lambda first: F.when(month.between(1, 12) & of_month.between(1, F.dayofmonth(F.last_day(first))), F.date_add(first, of_month - 1)))
 
 
 def _nearest(post: Column, month: Column, of_month: Column) -> Column:
@@ -70,7 +64,7 @@ def _nearest(post: Column, month: Column, of_month: Column) -> Column:
 
     def option(k: Column) -> Column:
         apart = lambda d: F.datediff(d, post)
-        return _let(_date(F.year(post) + k, month, of_month), lambda d: F.when(apart(d).between(*NEAREST_YEAR), F.struct(F.abs(apart(d)).alias("apart"), d.alias("date"))))
+        return let(_date(F.year(post) + k, month, of_month), lambda d: F.when(apart(d).between(*NEAREST_YEAR), F.struct(F.abs(apart(d)).alias("apart"), d.alias("date"))))
 
     return F.array_min(F.transform(F.array(F.lit(-1), F.lit(0), F.lit(1)), option))["date"]
 
@@ -92,15 +86,15 @@ def _of_family(f: Family, plain: Column, post: Column) -> Column:
             def dated(groups: Column) -> Column:
                 near = _nearest(post, number(groups, 1), number(groups, 2))
                 date = F.when(F.get(groups, 3) != "", _date(F.get(groups, 3).try_cast("int"), number(groups, 1), number(groups, 2))).otherwise(near) if f.year else near
-                return F.struct(_let(F.right(F.array_join(before, ""), F.lit(CONTEXT)), _tier).alias("tier"), date.alias("date"))
+                return F.struct(let(F.right(F.array_join(before, ""), F.lit(CONTEXT)), _tier).alias("tier"), date.alias("date"))
 
-            return _let(F.split(F.get(pieces, i), _GROUP), dated)
+            return let(F.split(F.get(pieces, i), _GROUP), dated)
 
         # Matches are the odd pieces.
         return F.when(F.size(pieces) > 1, F.transform(F.sequence(F.lit(1), F.size(pieces) - 1, F.lit(2)), one))
 
     able = functools.reduce(Column.__and__, [plain.contains(x) for x in f.needs])
-    found = _let(F.split(F.regexp_replace(plain, f.pattern, marks), _MARK), read)
+    found = let(F.split(F.regexp_replace(plain, f.pattern, marks), _MARK), read)
     return F.coalesce(F.when(able, found), F.array().cast("array<struct<tier:int,date:date>>"))
 
 
@@ -112,7 +106,7 @@ def candidates(text: Column, post: Column) -> Column:
         found = F.concat(*[_of_family(f, x["plain"], x["post"]) for f in FAMILIES])
         return F.filter(found, lambda c: (c["tier"] >= 0) & c["date"].isNotNull() & F.datediff(c["date"], x["post"]).between(*PLAUSIBLE))
 
-    return _let(F.struct(plain.alias("plain"), post.alias("post")), scan)
+    return let(F.struct(plain.alias("plain"), post.alias("post")), scan)
 
 
 def extract_deadline(post_date: Column, *texts: Column) -> Column:
@@ -121,4 +115,4 @@ def extract_deadline(post_date: Column, *texts: Column) -> Column:
     def first(post: Column) -> Column:
         return F.when(post.isNotNull(), F.coalesce(*[F.array_max(candidates(F.coalesce(t, F.lit("")), post))["date"] for t in texts]))
 
-    return _let(day(post_date), first)
+    return let(day(post_date), first)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -9,6 +11,11 @@ from pyspark.sql import functions as F
 WS = r"[\s\u00a0\ufeff\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 
 
+def let(value: Column, then: Callable[[Column], Column]) -> Column:
+    """``then`` over a value that is computed once; Catalyst would put its expression in each place."""
+    return F.get(F.transform(F.array(value), then), 0)
+
+
 def text(c: Column) -> Column:
     """Trimmed; null becomes ''."""
     return F.regexp_replace(F.coalesce(c.cast("string"), F.lit("")), f"^{WS}+|{WS}+$", "")

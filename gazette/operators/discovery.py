@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gazette.functions.rules import Rules, excluded_by, match_groups
-from gazette.functions.text import WS
+from gazette.functions.text import WS, let
 
-# Words that say nothing, and endings that are stripped.
+# Words that say nothing, endings that are stripped, and the patterns of what is no word.
 STOP_WORDS = tuple(
     "용역 사업 운영 지원 위탁 선정 공고 입찰 제안 계약 협상 관련 위한 대상 대한 통한 기반 활용 연간 단가 재공고 긴급 제작 개발 조사 연구 평가 분석 계획 수립 실시 추진 업무 협상에 의한 의하 일반 제한 경쟁 전자 방식 분야 기타 지역 전국 국내 해외 공동 통합 종합 신규 기존 우수 주요 이하 이상 외 및 등 제 년 년도 차 회 기 호 안 내".split()
 )
 TAILS = tuple("사업 용역 운영 지원 관리 계획 서비스 프로그램 구축 제작 개발 교육 사업자 기관".split())
+#: Years, ordinals and numbers.
+NUMBERS = "^(?:[0-9]{1,4}년?도?|제?[0-9]+[차회기]|[0-9.]+)$"
 PUNCTUATION = "[\\[\\]()「」『』·,~〈〉<>‘’'\"“”/|:;!?&#*+=_%]"
 
 
@@ -24,18 +28,16 @@ def classify(df: DataFrame, title: Column, text: Column, rules: Rules, code: Col
 
 
 def tokens(title: Column, stop: tuple[str, ...] = STOP_WORDS) -> Column:
-    """The distinct words of a title and their forms without an ending."""
-    words = F.split(F.regexp_replace(F.coalesce(title, F.lit("")), PUNCTUATION, " "), f"{WS}+")
-    plain = F.transform(words, lambda w: F.regexp_replace(w, "^[0-9]{1,4}년?도?$|^제?[0-9]+[차회기]$", ""))
-    kept = F.filter(plain, lambda w: (F.length(w) >= 2) & ~w.rlike("^[0-9.]+$"))
-    forms = lambda w: F.array(w, *[F.when((F.length(w) > len(t) + 1) & w.endswith(t), F.substring(w, F.lit(1), F.length(w) - len(t))) for t in TAILS])
-    every = F.array_compact(F.flatten(F.transform(kept, forms)))
-    return F.array_distinct(F.filter(every, lambda w: (F.length(w) >= 2) & ~w.isin(*stop)))
+    """The distinct words of a title and their forms without an ending (no ending ends with another, so a word has one at most)."""
+    words = F.array_distinct(F.split(F.coalesce(title, F.lit("")), f"[{PUNCTUATION[1:-1]}{WS[1:-1]}]+"))
+    able = F.filter(words, lambda w: (F.length(w) >= 2) & ~w.rlike(NUMBERS))
+    forms = F.flatten(F.transform(able, lambda w: F.array(w, F.regexp_extract(w, f"^(.{{2,}})(?:{'|'.join(TAILS)})$", 1))))
+    return F.array_distinct(F.filter(forms, lambda w: (F.length(w) >= 2) & ~w.isin(*stop)))
 
 
 def document_frequency(df: DataFrame, words: Column, *by: str) -> DataFrame:
     """token, n: in how many rows a token is."""
-    return df.select(*by, F.explode(words).alias("token")).groupBy(*by, "token").agg(F.count("*").alias("n"))
+    return df.select(*by, F.explode_outer(words).alias("token")).where("token is not null").groupBy(*by, "token").agg(F.count("*").alias("n"))
 
 
 def is_keyword(token: Column, rules: Rules) -> Column:
@@ -52,18 +54,24 @@ def min_hits(n_pool: Column) -> Column:
     return F.greatest(F.lit(3), F.floor(n_pool / 2000 + 0.5).cast("long"))
 
 
-def _pool(classified: DataFrame, title: str) -> DataFrame:
-    return classified.where(F.size("excluded") == 0).withColumn("words", tokens(F.col(title)))
+def _counted(classified: DataFrame, title: str, **flags: Column) -> DataFrame:
+    """token, pool (rows with it that no rule excludes), a count for each flag, and n_pool: tokens are made and counted once."""
+    pool = classified.where(F.size("excluded") == 0)
+    # The flags are bound with the tokens; beside an explode() they would be computed again for each token.
+    held = let(F.array(*flags.values()), lambda f: F.transform(tokens(F.col(title)), lambda w: F.struct(w.alias("token"), f.alias("flags"))))
+    each = pool.select(F.explode_outer(held).alias("x")).where("x is not null")  # explode() would compute the tokens in a filter as well
+    counts = each.groupBy("x.token").agg(F.count("*").alias("pool"), *[F.count_if(F.col("x.flags")[i]).alias(k) for i, k in enumerate(flags)])
+    return counts.join(F.broadcast(pool.agg(F.count("*").alias("n_pool"))))  # one row
 
 
 def lift(classified: DataFrame, title: str, text: Column, rules: Rules, top: int = 12, least: float = 0.4) -> DataFrame:
     """grp, token, n, pool, lift, rank: words that are mostly in a group's rows, the best of each group."""
-    pool = _pool(classified, title)
-    total = pool.agg(F.count("*").alias("n_pool"))  # one row
-    hit = lambda words: F.array_contains(F.array(*[text.contains(w) for w in words]), True) if words else F.lit(False)
-    seeds = pool.select("words", F.explode(F.array_compact(F.array(*[F.when(hit(ws), F.lit(g)) for g, ws in rules.groups.items()]))).alias("grp"))
-    found = document_frequency(seeds, F.col("words"), "grp").join(document_frequency(pool, F.col("words")).withColumnRenamed("n", "pool"), "token")
-    found = found.join(F.broadcast(total)).where((F.col("n") >= min_hits(F.col("n_pool"))) & ~is_keyword(F.col("token"), rules))
+    hit = lambda words: functools.reduce(Column.__or__, [text.contains(w) for w in words], F.lit(False))
+    groups = {f"n_{i}": g for i, g in enumerate(rules.groups)}
+    counts = _counted(classified, title, **{k: hit(rules.groups[g]) for k, g in groups.items()})
+    each = F.explode(F.array(*[F.struct(F.lit(g).alias("grp"), F.col(k).alias("n")) for k, g in groups.items()]))
+    found = counts.select("token", "pool", "n_pool", each.alias("x")).select("token", "pool", "n_pool", "x.*")
+    found = found.where((F.col("n") >= min_hits(F.col("n_pool"))) & ~is_keyword(F.col("token"), rules))
     found = found.withColumn("lift", F.col("n") / F.col("pool")).where(F.col("lift") >= least)
     order = Window.partitionBy("grp").orderBy(F.round(F.col("lift") * F.log1p("n"), 9).desc(), "token")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top).select("grp", "token", "n", "pool", "lift", "rank")
@@ -71,14 +79,29 @@ def lift(classified: DataFrame, title: str, text: Column, rules: Rules, top: int
 
 def missed(classified: DataFrame, title: str, rules: Rules, top: int = 20, least: float = 0.7) -> DataFrame:
     """token, n, lift: words that are mostly in rows no rule matches."""
-    pool = _pool(classified, title)
-    total = pool.agg(F.count("*").alias("n_pool"))
-    own = document_frequency(pool.where("label = 'unmatched'"), F.col("words"))
-    found = own.join(document_frequency(pool, F.col("words")).withColumnRenamed("n", "pool"), "token").join(F.broadcast(total))
+    found = _counted(classified, title, n=F.col("label") == "unmatched")
     found = found.where((F.col("n") >= 2 * min_hits(F.col("n_pool"))) & ~is_keyword(F.col("token"), rules)).withColumn("lift", F.col("n") / F.col("pool")).where(F.col("lift") >= least)
     return found.orderBy(F.desc("n"), "token").limit(top).select("token", "n", "lift")
 
 
+def examples(found: DataFrame, records: DataFrame, title: str, order: str, token: str = "token") -> DataFrame:
+    """found (a short report) with ``example``: the title of the first record, by ``order``, that holds the token anywhere.
+
+    The report's tokens are read first, so the records are passed over once, with a test for each token; a report of over 1,000 is refused.
+    """
+    words = sorted({r[0] for r in found.select(token).limit(1001).collect()})
+    if len(words) > 1000:
+        raise ValueError("more than 1,000 tokens; take the top of the report first")
+    hits = F.filter(F.array(*map(F.lit, words)) if words else F.array().cast("array<string>"), lambda w: F.contains(F.col(title), w))
+    first = records.select(F.explode(hits).alias(token), title, order).groupBy(token).agg(F.min_by(title, order).alias("example"))
+    return found.join(F.broadcast(first), token, "left")
+
+
+def cut(c: Column, n: int) -> Column:
+    """At most n characters, for reports."""
+    return F.substring(c, 1, n)
+
+
 def code_candidates(classified: DataFrame, code: str, name: str, title: str, order: str, top: int = 15) -> DataFrame:
     """code, name, ours, gain, hit_rate, sample: category codes that would bring in more rows of the kind."""
     free = F.size("excluded") == 0
