@@ -3,22 +3,27 @@
 A page becomes blocks: the runs of text between block-level tags, each with its root-to-leaf
 tag path (names with their classes and ids; inline tags are no part of it). Then
 
-1. blocks inside elements that can't hold the article (menus, forms, footers, adverts, comments,
-   hidden ones), by tag name, role or class, are left out;
-2. text length and punctuation are summed for each path; their ratios to the number of its
+1. text length and punctuation are summed for each path; their ratios to the number of its
    blocks, less what is link text, give every block two values in page order;
-3. both sequences are smoothed with a Gaussian and fused (geometric mean);
-4. a path is content if the mean fused value of its blocks reaches a share of their standard
-   deviation, and so are the paths beside it: in the same ``article`` or ``main`` element, or, on pages
-   without one, in the container that holds most of the content paths' text. Blocks there that are mostly links stay out.
+2. both sequences are smoothed with a Gaussian and fused (geometric mean);
+3. a path passes if the mean fused value of its blocks reaches a share of their standard deviation and it is not mostly
+   links. A path that ends in a plain container (``div``, ``section``) must reach that by its own
+   ratios too, since smoothing lends it those of its neighbours;
+4. names, roles and classes of elements are hints. Paths under one of a menu, footer, form, advert, comment and
+   so on do not count, unless that element holds nearly all that passes: then it is what the page is about;
+5. what passes selects the blocks: those of passing paths, and around them the headings, list items, cells and short
+   paragraphs of the same ``article`` or ``main`` element or, on pages without one, of the same container.
+
+Scripts, styles, controls and hidden elements have no blocks. Everything is linear in the size of the page: paths are
+numbers of parent and label, and no step walks up the open elements.
 
 Pages are independent, so this is one pass over Arrow batches without a shuffle.
 """
 
 from __future__ import annotations
 
+import re
 import string
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from html.parser import HTMLParser
@@ -34,32 +39,101 @@ from gazette.llm.shared import chunks, table
 SMOOTH = 1.0
 #: Share of the standard deviation that a content path's mean must reach.
 THRESHOLD = 0.5
-#: Share of link text from which a block is a list of links.
+#: Share of link text from which a path is a list of links.
 LINKS = 0.5
+#: A hint is disregarded if all unhinted content has less than this share of the text under it ...
+DOMINATED = 0.25
+#: ... or than this, where the hint is of readers' comments or the rest is an article.
+DOMINATED_STRICT = 0.02
+#: Factor for paths under an element that has a hint's word in a longer name.
+WEAK_HINT = 0.5
 
 # Element names of HTML and common class names.
 INLINE = set("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark nobr picture q rp rt ruby s samp small source span strike strong sub sup time tt u var wbr".split())
 VOID = set("area base br col embed frame hr img input link meta param source track wbr".split())
-#: Never article text, whatever their classes.
-DROPPED = set("applet aside audio button canvas datalist dialog footer form frameset head iframe input map menu meter nav noframes noscript object optgroup option output progress script select style svg template textarea title video".split())
-#: Dropped as well, unless inside an article.
-PAGE_ONLY = {"header"}
+#: Hold no text of the page, whatever their classes.
+NO_TEXT = set("applet audio button canvas datalist dialog frameset head iframe map meter noframes noscript object optgroup option output progress script select style svg template textarea title video".split())
+#: Elements that are hints by their names; the last only outside an article.
+HINT_TAGS = set("aside footer form menu nav".split())
+HINT_OUTSIDE = {"header"}
 ARTICLES = {"article", "main"}
+HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
+#: Elements that hold a run of text by their nature; paths that end in others are plain containers.
+TEXTUAL = HEADINGS | set("address blockquote caption dd dt figcaption legend li p pre summary td th".split())
+PAGE = {"", "html", "body"}
 ROLES = set("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search tablist toolbar".split())
-HINTS = set(
-    "ad ads adbox adsense advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments cookie cookies consent disqus disclaimer dropdown footer gdpr hidden masthead menu modal nav navbar "
-    "navigation newsletter notice notices notification pagination pager popup promo promotion recommend recommended related reply replies respond responses share sharing sidebar signup social sponsor sponsored subscribe subscription "
+REACTIONS = set("comment comments disqus replies reply respond responses".split())
+HINTS = REACTIONS | set(
+    "ad ads adbox adsense advert adverts advertisement advertising banner breadcrumb breadcrumbs cookie cookies consent disclaimer dropdown footer gdpr hidden masthead menu modal nav navbar "
+    "navigation newsletter notice notices notification pagination pager popup promo promotion recommend recommended related share sharing sidebar signup social sponsor sponsored subscribe subscription "
     "teaser toolbar topbar widget".split()
 )
+#: Parts of names that say nothing about what an element holds.
+NEUTRAL = set("area bar block box bottom container content first group inner item items last left links list main outer panel right section site title top wrap wrapper".split())
+#: A name that begins so tells of something elsewhere.
+ELSEWHERE = {"has", "is", "js", "no", "with", "without"}
 #: An opening tag ends an open element of these, up to a barrier.
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "tbody": {"thead", "tbody", "tr", "td", "th"}, "tfoot": {"tbody", "tr", "td", "th"}, "option": {"option"}}
 BARRIERS = {"li": {"ul", "ol"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table", "tr"}, "th": {"table", "tr"}, "tbody": {"table"}, "tfoot": {"table"}, "option": {"select"}}
-PUNCTUATION = set(string.punctuation + "…“”‘’«»„–—·¿¡、。，；：？！「」")
+#: What keeps an open paragraph from being ended by a block inside.
+PARAGRAPH_BARRIERS = {"article", "section", "div", "td", "th", "li", "body", "main", "table", "button", "object"}
+PUNCTUATION = re.compile("[" + re.escape(string.punctuation + "…“”‘’«»„–—·¿¡、。，；：？！「」") + "]")
+
+
+def hint(names: list[str]) -> tuple[float, bool]:
+    """(factor, of readers' comments) of an element's classes and id: 0 if a name is that of a hint, WEAK_HINT if a part is, else 1."""
+    factor, reaction = 1.0, False
+    for name in names:
+        parts = [x for x in re.split(r"[-_]+", name) if x and not x.isdigit()]
+        if not parts or parts[0] in ELSEWHERE:
+            continue
+        telling = [x for x in parts if x not in NEUTRAL]
+        if telling and telling[-1] in HINTS and parts[-1] in HINTS | NEUTRAL:
+            factor, reaction = 0.0, reaction or telling[-1] in REACTIONS
+        elif HINTS & set(parts):
+            factor = min(factor, WEAK_HINT)
+    return factor, reaction
+
+
+class Paths:
+    """Tag paths as numbers: each has its parent (a smaller number), leaf tag, and what its label says."""
+
+    def __init__(self):
+        self.known: dict[tuple, int] = {}
+        self.parent, self.tag, self.no_text, self.article = [0], [""], [False], [-1]
+        #: The nearest hint at or above a path (-1: none), and of hints whether they are of comments.
+        self.hint, self.weak, self.reaction = [-1], [1.0], [False]
+
+    def below(self, parent: int, tag: str, attrs: tuple[tuple[str, str], ...] = ()) -> int:
+        key = (parent, tag, attrs)
+        found = self.known.get(key)
+        if found is None:
+            found = self.known[key] = len(self.parent)
+            self._add(found, parent, tag, dict(attrs))
+        return found
+
+    def _add(self, new: int, parent: int, tag: str, given: dict[str, str]) -> None:
+        factor, reaction = hint(given["names"].split()) if "names" in given else (1.0, False)
+        inside = self.article[parent] >= 0
+        if tag in ("html", "body", "main"):
+            factor = 1.0
+        elif tag in HINT_TAGS or (tag in HINT_OUTSIDE and not inside) or given.get("role", "") in ROLES:
+            factor = 0.0
+        self.parent.append(parent)
+        self.tag.append(tag)
+        self.no_text.append(self.no_text[parent] or tag in NO_TEXT or "hidden" in given)
+        self.article.append(self.article[parent] if inside else new if tag in ARTICLES else -1)
+        self.hint.append(new if factor == 0 else self.hint[parent])
+        self.weak.append(min(self.weak[parent], factor) if factor else self.weak[parent])
+        self.reaction.append(reaction)
+
+    def __len__(self) -> int:
+        return len(self.parent)
 
 
 @dataclass
 class Block:
-    path: tuple[str, ...]
+    path: int
     parts: list[str] = field(default_factory=list)
     link_chars: int = 0
     text: str = ""
@@ -70,10 +144,14 @@ class PageParser(HTMLParser):
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        # (name, label, whether all within is left out, inside an article)
-        self.stack: list[tuple[str, str, bool, bool]] = []
+        self.paths = Paths()
         self.blocks: list[Block] = []
         self.open: Block | None = None
+        #: Open elements as (tag, path); a closed one inside others has no tag any more.
+        self.stack: list[tuple[str, int]] = []
+        #: Where in the stack the open elements of each name are, and the block-level ones.
+        self.at: dict[str, list[int]] = {}
+        self.block_at: list[int] = []
 
     def _close_block(self) -> None:
         if self.open is not None:
@@ -82,66 +160,80 @@ class PageParser(HTMLParser):
                 self.blocks.append(self.open)
             self.open = None
 
-    def _pop_to(self, names: set[str], barriers: set[str]) -> None:
-        """Closes the innermost open element of names, with all inside it."""
-        for i in range(len(self.stack) - 1, -1, -1):
-            if self.stack[i][0] in names:
-                del self.stack[i:]
-                return
-            if self.stack[i][0] in barriers:
-                return
+    def _innermost(self, names) -> int:
+        return max((self.at[n][-1] for n in names if self.at.get(n)), default=-1)
 
-    def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
-        if tag == "br":
-            self.handle_data(" ")
+    def _cut(self, size: int) -> None:
+        """Closes all open elements from a place in the stack on."""
+        while len(self.stack) > size:
+            tag, _ = self.stack.pop()
+            if tag:
+                self.at[tag].pop()
+        while self.block_at and self.block_at[-1] >= size:
+            self.block_at.pop()
+
+    def _push(self, tag: str, path: int) -> None:
+        self.at.setdefault(tag, []).append(len(self.stack))
         if tag not in INLINE:
-            self._close_block()
-            if tag in ENDS:
-                while any(x[0] in ENDS[tag] for x in self._since(BARRIERS[tag])):
-                    self._pop_to(ENDS[tag], BARRIERS[tag])
-            else:  # as browsers do, a block ends an open paragraph
-                self._pop_to({"p"}, {"article", "section", "div", "td", "th", "li", "body", "main", "table", "button", "object"})
-        if tag in VOID:
+            self.block_at.append(len(self.stack))
+        self.stack.append((tag, path))
+
+    def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        if tag in INLINE:
+            if tag == "br":
+                self.handle_data(" ")
+            if tag not in VOID:
+                given = self._given(attrs) if attrs else ()
+                path = self.stack[-1][1] if self.stack else 0
+                # An inline element is part of a path only where it is hidden.
+                self._push(tag, self.paths.below(path, tag, (("hidden", ""),)) if ("hidden", "") in given else path)
             return
-        _, _, out, inside = self.stack[-1] if self.stack else ("", "", False, False)
-        given = {k: v or "" for k, v in attrs}
-        names = f"{given.get('class', '')} {given.get('id', '')}".lower()
-        words = set(names.replace("-", " ").replace("_", " ").split())
-        inside = inside or tag in ARTICLES
-        hidden = "hidden" in given or given.get("aria-hidden", "").lower() == "true" or "display:none" in given.get("style", "").lower().replace(" ", "")
-        hinted = tag not in ("html", "body", "main") and bool(words & HINTS)
-        out = out or tag in DROPPED or (tag in PAGE_ONLY and not inside) or hidden or hinted or given.get("role", "").lower() in ROLES
-        self.stack.append((tag, ".".join([tag, *sorted(names.split())]), out, inside))
-
-    def _since(self, barriers: set[str]) -> list[tuple[str, str, bool, bool]]:
-        found = []
-        for x in reversed(self.stack):
-            if x[0] in barriers:
-                break
-            found.append(x)
-        return found
+        self._close_block()
+        if tag in ENDS:
+            while (i := self._innermost(ENDS[tag])) > self._innermost(BARRIERS[tag]):
+                self._cut(i)
+        elif (i := self._innermost(("p",))) > self._innermost(PARAGRAPH_BARRIERS):  # as browsers do
+            self._cut(i)
+        if tag not in VOID:
+            self._push(tag, self.paths.below(self.stack[-1][1] if self.stack else 0, tag, self._given(attrs) if attrs else ()))
+
+    @staticmethod
+    def _given(attrs: list[tuple[str, str | None]]) -> tuple[tuple[str, str], ...]:
+        """What of the attributes makes a label: names, role, and whether it is hidden."""
+        given = {k: (v or "").lower() for k, v in attrs}
+        out = []
+        if names := " ".join(sorted(f"{given.get('class', '')} {given.get('id', '')}".split())):
+            out.append(("names", names))
+        if "role" in given:
+            out.append(("role", given["role"]))
+        if "hidden" in given or given.get("aria-hidden") == "true" or "display:none" in given.get("style", "").replace(" ", ""):
+            out.append(("hidden", ""))
+        return tuple(out)
 
     def handle_endtag(self, tag: str) -> None:
         if tag in VOID:
             return
         if tag not in INLINE:
             self._close_block()
-            self._pop_to({tag}, {"body"} if tag not in ("html", "body") else set())
+            i = self._innermost((tag,))
+            if i >= 0 and (tag in ("html", "body") or i > self._innermost(("body",))):
+                self._cut(i)
             return
-        for i in range(len(self.stack) - 1, -1, -1):
-            if self.stack[i][0] == tag:
-                del self.stack[i]
-                return
-            if self.stack[i][0] not in INLINE:
-                return
+        i = self._innermost((tag,))
+        if i > (self.block_at[-1] if self.block_at else -1):
+            self.at[tag].pop()
+            self.stack[i] = ("", self.stack[i][1])
+            while self.stack and not self.stack[-1][0]:
+                self.stack.pop()
 
     def handle_data(self, data: str) -> None:
-        if self.stack and self.stack[-1][2]:
+        path = self.stack[-1][1] if self.stack else 0
+        if self.paths.no_text[path]:
             return
         if self.open is None:
-            self.open = Block(tuple(x[1] for x in self.stack if x[0] not in INLINE))
+            self.open = Block(path)
         self.open.parts.append(data)
-        if any(x[0] == "a" for x in self.stack):
+        if self.at.get("a"):
             self.open.link_chars += len(data)
 
     def finish(self) -> list[Block]:
@@ -157,32 +249,109 @@ def smooth(values: np.ndarray, width: float = SMOOTH) -> np.ndarray:
     return np.convolve(values, kernel, "full")[reach : reach + len(values)] / weight
 
 
-def content_paths(blocks: list[Block]) -> set[tuple[str, ...]]:
-    """The paths whose smoothed and fused ratios reach the threshold; the best one at least."""
-    count: Counter = Counter()
-    length: Counter = Counter()
-    marks: Counter = Counter()
-    for b in blocks:
-        count[b.path] += 1
-        length[b.path] += max(0, len(b.text) - b.link_chars)
-        marks[b.path] += sum(c in PUNCTUATION for c in b.text) if b.link_chars < LINKS * len(b.text) else 0
-    text = smooth(np.array([length[b.path] / count[b.path] for b in blocks]))
-    punctuation = smooth(np.array([marks[b.path] / count[b.path] for b in blocks]))
-    fused = np.sqrt(text * (punctuation + 1))
-    each: dict[tuple[str, ...], list[float]] = {}
-    for b, f in zip(blocks, fused, strict=True):
-        each.setdefault(b.path, []).append(float(f))
-    mean = {p: sum(x) / len(x) for p, x in each.items()}
-    least = min(max(mean.values()), THRESHOLD * float(fused.std()))
-    return {p for p, x in mean.items() if x >= least and length[p] > 0}
-
-
-def container(path: tuple[str, ...]) -> tuple[str, ...]:
-    """The path of the outermost article element, else of the block's parent."""
-    for i, label in enumerate(path):
-        if label.split(".", 1)[0] in ARTICLES:
-            return path[: i + 1]
-    return path[:-1]
+@dataclass
+class Ratios:
+    """By path: characters of its blocks without links, share of links, fused value (smoothed; NaN: no blocks), and its own."""
+
+    length: np.ndarray
+    links: np.ndarray
+    fused: np.ndarray
+    own: np.ndarray
+    least: float
+
+
+def ratios(blocks: list[Block], n_paths: int) -> Ratios:
+    path = np.array([b.path for b in blocks])
+    chars, linked = np.array([len(b.text) for b in blocks], float), np.array([b.link_chars for b in blocks], float)
+    count = np.bincount(path, minlength=n_paths)
+    length = np.bincount(path, np.maximum(0, chars - linked), n_paths)
+    marks = np.bincount(path, [len(PUNCTUATION.findall(b.text)) if b.link_chars < LINKS * len(b.text) else 0 for b in blocks], n_paths)
+    per = np.maximum(count, 1)
+    fused = np.sqrt(smooth((length / per)[path]) * (smooth((marks / per)[path]) + 1))
+    mean = np.where(count > 0, np.bincount(path, fused, n_paths) / per, np.nan)
+    share = np.bincount(path, np.minimum(linked, chars), n_paths) / np.maximum(np.bincount(path, chars, n_paths), 1)
+    return Ratios(length, share, mean, np.sqrt(length / per * (marks / per + 1)), THRESHOLD * float(fused.std()))
+
+
+def passing(r: Ratios, paths: Paths) -> np.ndarray:
+    """Whether a path's ratios reach the threshold; the best one does at least."""
+    plain = np.array([t not in TEXTUAL for t in paths.tag])
+    able = (r.length > 0) & (r.links < LINKS) & ~np.isnan(r.fused)
+    if not able.any():
+        return able
+    value = np.where(able, np.where(plain, np.minimum(r.fused, r.own), r.fused), 0) * np.array(paths.weak)
+    return able & (value >= min(r.least, float(value.max())))
+
+
+def disregarded(paths: Paths, good: np.ndarray, length: np.ndarray) -> set[int]:
+    """The hints that hold nearly all that passes."""
+    out: set[int] = set()
+    while True:
+        top: list[int] = [-1] * len(paths)  # the outermost hint that counts
+        for p in range(1, len(paths)):
+            above = top[paths.parent[p]]
+            top[p] = above if above >= 0 else p if paths.hint[p] == p and p not in out else -1
+        rest, held, rest_is_article = 0.0, {}, False
+        for p in np.flatnonzero(good).tolist():
+            if top[p] < 0:
+                rest += float(length[p])
+                rest_is_article |= paths.article[p] >= 0
+            else:
+                held[top[p]] = held.get(top[p], 0.0) + float(length[p])
+        if not held:
+            return out
+        most = max(held, key=lambda h: (held[h], -h))
+        strict = rest_is_article or paths.reaction[most]
+        if rest >= (DOMINATED_STRICT if strict else DOMINATED) * held[most]:
+            return out
+        out.add(most)
+        if len(out) > 8:  # hints inside hints without end say nothing
+            return set(range(len(paths)))
+
+
+def selected(blocks: list[Block], paths: Paths) -> list[Block]:
+    """The blocks of the article, by their paths."""
+    r = ratios(blocks, len(paths))
+    good = passing(r, paths)
+    ignored = disregarded(paths, good, r.length)
+    counted: list[bool] = [True] * len(paths)  # under no hint that counts
+    for p in range(1, len(paths)):
+        counted[p] = counted[paths.parent[p]] and (paths.hint[p] != p or p in ignored)
+    seeds = [p for p in np.flatnonzero(good).tolist() if counted[p]]
+    if not seeds:
+        return []
+    total = sum(r.length[p] for p in seeds)
+    named = {paths.article[p] for p in seeds if paths.article[p] >= 0}
+    use_named = sum(r.length[p] for p in seeds if paths.article[p] >= 0) * 2 >= total
+    # A container is what text stands in directly: the parent of a paragraph, or a plain element itself.
+    homes = named if use_named else {paths.parent[p] if paths.tag[p] in TEXTUAL else p for p in seeds}
+    inside: list[bool] = [False] * len(paths)
+    above: list[bool] = [False] * len(paths)  # a home, or an element around one
+    for p in range(len(paths)):
+        parent = paths.parent[p]
+        if paths.tag[parent] in PAGE and not use_named and paths.tag[p] not in TEXTUAL | {"ul", "ol", "dl", "table"}:
+            inside[p] = p in homes  # the page itself is no container of the sections in it
+        else:
+            inside[p] = p in homes or (p > 0 and inside[parent])
+    for p in range(len(paths) - 1, -1, -1):
+        if p in homes:
+            above[p] = True
+        if p and above[p]:
+            above[paths.parent[p]] = True
+    chosen, seed = set(), set(seeds)
+    for p in range(len(paths)):
+        if not counted[p] or np.isnan(r.fused[p]):
+            continue
+        tag = paths.tag[p]
+        if p in seed:
+            ok = inside[p]
+        elif inside[p]:
+            ok = tag in HEADINGS or (tag in TEXTUAL and (use_named or r.links[p] < LINKS))
+        else:  # a heading over the text
+            ok = not use_named and tag in HEADINGS and above[paths.parent[p]]
+        if ok:
+            chosen.add(p)
+    return [b for b in blocks if b.path in chosen]
 
 
 def main_blocks(html: str) -> list[str]:
@@ -190,20 +359,7 @@ def main_blocks(html: str) -> list[str]:
     parser = PageParser()
     parser.feed(html)
     blocks = parser.finish()
-    if not blocks:
-        return []
-    chosen = content_paths(blocks)
-    weight: Counter = Counter()
-    for b in blocks:
-        if b.path in chosen:
-            weight[container(b.path)] += max(0, len(b.text) - b.link_chars)
-    if not weight:
-        return []
-    named = {c for c in weight if c and c[-1].split(".", 1)[0] in ARTICLES}
-    top = max(weight, key=lambda c: (weight[c], -len(c), c))
-    # Articles hold the text if a page has any; else the container of most of it, with what it contains.
-    inside = named or {top}
-    return [b.text for b in blocks if any(b.path[: len(c)] == c for c in inside) and b.link_chars < LINKS * max(1, len(b.text))]
+    return [b.text for b in selected(blocks, parser.paths)] if blocks else []
 
 
 def extract(df: DataFrame, column: str = "html") -> DataFrame:

@@ -1,5 +1,8 @@
 import html as html_module
+import math
+import random
 import re
+import time
 
 from gazette.llm import op6_pages as m
 
@@ -32,6 +35,67 @@ def test_odd_pages():
     assert m.main_blocks("<article>" + "<p>word, " * 20000)[0] == "word,"
 
 
+LONG = "A sentence with words, commas and stops. It goes on; and on. " * 4
+L = " ".join(LONG.split())
+
+
+def test_paths_decide_not_names():
+    blocks = lambda body: m.main_blocks(PAGE % body)
+    text = f"<h1>T</h1><p>{LONG}</p><p>{LONG}</p>"
+    for name in ("notice-board", "notice", "comment", "ad", "sidebar-main"):
+        assert blocks(f'<div class="{name}"><article>{text}</article></div>') == ["T", L, L]
+        assert blocks(f'<div class="{name}">{text}</div>') == ["T", L, L]
+        assert blocks(f'<article class="{name}">{text}</article>') == ["T", L, L]
+    # A page in one form.
+    assert m.main_blocks(f'<form><div class="nav"><a href="/">a</a></div><div>{text}</div><div id="footer"><p>All rights, all.</p></div></form>') == ["T", L, L]
+    # Within an article a plain container of a few words doesn't pass; headings, lists and links do.
+    assert blocks(f'<article><h1><a href="/x">A title</a></h1><p>{LONG}</p><div class="zz">Share this</div><ul><li><a href="/y">Reference</a></ul></article>') == ["A title", L, "Reference"]
+    assert blocks(f'<article>{text}<div class="comment-list"><p>{LONG}</p></div><div class="share-bar">x</div></article>') == ["T", L, L]
+
+
+def test_several_containers():
+    blocks = lambda body: m.main_blocks(PAGE % body)
+    assert blocks(f'<div id="content"><h1>T</h1><div class="entry"><p>{LONG}</p></div></div>') == ["T", L]
+    assert blocks(f'<div class="lead"><p>{LONG}</p></div><div class="body"><p>{LONG}</p><p>{LONG}</p></div>') == [L] * 3
+    small = '<article class="card"><p>Read this, too.</p></article>'
+    assert blocks(f'<div><p>{LONG}</p><p>{LONG}</p><p>x</p></div>{small}')[:3] == [L, L, "x"]
+
+
+def test_linear_in_depth():
+    n = 100_000
+    for page in ("<div>" * n + "text, here", "<div>x" * n + "</b></i></p>" * n, "<b><i>x</b>" * n, "<div class=ad>word, " * n, "<div><li>" * n):
+        began = time.perf_counter()
+        m.main_blocks(page)
+        assert time.perf_counter() - began < 15
+
+
+def slow_ratios(blocks):
+    """{path: (fused, own)} of (path, text, link characters), one block at a time."""
+    paths = [p for p, *_ in blocks]
+    value = {}
+    for p in set(paths):
+        own = [(max(0, len(t) - k), sum(c in '.,;:!?\'"()-' for c in t) if 2 * k < len(t) else 0) for q, t, k in blocks if q == p]
+        value[p] = tuple(sum(x) / len(own) for x in zip(*own))
+    fused = []
+    for i in range(len(blocks)):
+        near = [(math.exp(-((i - j) ** 2) / 2), value[paths[j]]) for j in range(max(0, i - 2), min(len(blocks), i + 3))]
+        weight = sum(w for w, _ in near)
+        fused.append(math.sqrt(sum(w * v[0] for w, v in near) / weight * (sum(w * v[1] for w, v in near) / weight + 1)))
+    return {p: (sum(f for q, f in zip(paths, fused) if q == p) / paths.count(p), math.sqrt(value[p][0] * (value[p][1] + 1))) for p in set(paths)}
+
+
+def test_ratios_as_brute_force():
+    rng = random.Random(6)
+    for _ in range(50):
+        made = []
+        for _ in range(rng.randrange(1, 30)):
+            text = "".join(rng.choices("abc ,.", k=rng.randrange(1, 60))).strip() or "a"
+            made.append((rng.randrange(5), text, rng.choice([0, 0, len(text), len(text) // 2])))
+        r = m.ratios([m.Block(p, [], k, t) for p, t, k in made], 5)
+        for p, (fused, own) in slow_ratios(made).items():
+            assert math.isclose(r.fused[p], fused) and math.isclose(r.own[p], own)
+
+
 def test_rows(spark):
     rows = [(1, "u", None), (2, None, ""), (3, "u", "<p>a b</p>"), (3, "u", "<p>a b</p>"), (None, "u", "<article><p>é!</article>")]
     df = spark.createDataFrame([(*r, "x", 9) for r in rows], "page_id long, url string, html string, text string, n_chars int")
