@@ -4,6 +4,7 @@ from collections import Counter
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from gazette.llm import op7_quality as m
 
@@ -72,3 +73,46 @@ def test_shouting_counts_letters_of_every_script(spark):
     rejected = [greek.upper(), words("МОСКВА").upper(), " ".join(f"WORD{i}" for i in range(60))]
     df = spark.createDataFrame(list(enumerate(kept + rejected)), "doc_id long, text string")
     assert sorted(r.doc_id for r in m.keep_good(df).collect()) == list(range(len(kept)))
+
+
+def test_any_order_gives_one_verdict(spark):
+    import itertools
+    import random
+
+    df = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    names = ["short", m.REPEATS, *[r.name for r in m.default_rules("x")]]
+    want = {r.doc_id for r in m.judge(df).select("doc_id", "_quality.kept").collect() if r.kept}
+    rng = random.Random(1)
+    for order in [names, names[::-1], *(rng.sample(names, len(names)) for _ in range(2))]:
+        assert {r.doc_id for r in m.keep_good(df, order=order).collect()} == want
+    assert {r.doc_id for r in m.keep_good(df).collect()} == want
+
+
+def test_columns_of_any_name_stay(spark):
+    text = " ".join(f"word{i}" for i in range(60))
+    df = spark.createDataFrame([(1, text, 7, "a", 5, 3)], "doc_id long, text string, _quality_row int, _quality_text string, _QUALITY_bits int, __quality_row int")
+    assert [tuple(r) for r in m.keep_good(df).collect()] == [(1, text, 7, "a", 5, 3)]
+    found = m.judge(df).first()
+    assert found["_quality"].kept and tuple(found)[:-1] == (1, text, 7, "a", 5, 3)
+
+
+def test_measures_cost(spark):
+    df = spark.range(2000).selectExpr("id as doc_id", "repeat(concat('some words ', id, ' '), 200) as text")
+    at = "_f"
+    sample = m.with_counts(df, at).cache()
+    dear = m.Rule("dear", F.size(F.array_distinct(F.transform(F.col("_f.words"), lambda w: F.sha2(w, 512)))) < 0)
+    cheap = m.Rule("cheap", F.col("_f.n_words") < 0)
+    by = {x.name: x for x in m.measure(sample, at, [dear, cheap])}
+    assert by["dear"].seconds > by["cheap"].seconds
+    assert [r.name for r in m.in_order([dear, cheap], list(by.values()))] == ["cheap", "dear"]
+
+
+def test_windows_themselves(spark):
+    """The way for colliding hashes gives what the fast one does."""
+    texts = ["a b c a b c", "x", "a a a a a", " ".join("ab"[i % 2] + str(i % 7) for i in range(200)), "p q r s t u"]
+    df = m.with_counts(spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string"), "_f")
+    rows = df.select("doc_id", F.when(F.size("_f.words") >= 3, m._by_windows(F.col("_f.words"))).alias("spots")).collect()
+    for r in rows:
+        w = texts[r.doc_id].split()
+        g = [tuple(w[i : i + 3]) for i in range(len(w) - 2)]
+        assert (r.spots or []) == [i for i in range(len(g)) if g.count(g[i]) > 1]
