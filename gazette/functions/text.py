@@ -158,6 +158,11 @@ def stamp(c: Column, end_of_day: bool = False) -> Column:
     return F.concat(F.date_format(c, "yyyyMMdd"), F.lit("2359" if end_of_day else "0000"))
 
 
+def stamp_minute(c: Column) -> Column:
+    """yyyyMMddHHmm of a timestamp."""
+    return F.date_format(c, "yyyyMMddHHmm")
+
+
 def stamp_date(c: Column) -> Column:
     return F.to_date(F.substring(c, 1, 8), "yyyyMMdd")
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from gazette.functions.rules import Rules, excluded_by, match_groups
 from gazette.functions.text import WS, let
+from gazette.operators.ordering import numbered
 
 # Words that say nothing, endings that are stripped, and the patterns of what is no word.
 STOP_WORDS = tuple(
@@ -129,16 +130,8 @@ def what_if(df: DataFrame, word: str, title: Column, text: Column, rules: Rules)
 
 
 def systematic_sample(df: DataFrame, n: int, *order: str) -> DataFrame:
-    """Rows floor(i * len / n) of df in order, all of them if there are no more than n.
-
-    Rows are numbered inside range partitions; only partition sizes are summed in one place.
-    """
-    parts = df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()).persist()
-    sizes = parts.groupBy("_part").agg(F.count("*").alias("_size"))
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # a row a partition
-    bases = sizes.select("_part", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_base"), F.sum("_size").over(Window.partitionBy()).alias("_total"))
-    inside = F.row_number().over(Window.partitionBy("_part").orderBy(*order)) - 1
-    i = F.col("_base") + F.col("_row")
-    first = F.ceil(i * n / F.col("_total"))
-    chosen = (F.col("_total") <= n) | (F.floor(first * F.col("_total") / n) == i) & (first < n)
-    return parts.withColumn("_row", inside).join(F.broadcast(bases), "_part").where(chosen).drop("_part", "_base", "_total", "_row")
+    """Rows floor(i * len / n) of df in order, all of them if there are no more than n."""
+    rows = numbered(df, *order, index="_i", total="_total")
+    first = F.ceil(F.col("_i") * n / F.col("_total"))
+    chosen = (F.col("_total") <= n) | ((F.floor(first * F.col("_total") / n) == F.col("_i")) & (first < n))
+    return rows.where(chosen).select(*df.columns)

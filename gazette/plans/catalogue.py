@@ -15,9 +15,10 @@ from pyspark.sql import functions as F
 from gazette.functions import text as t
 from gazette.functions.deadline import extract_deadline
 from gazette.functions.rules import Rules, excluded_by, match_groups, matched_word
-from gazette.operators import discovery, normalize, retention, views
+from gazette.operators import discovery, normalize, ordering, retention, views
 from gazette.operators.upsert import last_write, upsert
 from gazette.sources import boards, envelope, windows
+from gazette.sources.stores import scratch
 
 AS_OF = "1998-06-15"
 EVENTS_AS_OF = "2024-01-20"
@@ -199,6 +200,17 @@ def deadline_slash(spark, sf_dir):
     return _deadlines(spark, sf_dir, lambda p, d: _phrase("(접수 ", _month(p), "/", _of(p), "~", _month(d), "/", _of(d), ")"))
 
 
+@register("deadline_same_month", _KNOWN)
+def deadline_same_month(spark, sf_dir):
+    return _deadlines(spark, sf_dir, lambda p, d: _phrase("접수 ", _month(d), "월 1~", _of(d), "일"))
+
+
+@register("deadline_no_such_day", _KNOWN)
+def deadline_no_such_day(spark, sf_dir):
+    """Days that no calendar has are passed over."""
+    return _deadlines(spark, sf_dir, lambda p, d: _phrase("접수 ~ 2. 30. 접수 ~ 13. 5. 접수 ~ 2026. 6. 31. 접수 ~ 0. 9. 접수 ~ ", F.date_format(d, "yyyy. M. d.")))
+
+
 @register("deadline_year_infer", f"select o_orderkey, cast({_POST} + cast(o_orderkey % 45 as int) - 30 as varchar) as deadline from orders")
 def deadline_year_infer(spark, sf_dir):
     return _deadlines(spark, sf_dir, lambda p, d: _phrase("모집 ~ ", _month(d), ". ", _of(d), "."), shift=-30)
@@ -275,6 +287,18 @@ def normalize_bids(spark, sf_dir):
     return found.select(F.col("bidNo").alias("bid_no"), "title", "org", "date", "deadline", "price", files.alias("files"), F.col("reNtce").alias("re_notice"))
 
 
+@register("normalize_opening", "select o_orderkey, case o_orderkey % 4 when 0 then strftime(o_orderdate, '%Y-%m-%d') || ' 10:30' when 1 then strftime(o_orderdate, '%Y-%m-%d') when 2 then strftime(o_orderdate, '%Y-%m-%d') || ' 09:00' else '' end as opening from orders")
+def normalize_opening(spark, sf_dir):
+    """The opening time, else that of a second opening; a date without a time stays a date."""
+    kind, day = F.col("o_orderkey") % 4, F.date_format("o_orderdate", "yyyy-MM-dd")
+    raw = read(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").cast("string").alias("bidNtceNo"),
+        F.when(kind == 0, F.concat(day, F.lit(" 10:30:00"))).when(kind == 1, day).when(kind == 3, "soon").otherwise("").alias("opengDt"),
+        F.when(kind == 2, F.concat(day, F.lit(" 09:00"))).when(kind == 0, "2001-01-01").alias("rbidOpengDt"),
+    )
+    return normalize.normalize_bid(raw).select(F.split("bidNo", "-")[0].cast("long").alias("o_orderkey"), "opening")
+
+
 @register("normalize_prespecs", "select cast(o_orderkey as varchar) as bid_no, '용역' as kind, o_orderpriority as title, case when o_orderkey % 4 = 0 then 'a|b' else '' end as converted, '규격서 2=u' as files from orders")
 def normalize_prespecs(spark, sf_dir):
     key = F.col("o_orderkey")
@@ -343,17 +367,32 @@ def retention_deadline_or_age(spark, sf_dir):
 @register(
     "gold_bids",
     f"""with p as (select p_partkey, {_EXCLUDED} as ex, {_GROUPS} as gs from part)
-    select o_orderkey, array_to_string(gs, ',') as kw from orders join p on o_custkey % 200 = p_partkey
+    select o_orderkey, array_to_string(gs, ',') as kw from orders join lineitem on l_orderkey = o_orderkey and l_linenumber = 1 join p on l_partkey = p_partkey
     where len(ex) = 0 and len(gs) > 0 and case when o_orderkey % 2 = 0 then {_AGE} - 20 <= 0 else o_orderkey % 7 = 0 or {_AGE} <= 30 end""",
 )
 def gold_bids(spark, sf_dir):
     parts = read(spark, sf_dir, "part").select(F.col("p_partkey").alias("k"), F.col("p_name").alias("title"), F.col("p_type").alias("category"))
-    dated = _dated(spark, sf_dir).join(read(spark, sf_dir, "orders").select("o_orderkey", (F.col("o_custkey") % 200).alias("k")), "o_orderkey")
+    first = read(spark, sf_dir, "lineitem").where("l_linenumber = 1").select(F.col("l_orderkey").alias("o_orderkey"), F.col("l_partkey").alias("k"))
+    dated = _dated(spark, sf_dir).join(first, "o_orderkey")
     # The oracle's haystack has no further levels; trailing blanks match no word.
     notices = dated.join(parts, "k").withColumn("bidNo", F.col("o_orderkey").cast("string"))
     return views.gold(notices, RULES, AS_OF).select("o_orderkey", F.array_join("kw", ",").alias("kw"))
 
 
+@register(
+    "gold_prespecs",
+    f"""with p as (select p_partkey, {_EXCLUDED} as ex, {_GROUPS} as gs from part)
+    select p_partkey, array_to_string(gs, ',') as kw from p where len(ex) = 0 and len(gs) > 0 and p_partkey % 4 <> 0 and p_partkey % 40 <= 30""",
+)
+def gold_prespecs(spark, sf_dir):
+    """Prior specifications that aren't yet notices: by the numbers of notices on the row itself."""
+    key = F.col("p_partkey")
+    raw = read(spark, sf_dir, "part").select("p_partkey", _hay().alias("prdctClsfcNoNm"), key.cast("string").alias("bfSpecRgstNo"), F.date_format(F.date_sub(F.lit(AS_OF).cast("date"), (key % 40).cast("int")), "yyyy-MM-dd").alias("rcptDt"), F.when(key % 4 == 0, "n1, n2").otherwise(" , ").alias("bidNtceNoList"))
+    title = raw.select("p_partkey", F.col("bfSpecRgstNo").alias("bidNo")).join(read(spark, sf_dir, "part").select("p_partkey", F.col("p_name").alias("title"), F.col("p_type").alias("category")), "p_partkey")
+    found = normalize.normalize_prespec(raw).drop("title").join(title, "bidNo")
+    return views.gold(found, RULES, AS_OF, converted="bidNtceNoList").select("p_partkey", F.array_join("kw", ",").alias("kw"))
+
+
 @register("gold_prespec_anti", "select o_orderkey from orders where not exists (select 1 from lineitem where l_orderkey = o_orderkey and l_returnflag = 'R')")
 def gold_prespec_anti(spark, sf_dir):
     """Not yet converted, with the conversions in a table of their own."""
@@ -373,10 +412,22 @@ def windows_calendar(spark, sf_dir):
     return windows.windows(spark, 400, AS_OF).withColumnRenamed("end", "end_at")
 
 
-@register("months_missing", "select strftime(m, '%Y-%m') as ym from generate_series(timestamp '1995-01-01', timestamp '1998-06-01', interval 1 month) g(m) where m not in (select date_trunc('month', o_orderdate) from orders where o_orderkey % 50 = 0)")
+@register("months_missing", "select strftime(m, '%Y-%m') as ym from generate_series(timestamp '1990-01-01', timestamp '2000-06-01', interval 1 month) g(m) where m not in (select date_trunc('month', o_orderdate) from orders)")
 def months_missing(spark, sf_dir):
-    done = read(spark, sf_dir, "orders").where("o_orderkey % 50 = 0").select(F.date_format("o_orderdate", "yyyy-MM").alias("ym")).distinct()
-    return windows.pending(windows.months(spark, "1995-01", AS_OF), done, ["ym"]).select("ym")
+    done = read(spark, sf_dir, "orders").select(F.date_format("o_orderdate", "yyyy-MM").alias("ym")).distinct()
+    return windows.pending(windows.months(spark, "1990-01", "2000-06-15"), done, ["ym"]).select("ym")
+
+
+@register(
+    "windows_pending",
+    f"""select strftime(m, '%Y%m%d') || '0000' as bgn, 'op|00|' || strftime(m, '%Y%m%d') || '0000' as key
+    from generate_series(date_trunc('month', date '{AS_OF}' - 400)::timestamp, timestamp '{AS_OF}', interval 1 month) g(m) where month(m) % 3 <> 0 or m + interval 1 month > date '{AS_OF}'""",
+)
+def windows_pending(spark, sf_dir):
+    """Quarters' last months are done, but the month that isn't over is always fetched again."""
+    planned = windows.windows(spark, 400, AS_OF)
+    done = planned.where("cast(substring(bgn, 5, 2) as int) % 3 = 0").select("bgn")
+    return windows.pending(planned, done, ["bgn"]).select("bgn", windows.window_key(F.lit("op"), F.lit("00"), F.col("bgn")).alias("key"))
 
 
 # --------------------------------------------------------------------- discovery
@@ -401,6 +452,24 @@ def token_df(spark, sf_dir):
     return discovery.document_frequency(read(spark, sf_dir, "documents"), discovery.tokens(F.col("text"))).where("n >= 5")
 
 
+@register("token_korean", "select token, count(*) as n from (select unnest(case when p_partkey % 2 = 0 then ['청년창업지원', '청년창업', p_mfgr_first, '교육서비스', '교육'] else ['홍보관리', '홍보', p_mfgr_first] end) as token from (select p_partkey, string_split(p_type, ' ')[1] as p_mfgr_first from part)) where length(token) >= 2 group by token")
+def token_korean(spark, sf_dir):
+    """Titles with stop words, years, ordinals, numbers, punctuation and endings."""
+    even = F.concat(F.lit("[공고] 2024년 「청년창업지원」 사업 "), F.split("p_type", " ")[0], F.lit(" 교육서비스 운영(12) 3.5"))
+    odd = F.concat(F.lit("제2차 홍보관리 용역, "), F.split("p_type", " ")[0], F.lit(" 및 긴급·재공고 1999 내"))
+    titles = read(spark, sf_dir, "part").select(F.when(F.col("p_partkey") % 2 == 0, even).otherwise(odd).alias("title"))
+    return discovery.document_frequency(titles, discovery.tokens(F.col("title")))
+
+
+@register("token_examples", "select token, n, (select arg_min(p_name, p_partkey) from part where contains(p_name, token)) as example, substr((select arg_min(p_name, p_partkey) from part where contains(p_name, token)), 1, 6) as short from (select unnest(list_distinct(string_split_regex(p_name, '\\s+'))) as token, count(*) as n from part group by 1 order by n desc, token limit 10)")
+def token_examples(spark, sf_dir):
+    """The most frequent words, each with the first title that holds it, whole and cut."""
+    parts = read(spark, sf_dir, "part")
+    top = discovery.document_frequency(parts, F.array_distinct(F.split("p_name", r"\s+"))).orderBy(F.desc("n"), "token").limit(10)
+    found = discovery.examples(top, parts, "p_name", "p_partkey")
+    return found.select("token", "n", "example", discovery.cut(F.col("example"), 6).alias("short"))
+
+
 @register(
     "token_lift",
     _DOC_CLASSES
@@ -493,11 +562,18 @@ def visible_items(spark, sf_dir):
     return views.visible(_board(spark, sf_dir), EVENTS_AS_OF, "ydp", True, True, "click|교육", " K & 1 ").select("url")
 
 
-@register("sort_blank_last", _BOARD + "select url, row_number() over (order by deadline desc nulls last, date desc, url) as rank from b qualify rank <= 500")
+@register("sort_blank_last", _BOARD + "select url, row_number() over (order by deadline desc nulls last, date desc, url) as rank from b")
 def sort_blank_last(spark, sf_dir):
-    top = _board(spark, sf_dir).orderBy(*views.sort_order("deadline", True)).limit(500)
-    rank = F.row_number().over(discovery.Window.orderBy(*views.sort_order("deadline", True)))  # over 500 rows
-    return top.select("url", rank.cast("long").alias("rank"))
+    found = ordering.numbered(_board(spark, sf_dir), *views.sort_order("deadline", True))
+    return found.select("url", (F.col("index") + 1).cast("long").alias("rank"))
+
+
+@register("order_numeric_id", "select o_orderkey, row_number() over (order by o_orderkey desc) as rank from orders")
+def order_numeric_id(spark, sf_dir):
+    """Ids kept as text, ordered as numbers."""
+    ids = read(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("string").alias("id"))
+    found = ordering.numbered(ids, F.col("id").cast("long").desc())
+    return found.select(F.col("id").cast("long").alias("o_orderkey"), (F.col("index") + 1).cast("long").alias("rank"))
 
 
 @register("last_seen_kst", "select strftime(max(ts) + interval 9 hour, '%Y-%m-%d %H:%M') as last_seen from events")
@@ -547,6 +623,53 @@ def html_rows(spark, sf_dir):
     return boards.list_board(pages, "html", "https://example.org/view?id=").select("s_suppkey", F.col("nttNo").alias("no"), "title", "dept", "date", "url")
 
 
+@register(
+    "html_cards",
+    "select 'https://example.org/n/' || s_suppkey as url, '모집 ' || s_suppkey || ' & A' as title, '2026-08-07' as date, case when s_suppkey % 2 = 0 then '행정' else '' end as category, case when s_suppkey % 2 = 0 then '접수 ~ 8. 20.' else '' end as summary, case when s_suppkey % 2 = 0 then '2026-08-20' end as deadline from supplier",
+)
+def html_cards(spark, sf_dir):
+    k, even = F.col("s_suppkey").cast("string"), F.col("s_suppkey") % 2 == 0
+    more = F.when(even, '<i class="p_work">[행정]</i><span class="ais-cont">접수\n ~ 8. 20.</span>').otherwise("")
+    card = F.concat(F.lit('<div class="item"><a href="https://example.org/n/'), k, F.lit('">x</a><em class="subject">모집<br/>'), k, F.lit(' &amp; <b>A</b></em><em class="date"> 2026-08-07</em>'), more, F.lit("</div>"))
+    html = F.concat(F.lit("<div>head"), card, F.lit('<div class="item"><em class="subject">no link</em><em class="date">2026-08-07</em></div>'))
+    return boards.card_board(read(spark, sf_dir, "supplier").select(html.alias("html")), "html")
+
+
+@register(
+    "html_portal",
+    "select cast(s_suppkey as varchar) as id, '제목 ' || s_suppkey as title, '부산' as org, '2026-08-01' as date, '신청 8월 ' || (1 + s_suppkey % 20) || '일까지' as summary, strftime(date '2026-08-01' + cast(s_suppkey % 20 as int), '%Y-%m-%d') as deadline, "
+    "case when s_suppkey % 3 = 0 then 'https://example.org/portal/locgovNews/' || s_suppkey when s_suppkey % 3 = 1 then 'https://city.example/a?b=1&c=2' else 'https://example.org/b' end as url from supplier",
+)
+def html_portal(spark, sf_dir):
+    k, kind = F.col("s_suppkey").cast("string"), F.col("s_suppkey") % 3
+    link = F.when(kind == 1, '<a href="//city.example/a?b=1&amp;c=2" target="x"> 원문보기</a>').when(kind == 2, '<a href="/b">원문보기</a>').otherwise("")
+    one = F.concat(F.lit('<dt class="pcb"><a href="/portal/locgovNews/'), k, F.lit('?x=1" class="t">제목 <b>'), k, F.lit('</b></a></dt><dd class="cont">신청 8월 '), (1 + F.col("s_suppkey") % 20).cast("string"), F.lit('일까지</dd><div class="sorting-area"> <span>부산</span></div> 등록일 2026.08.01 '), link)
+    html = F.concat(F.lit("<dl>"), one, F.lit('<dt class="pcb"><a href="/other">no id</a></dt></dl>'))
+    return boards.portal_board(read(spark, sf_dir, "supplier").select(html.alias("html")), "html", "https://example.org")
+
+
+@register("html_events", "select 'EVEN_' || s_suppkey as event_id, '행사 ' || s_suppkey as title, '부산' as region, '2026-08-01 ~ 2026-08-31' as period, 'org' as org, '2026-08-01' as date, 'https://example.org/e/EVEN_' || s_suppkey as url from supplier")
+def html_events(spark, sf_dir):
+    k = F.col("s_suppkey").cast("string")
+    row = F.concat(F.lit('<tr><td>1</td><td>부산</td><td><a href="?eventInfoId=EVEN_'), k, F.lit('">행사 '), k, F.lit('</a></td><td><span class="day">2026-08-01 ~\n 2026-08-31</span></td><td>org</td><td>2026-08-01</td></tr>'))
+    html = F.concat(F.lit("<table><tbody>"), row, F.lit("<tr><td>short</td></tr><tr><td>1</td><td>a</td><td>no id</td><td>b</td><td>c</td><td>d</td></tr></tbody></table>"))
+    return boards.event_board(read(spark, sf_dir, "supplier").select(html.alias("html")), "html", "https://example.org/e/").withColumnRenamed("eventId", "event_id")
+
+
+@register(
+    "json_failures",
+    "select event_id, case event_id % 6 when 0 then null when 1 then 'daily_quota' when 2 then 'range' when 3 then 'other' when 4 then 'other' else case when event_id % 12 = 5 then 'daily_quota' else 'rate' end end as failure from events",
+)
+def json_failures(spark, sf_dir):
+    """What a failed response means; HTTP 429 is the day's quota on a run's first call only."""
+    kind = (F.col("event_id") % 6).cast("int")
+    bodies = ('{"response": {"header": {"resultCode": "00"}}}', '{"OpenAPI_ServiceResponse": {"cmmMsgHeader": {"errMsg": "SERVICE ERROR", "returnAuthMsg": "LIMITED_NUMBER_OF_SERVICE_REQUESTS_EXCEEDS_ERROR"}}}', '{"nkoneps.com.response.ResponseError": {"header": {"resultCode": "07"}}}', '{"response": {"header": {"resultCode": "99"}}}', "<html>")
+    parsed = envelope.status(F.coalesce(F.get(F.array(*map(F.lit, bodies)), kind), F.lit("")))
+    limited = F.struct(F.lit("http").alias("kind"), F.lit("429").alias("code"), F.lit("").alias("message"))
+    found = read(spark, sf_dir, "events").select("event_id", F.when(kind == 5, limited).otherwise(parsed).alias("status"))
+    return found.select("event_id", envelope.failure_class("status", F.col("event_id") % 12 == 5).alias("failure"))
+
+
 @register("entities", "select s_suppkey, '<b>\"' || chr(44032 + cast(s_suppkey as int)) || 'A&lt;' as decoded from supplier")
 def entities(spark, sf_dir):
     coded = F.concat(F.lit("&lt;b&gt;&#034;&#"), (F.col("s_suppkey") + 44032).cast("string"), F.lit(";&#x41;&amp;lt;"))
@@ -578,29 +701,29 @@ def json_polymorphic_items(spark, sf_dir):
 # ------------------------------------------------- streaming and extensions
 
 
-def _scratch(spark: SparkSession) -> str:
-    """A new folder where driver and executors both see it."""
-    import tempfile
-    import uuid
-
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = "file://" + tempfile.mkdtemp(prefix="gazette-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/gazette/{uuid.uuid4().hex}"
-
-
 @register("stream_upsert_available_now", f"select user_id, event_type, event_id, value, '{_NOW}' as first_seen from events qualify row_number() over (partition by user_id, event_type order by ts desc, event_id desc) = 1")
 def stream_upsert_available_now(spark, sf_dir):
     from gazette.streaming.upserts import UpsertSink, parquet_stream, run_available
 
     path = os.path.join(sf_dir, "events.parquet")
     stream = parquet_stream(spark, path).select("user_id", "event_type", "event_id", "value", "ts")
-    at = _scratch(spark)
+    at = scratch(spark)
     found = run_available(stream, UpsertSink(spark, f"{at}/table", ["user_id", "event_type"], ["ts", "event_id"], _NOW), f"{at}/checkpoint")
     return found.select("user_id", "event_type", "event_id", "value", F.col("first_seen").cast("string").alias("first_seen"))
 
 
+@register("stream_dedup_keys", "select distinct user_id, event_type from events")
+def stream_dedup_keys(spark, sf_dir):
+    """The first event of each key within the watermark; which one that is depends on arrival, so keys are shown."""
+    from gazette.streaming.upserts import dedup_stream, parquet_stream
+
+    at = scratch(spark)
+    stream = parquet_stream(spark, os.path.join(sf_dir, "events.parquet")).select("user_id", "event_type", F.col("ts").cast("timestamp").alias("ts"))
+    query = dedup_stream(stream, ["user_id", "event_type"], "ts", "3650 days").writeStream.option("checkpointLocation", f"{at}/checkpoint").trigger(availableNow=True).start(f"{at}/found", format="parquet")
+    query.awaitTermination()
+    return spark.read.parquet(f"{at}/found").select("user_id", "event_type")
+
+
 @register("ext_competition", "select case when l_extendedprice < 10000 then 'low' when l_extendedprice < 50000 then 'middle' else 'high' end as band, count(*) as n, round(avg(l_quantity), 6) as mean, median(l_quantity) as median, count(*) filter (where l_quantity = 1) as single, count(*) filter (where l_quantity >= 10) as ten from lineitem group by 1")
 def ext_competition(spark, sf_dir):
     """Extension: bidders by amount band."""

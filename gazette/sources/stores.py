@@ -3,12 +3,25 @@
 from __future__ import annotations
 
 import json
+import tempfile
+import uuid
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def scratch(spark: SparkSession) -> str:
+    """A new path in the folder that driver and executors share, ``spark.checkpoint.dir``; a temporary one is set where there is none (a single machine)."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        base = "file://" + tempfile.mkdtemp(prefix="gazette-")
+        spark.conf.set("spark.checkpoint.dir", base)
+    return f"{base.rstrip('/')}/gazette/{uuid.uuid4().hex}"
+
+
 def load_json(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """An array of records; a missing file is an empty table."""
     try:
@@ -19,9 +32,19 @@ def load_json(spark: SparkSession, path: str, schema: str) -> DataFrame:
         raise
 
 
+def load_lenient(spark: SparkSession, path: str, schema: str) -> tuple[DataFrame, str | None]:
+    """(table, what went wrong): a store that can't be read is an empty table, records that can't are left out."""
+    try:
+        found = spark.read.schema(schema).option("mode", "DROPMALFORMED").json(path, multiLine=True)
+        found.isEmpty()  # so that a file that can't be read shows here
+        return found, None
+    except Exception as e:  # noqa: BLE001 - any error, by contract
+        return spark.createDataFrame([], schema), f"{type(e).__name__}: {str(e)[:200]}"
+
+
 def load_keyed_json(spark: SparkSession, path: str, record: str, key: str = "key") -> DataFrame:
-    """A file {key: record, ...}, a row each."""
-    raw = spark.read.text(path, wholetext=True)
+    """Files of {key: record, ...} objects on a line each, a row a record."""
+    raw = spark.read.text(path)
     return raw.select(F.explode(F.from_json("value", f"map<string,{record}>")).alias(key, "_v")).select(key, "_v.*")
 
 
@@ -31,6 +54,21 @@ def save(df: DataFrame, path: str, month: str | None = None) -> None:
     (writer.partitionBy("ym") if month else writer).parquet(path)
 
 
+def save_json(df: DataFrame, path: str, pretty: bool = False) -> None:
+    """Overwrites a folder of JSON records, a line each (``pretty``: indented, a blank line between records)."""
+    if not pretty:
+        df.write.mode("overwrite").json(path)
+        return
+    shown = F.to_json(F.struct(*df.columns), {"pretty": "true"})
+    df.select(F.concat(shown, F.lit("\n")).alias("value")).write.mode("overwrite").text(path)
+
+
+def save_keyed_json(df: DataFrame, path: str, key: str = "key") -> None:
+    """Overwrites a folder of lines {key: record}; each line is one that load_keyed_json reads."""
+    rest = [c for c in df.columns if c != key]
+    df.select(F.to_json(F.create_map(F.col(key), F.struct(*rest))).alias("value")).write.mode("overwrite").text(path)
+
+
 def save_unless_all_failed(df: DataFrame, path: str, n_parts: int, n_failed: int) -> None:
     """Keeps what is stored when no part could be read."""
     if n_parts and n_failed >= n_parts:
