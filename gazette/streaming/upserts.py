@@ -10,38 +10,70 @@ from pyspark.sql import functions as F
 from gazette.operators.upsert import upsert
 
 
+#: Buckets that a table's keys are dealt to; a batch rewrites those it touches.
+BUCKETS = 64
+
+
 class UpsertSink:
-    """``foreachBatch`` sink that keeps a keyed table in versions: each batch writes the next and then names it.
+    """``foreachBatch`` sink that keeps a keyed table in buckets of the key's hash.
 
-    A batch that is repeated after a failure gives the same rows, and a half-written version is never named.
+    Each batch writes a new version of the buckets it touches, beside the old one, and then names it; all others stay as they
+    are. A batch that is repeated after a failure gives the same rows, and a half-written version is never named.
     """
 
-    def __init__(self, spark: SparkSession, path: str, key: list[str], seq: list[str], now: str):
-        self.spark, self.path, self.key, self.seq, self.now = spark, path.rstrip("/"), key, seq, now
+    def __init__(self, spark: SparkSession, path: str, key: list[str], seq: list[str], now: str, buckets: int = BUCKETS):
+        self.spark, self.path, self.key, self.seq, self.now, self.buckets = spark, path.rstrip("/"), key, seq, now, buckets
 
-    def _versions(self) -> DataFrame | None:
-        hadoop = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/versions")
-        exists = hadoop.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(hadoop)
-        return self.spark.read.schema("batch long, data string").json(f"{self.path}/versions") if exists else None
+    def _hadoop(self, path: str):
+        at = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return at, at.getFileSystem(self.spark._jsc.hadoopConfiguration())
 
-    def current(self, before: int | None = None) -> DataFrame | None:
-        """The table as of the last batch, or the last before a batch."""
-        versions = self._versions()
-        if versions is None:
-            return None
+    def _newest(self, before: int | None = None) -> dict[int, str]:
+        """The folder of each bucket as of the last batch, or the last before a batch."""
+        at, files = self._hadoop(f"{self.path}/versions")
+        if not files.exists(at):
+            return {}
+        named = self.spark.read.schema("batch long, bucket int, data string").json(f"{self.path}/versions")
         if before is not None:
-            versions = versions.where(F.col("batch") < before)
-        last = versions.orderBy(F.desc("batch")).first()
-        return self.spark.read.parquet(last.data) if last else None
+            named = named.where(F.col("batch") < before)
+        # A repeated batch names its buckets again; either version holds the same rows.
+        newest = named.groupBy("bucket").agg(F.max(F.struct("batch", "data")).getField("data").alias("data"))
+        return {r.bucket: r.data for r in newest.collect()}  # a row a bucket
+
+    def _read(self, folders: dict[int, str]) -> DataFrame | None:
+        return self.spark.read.parquet(*[folders[b] for b in sorted(folders)]) if folders else None
+
+    def current(self, before: int | None = None) -> DataFrame | None:
+        return self._read(self._newest(before))
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        old = self.current(batch_id)
+        bucket = F.pmod(F.xxhash64(*self.key), F.lit(self.buckets)).cast("int")
+        known = batch.dropna(subset=self.key)
+        touched = {r[0] for r in known.select(bucket).distinct().collect()}  # a row a bucket
+        if not touched:
+            return
         now = F.lit(self.now).cast("timestamp")
+        old = self._read({b: d for b, d in self._newest(batch_id).items() if b in touched})
         if old is None:
             old = self.spark.createDataFrame([], batch.schema).withColumn("first_seen", now)
         data = f"{self.path}/data/{batch_id}-{uuid.uuid4().hex[:8]}"
-        upsert(old, batch, self.key, self.seq, now).write.parquet(data)
-        self.spark.createDataFrame([(batch_id, data)], "batch long, data string").coalesce(1).write.mode("append").json(f"{self.path}/versions")
+        upsert(old, known, self.key, self.seq, now).withColumn("_bucket", bucket).write.partitionBy("_bucket").parquet(data)
+        names = [(batch_id, b, f"{data}/_bucket={b}") for b in sorted(touched)]
+        self.spark.createDataFrame(names, "batch long, bucket int, data string").coalesce(1).write.mode("append").json(f"{self.path}/versions")
+
+    def clean(self) -> int:
+        """Deletes the buckets' versions that are no longer the newest, after readers of old ones are done; gives their number."""
+        at, files = self._hadoop(f"{self.path}/data")
+        if not files.exists(at):
+            return 0
+        kept = {d.removeprefix("file://").split("/data/", 1)[1] for d in self._newest().values()}
+        gone = 0
+        for version in files.listStatus(at):
+            for bucket in files.listStatus(version.getPath()):
+                name = f"{version.getPath().getName()}/{bucket.getPath().getName()}"
+                if bucket.isDirectory() and name not in kept:
+                    gone += bool(files.delete(bucket.getPath(), True))
+        return gone
 
 
 def parquet_stream(spark: SparkSession, path: str) -> DataFrame:

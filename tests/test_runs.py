@@ -191,3 +191,22 @@ def test_runs(spark, tmp_path, capsys):
     found = jobs.unified(loaded, {"a": "에이"}).first()
     assert (found.src, found.title, found.org) == ("a", "t", "에이")
     assert jobs.report(spark, spark.createDataFrame([("x 공사",), ("수출",)], "title string"), Rules({"g": ("수출",)}, ("공사",))).count() == 2
+
+
+def test_sink_rewrites_touched_buckets_only(spark, tmp_path):
+    from gazette.streaming.upserts import UpsertSink
+
+    sink = UpsertSink(spark, f"file://{tmp_path}/t", ["k"], ["v"], "2024-01-01 00:00:00", buckets=16)
+    frame = lambda rows: spark.createDataFrame(rows, "k long, v long, w string")
+    sink(frame([(i, 1, "a") for i in range(200)] + [(None, 1, "x")]), 0)
+    first = sink._newest()
+    sink(frame([(7, 2, "b"), (7, 1, "late")]), 1)
+    sink(frame([(7, 2, "b"), (7, 1, "late")]), 1)  # repeated after a failure
+    second = sink._newest()
+    assert sum(first[b] != second[b] for b in first) == 1
+    rows = {r.k: (r.v, r.w) for r in sink.current().collect()}
+    assert len(rows) == 200 and rows[7] == (2, "b") and rows[8] == (1, "a")
+    assert {r.k: r.w for r in sink.current(1).collect()}[7] == "a"
+    assert sink.clean() == 2 and {r.k: (r.v, r.w) for r in sink.current().collect()} == rows
+    sink(frame([]), 2)
+    assert sink.current().count() == 200
