@@ -1,10 +1,10 @@
 """Licence scans, with DataFrame functions only.
 
-1. The passages of a text are its lines, its blocks between blank lines, and the whole text.
+1. The passages of a text are its sentences, its lines, its blocks between blank lines, and the whole text.
    Headers, statements and whole licence files are all passages.
 2. Licence templates and passages are sparse TF-IDF vectors over words; document frequencies of the
-   template words are counted over all texts, any other word weighs as one that no text holds. A passage is
-   scored by its cosine to each template.
+   template words are counted over all texts, any other word weighs as the median of those that occur, so a line with a name or
+   a year scores alike in small and large tables. A passage is scored by its cosine to each template.
 3. Prefix filter: of each template the heaviest words are kept until the rest's norm is under the
    threshold. A passage with none of these anchors can't reach the threshold, so only texts and
    passages with one go on; nothing that would match is lost.
@@ -37,6 +37,7 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
         "Released under the MIT License.",
         "Licensed under the MIT License.",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the Software), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software",
+        "MIT License. Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the Software), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED AS IS, WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.",
     ),
     "Apache-2.0": (
         "Licensed under the Apache License, Version 2.0.",
@@ -59,9 +60,10 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
         "Licensed under the BSD 3-Clause License.",
         "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file.",
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. 3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS AS IS AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.",
     ),
-    "BSD-2-Clause": ("Licensed under the BSD 2-Clause License.", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer."),
-    "ISC": ("Licensed under the ISC License.", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."),
+    "BSD-2-Clause": ("Licensed under the BSD 2-Clause License.", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS AS IS AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer."),
+    "ISC": ("Licensed under the ISC License.", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.", "ISC License. Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS PROVIDED AS IS AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."),
     "MPL-2.0": ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.", "Mozilla Public License Version 2.0"),
     "CC-BY-4.0": ("Licensed under CC BY 4.0.", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
     "CC-BY-SA-4.0": ("Licensed under CC BY-SA 4.0.", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
@@ -75,6 +77,11 @@ LICENCE_FILES = r"(?i)^(licen[cs]e|copying|unlicense|notice)([._-].*)?$"
 #: What separates words.
 _BETWEEN = r"[^a-z0-9.]+"
 _BLANK_LINE = r"\n[ \t\r]*\n"
+_SENTENCE = r"[.!?][ \t\r\n]+"
+#: Dropped at both ends of a passage.
+_ENDS = " \t\r\n.!?"
+#: Rows up to which a table of directories is broadcast, and the salts by which a larger one is joined.
+BROADCAST_ROWS, SALTS = 200_000, 16
 
 
 def template_words(text: str) -> list[str]:
@@ -103,7 +110,8 @@ def inverse_frequency(df: DataFrame) -> tuple[dict[str, float], float]:
     found = {r.word: r.n for r in counts.unionByName(total).collect()}
     n = found.pop("", 0)
     weight = lambda k: math.log((n + 1) / (k + 1)) + 1
-    return {w: weight(found.get(w, 0)) for w in vocabulary()}, weight(0)
+    known = sorted(weight(k) for k in found.values())
+    return {w: weight(found.get(w, 0)) for w in vocabulary()}, known[(len(known) - 1) // 2] if known else weight(0)
 
 
 def unit_templates(idf: dict[str, float]) -> list[tuple[int, str, dict[str, float]]]:
@@ -133,8 +141,8 @@ def passages(df: DataFrame, words: list[str]) -> DataFrame:
     """row, passage of every passage with an anchor. df: row, text."""
     held = r"(?<![a-z0-9])(?:" + "|".join(re.escape(w) for w in sorted(words, key=lambda w: (-len(w), w))) + r")(?![a-z0-9])"
     low = df.where(F.col("text").isNotNull()).select("row", F.lower("text").alias("low")).where(F.col("low").rlike(held))
-    parts = F.concat(F.split("low", "\n"), F.split("low", _BLANK_LINE), F.array("low"))
-    return low.select("row", F.explode(F.array_distinct(F.transform(parts, lambda x: F.btrim(x, F.lit(" \t\r\n"))))).alias("passage")).where(F.col("passage").rlike(held))
+    parts = F.concat(F.split("low", "\n"), F.split("low", _BLANK_LINE), F.split("low", _SENTENCE), F.array("low"))
+    return low.select("row", F.explode(F.array_distinct(F.transform(parts, lambda x: F.btrim(x, F.lit(_ENDS))))).alias("passage")).where(F.col("passage").rlike(held))
 
 
 def scores(texts: DataFrame, vectors: list[tuple[int, str, dict[str, float]]], idf: dict[str, float], other: float, threshold: float) -> DataFrame:
@@ -178,6 +186,12 @@ def own_licences(rows: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     )
 
 
+def salted_join(left: DataFrame, right: DataFrame, key: str, by: Column) -> DataFrame:
+    """left's rows with those of right (one a key), a frequent key's rows dealt to SALTS tasks by ``by``; right is small beside left."""
+    each = right.withColumn("_salt", F.explode(F.array(*map(F.lit, range(SALTS)))))
+    return left.withColumn("_salt", F.pmod(F.xxhash64(by), F.lit(SALTS)).cast("int")).join(each, [key, "_salt"], "left").drop("_salt")
+
+
 def scan(df: DataFrame, path: Column, threshold: float = THRESHOLD) -> DataFrame:
     """df's rows with path, spdx, how ('own', 'inherited' or null), licence_dir, score, n_statements and all_spdx.
 
@@ -186,12 +200,12 @@ def scan(df: DataFrame, path: Column, threshold: float = THRESHOLD) -> DataFrame
     counts. An empty table gives none. Columns of df with the new columns' names, or those of ``inner``, are left out.
     """
     new = ("path", "spdx", "how", "licence_dir", "score", "n_statements", "all_spdx")
-    inner = {"row", "ids", "whole", "dir", "from_dir", "from_spdx", "from_score", "text"}
+    inner = {"row", "ids", "whole", "dir", "from_dir", "from_spdx", "from_score", "text", "_salt"}
     kept = [c for c in df.columns if c not in inner and c not in new]
     keyed = df.select(*[F.col(f"`{c}`") for c in kept], path.alias("path"), "text", F.md5(F.coalesce("text", F.lit(""))).alias("row"))
     own = materialize(own_licences(keyed.select("row", "text"), threshold), "own_licences")
-    bare = keyed.select(*[F.col(f"`{c}`") for c in kept], "path", "row", F.md5(F.btrim(F.lower("text"), F.lit(" \t\r\n"))).alias("whole"))
-    files = materialize(bare.join(own, "row", "left").withColumn("whole", F.coalesce(F.array_contains("ids", F.col("whole")), F.lit(False))), "licence_files")
+    bare = keyed.select(*[F.col(f"`{c}`") for c in kept], "path", "row", F.md5(F.btrim(F.lower("text"), F.lit(_ENDS))).alias("whole"))
+    files = materialize(salted_join(bare, own, "row", F.col("path")).withColumn("whole", F.coalesce(F.array_contains("ids", F.col("whole")), F.lit(False))), "licence_files")
     name = F.regexp_extract("path", r"([^/]*)$", 1)
     licence_files = files.where(F.col("spdx").isNotNull() & F.col("path").isNotNull() & (name.rlike(LICENCE_FILES) | F.col("whole")))
     given = licence_files.groupBy(F.array_join(F.filter(F.split(directory(F.col("path")), "/"), lambda x: x != ""), "/").alias("ancestor")).agg(F.min(F.struct((-F.col("score")).alias("less"), "spdx")).alias("best"))
@@ -199,7 +213,11 @@ def scan(df: DataFrame, path: Column, threshold: float = THRESHOLD) -> DataFrame
     above = need.select("dir", F.explode(ancestors(F.col("dir"))).alias("a")).select("dir", "a.depth", "a.ancestor")
     nearest = above.join(given, "ancestor").groupBy("dir").agg(F.max(F.struct("depth", "ancestor", "best")).alias("near"))
     nearest = nearest.select("dir", F.col("near.ancestor").alias("from_dir"), F.col("near.best.spdx").alias("from_spdx"), (-F.col("near.best.less")).alias("from_score"))
-    joined = files.withColumn("dir", F.when(F.col("spdx").isNull(), directory(F.col("path")))).join(nearest, "dir", "left")
+    nearest = materialize(nearest, "nearest_licences")
+    # Only rows that can inherit are joined.
+    heirs = files.where("spdx is null and path is not null").withColumn("dir", directory(F.col("path")))
+    heirs = heirs.join(F.broadcast(nearest), "dir", "left") if nearest.count() <= BROADCAST_ROWS else salted_join(heirs, nearest, "dir", F.col("path"))
+    joined = heirs.drop("dir").unionByName(files.where("spdx is not null or path is null"), allowMissingColumns=True)
     how = F.when(F.col("spdx").isNotNull(), F.lit("own")).when(F.col("from_spdx").isNotNull(), F.lit("inherited"))
     return joined.select(
         *[F.col(f"`{c}`") for c in kept],
@@ -234,16 +252,17 @@ d as (select doc_id, concat_ws('/', source, lang, cast(doc_id as varchar)) as pa
 size as (select count(*) as n from d),
 df as (select word, count(*) as n from (select distinct doc_id, unnest({words("low")}) as word from d) where word in (select word from t) group by word),
 idf as (select v.word, ln((size.n + 1) / (coalesce(df.n, 0) + 1)) + 1 as idf from (select distinct word from t) v left join df on v.word = df.word cross join size),
-other as (select ln((n + 1) / 1) + 1 as idf from size),
+other as (select coalesce((select quantile_disc(ln((size.n + 1) / (df.n + 1)) + 1, 0.5) from df), ln((size.n + 1) / 1) + 1) as idf from size),
 tw as (select template, spdx, t.word, t.n * idf as w from t join idf on t.word = idf.word),
 tn as (select template, sqrt(sum(w * w)) as norm from tw group by template),
 tu as (select tw.template, spdx, word, w / norm as u from tw join tn on tw.template = tn.template),
 p as (
-    select distinct doc_id, passage, passage = trim(low, chr(32) || chr(9) || chr(13) || chr(10)) as whole from (
+    select distinct doc_id, passage, passage = trim(low, chr(32) || chr(9) || chr(13) || chr(10) || '.!?') as whole from (
         select doc_id, low, trim(unnest(list_concat(string_split(low, chr(10)), string_split_regex(low, '
 [ 	
 ]*
-'), [low])), chr(32) || chr(9) || chr(13) || chr(10)) as passage from d)
+'), string_split_regex(low, '[.!?][ 	
+]+'), [low])), chr(32) || chr(9) || chr(13) || chr(10) || '.!?') as passage from d)
 ),
 pw as (select passage, word, count(*) as tf from (select passage, unnest({words("passage")}) as word from (select distinct passage from p)) group by passage, word),
 ww as (select passage, pw.word, tf * coalesce(idf.idf, other.idf) as w from pw left join idf on pw.word = idf.word cross join other),
