@@ -35,15 +35,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gazette.llm.components import components
-from gazette.llm.shared import WordCache, chunks, materialize, table
+from gazette.llm.shared import Disposable, WordCache, chunks, materialize, table
 
 SHINGLE = 5
 #: Links have 100 * |intersection| >= PERCENT * |union|.
 PERCENT = 75
 CHUNKS = 10
 SYMBOLS = 4 * CHUNKS
-#: Bits of the filter that prunes documents before a shuffle; what it lets through too much is dropped later.
-FILTER_BITS = 1 << 24
+#: Bits of the filter that prunes documents before a shuffle, by the number of ids; what it lets through too much is dropped
+#: later. Beyond the most (32 MB) it lets more through, which costs a shuffle and changes no result.
+LEAST_BITS, MOST_BITS, BITS_AN_ID = 1 << 20, 1 << 28, 16
 #: The column of row numbers where documents are dropped by row.
 ROW = "_row"
 
@@ -134,26 +135,31 @@ def sign(df: DataFrame) -> DataFrame:
 # --------------------------------------------------- pruning before shuffles
 
 
-def _slots(ids: np.ndarray) -> np.ndarray:
-    return (mix(ids.astype(np.int64).view(np.uint64)) % np.uint64(FILTER_BITS)).astype(np.int64)
+def _slots(ids: np.ndarray, size: int) -> np.ndarray:
+    return (mix(ids.astype(np.int64).view(np.uint64)) % np.uint64(size)).astype(np.int64)
+
+
+def filter_bits(n: int) -> int:
+    return min(MOST_BITS, max(LEAST_BITS, 1 << (BITS_AN_ID * n).bit_length()))
 
 
 def id_filter(ids: DataFrame) -> np.ndarray:
-    """A bitmap over hashed ids (one long column); FILTER_BITS / 64 rows at most come to the driver."""
+    """A bitmap over hashed ids (one long column); MOST_BITS / 64 rows at most come to the driver."""
+    size = filter_bits(ids.count())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at = np.unique(_slots(batch.column(0).fill_null(0).to_numpy()))
+            at = np.unique(_slots(batch.column(0).fill_null(0).to_numpy(), size))
             yield pa.RecordBatch.from_pydict({"word": at >> 6, "bits": np.left_shift(np.int64(1), at & 63)})
 
     found = ids.mapInArrow(run, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
-    out = np.zeros(FILTER_BITS // 64, np.int64)
+    out = np.zeros(size // 64, np.int64)
     out[found["word"].to_numpy()] = found["bits"].to_numpy()
     return out
 
 
 def in_filter(bits: np.ndarray, ids: pa.Array) -> np.ndarray:
-    at = _slots(ids.fill_null(0).to_numpy(zero_copy_only=False))
+    at = _slots(ids.fill_null(0).to_numpy(zero_copy_only=False), 64 * len(bits))
     return (bits[at >> 6] >> (at & 63)) & 1 == 1
 
 
@@ -272,7 +278,7 @@ def near_duplicates(df: DataFrame) -> DataFrame:
     probes = classes.select("node", "n_shingles", F.explode("keys").alias("key"))
     shared = probes.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     members = materialize(with_leaders(materialize(probes.join(shared, "key"), "members")), "led_members")
-    needed = classes.select("first_doc", "digest", "node").join(members.select("node").distinct(), "node", "left_semi")
+    needed = materialize(classes.select("first_doc", "digest", "node").join(members.select("node").distinct(), "node", "left_semi"), "needed")
     sets = materialize(full_sets(df, needed), "sets")
     tested = materialize(compare(star_pairs(members), sets), "tested")
     found = components(tested.where("linked"))
@@ -319,7 +325,8 @@ def keep_first(df: DataFrame) -> DataFrame:
     A null doc_id comes last; of rows with one doc_id in a component the first stays.
     """
     rows = numbered(df)
-    found = materialize(near_duplicates(by_row(rows)).where("not kept").select(F.col("doc_id").alias(ROW), "component_id"), "later_rows")
+    with Disposable(df.sparkSession) as d:
+        found = d.keep(near_duplicates(by_row(rows)).where("not kept").select(F.col("doc_id").alias(ROW), "component_id"), "later_rows")
     # A component's label is its first row, which is kept.
     members = found.unionByName(found.select(F.col("component_id").alias(ROW), "component_id").distinct())
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", ROW)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextvars
 import os
 import tempfile
 import uuid
@@ -28,8 +29,37 @@ def shared_dir(spark: SparkSession) -> str:
     return found
 
 
+#: The folder under the shared one for what is stored now; None: a new one for each table.
+_SCOPE: contextvars.ContextVar[str | None] = contextvars.ContextVar("scope", default=None)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark).rstrip('/')}/gazette/{uuid.uuid4().hex}/{name}"
+    at = f"{shared_dir(spark).rstrip('/')}/gazette"
+    return f"{at}/{_SCOPE.get()}/{uuid.uuid4().hex}/{name}" if _SCOPE.get() else f"{at}/{uuid.uuid4().hex}/{name}"
+
+
+class Disposable:
+    """``with Disposable(spark) as d``: tables stored inside are deleted at the end, but for those stored by ``d.keep``."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.name = spark, uuid.uuid4().hex
+
+    def __enter__(self) -> Disposable:
+        self.token = _SCOPE.set(self.name)
+        return self
+
+    def keep(self, df: DataFrame, name: str) -> DataFrame:
+        inner = _SCOPE.get()
+        _SCOPE.set(None)
+        try:
+            return materialize(df, name)
+        finally:
+            _SCOPE.set(inner)
+
+    def __exit__(self, *_) -> None:
+        _SCOPE.reset(self.token)
+        at = self.spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(self.spark).rstrip('/')}/gazette/{self.name}")
+        at.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
@@ -54,14 +84,14 @@ def utf8(column: pa.Array) -> list[bytes]:
     return [x or b"" for x in column.cast(pa.large_binary()).to_pylist()]
 
 
-def chunks(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
-    """Cuts Arrow batches so that each piece holds about CHUNK_BYTES of text (a text stays whole)."""
+def chunks(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = CHUNK_BYTES) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+    """Cuts Arrow batches so that each piece holds about ``limit`` bytes of text (a text stays whole)."""
     for batch in batches:
         sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
         at = 0
         while at < batch.num_rows:
             end, total = at, 0
-            while end < batch.num_rows and (end == at or total + sizes[end] <= CHUNK_BYTES):
+            while end < batch.num_rows and (end == at or total + sizes[end] <= limit):
                 total += sizes[end]
                 end += 1
             piece = batch.slice(at, end - at)
