@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gazette.llm import op2_decontaminate, op3_near_dup, op4_pieces, op7_quality, op10_secrets
-from gazette.llm.shared import materialize, table
+from gazette.llm.shared import Disposable, materialize, table
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,8 +31,10 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with an exact match of a benchmark window go."""
     rows = op3_near_dup.numbered(docs)
-    found = op2_decontaminate.find_contamination(op3_near_dup.by_row(rows), table(spark, sf_dir, "benchmark"), slop=0)
-    return op3_near_dup.without_rows(rows, found.where(F.size("hits") > 0).select(F.col("doc_id").alias(op3_near_dup.ROW)))
+    with Disposable(spark) as d:
+        found = op2_decontaminate.find_contamination(op3_near_dup.by_row(rows), table(spark, sf_dir, "benchmark"), slop=0)
+        dropped = d.keep(found.where(F.size("hits") > 0).select(F.col("doc_id").alias(op3_near_dup.ROW)), "contaminated")
+    return op3_near_dup.without_rows(rows, dropped)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
