@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gazette.llm.shared import CHUNK_BYTES, chunks, materialize, partitions, scratch_path, table
+from gazette.llm.shared import chunks, materialize, partitions, scratch_path, table
 
 WINDOW = 10
 #: Windows of test items in one pass over the index (about 1 kB each).
@@ -42,12 +42,13 @@ GAP = 64
 #: A word's postings are dealt to so many partitions.
 SALTS = 64
 #: Text of a block of documents (a longer document is a block of its own).
-BLOCK_BYTES = CHUNK_BYTES
+BLOCK_BYTES = 8_000_000
 
 #: Bytes of UTF-8 text: letters in lower case, what is no word as a space.
 _FOLD = bytes(32 if b < 48 or 58 <= b <= 64 or 91 <= b <= 96 or 123 <= b <= 127 else b + 32 if 65 <= b <= 90 else b for b in range(256))
 
-POSTED = "block long, term binary, n_docs int, places binary, rows array<long>, doc_ids array<long>, sizes array<int>"
+_ABOUT = "struct<rows: array<bigint>, doc_ids: array<bigint>, sizes: array<int>>"
+POSTED = f"block long, term binary, n_docs int, places binary, about {_ABOUT}"
 HITS = "row long, doc_id long, n_words long, hits array<int>, items array<string>, near_items array<string>"
 WINDOWS = "words array<binary>, item string"
 
@@ -86,22 +87,21 @@ def build_index(df: DataFrame, path: str) -> str:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = TaskContext.get().partitionId() << 32
-        schema = pa.schema([("block", pa.int64()), ("term", pa.binary()), ("n_docs", pa.int32()), ("places", pa.binary()), ("rows", pa.list_(pa.int64())), ("doc_ids", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int32()))])
-        none = lambda n, t: pa.nulls(n, t)
-        for piece, texts in chunks(batches):
+        longs, ints = pa.list_(pa.int64()), pa.list_(pa.int32())
+        about = pa.struct([("rows", longs), ("doc_ids", longs), ("sizes", ints)])
+        schema = pa.schema([("block", pa.int64()), ("term", pa.binary()), ("n_docs", pa.int32()), ("places", pa.binary()), ("about", about)])
+        for piece, texts in chunks(batches, limit=BLOCK_BYTES):
             block += 1
             words = [words_of(t) for t in texts]
             terms, n_docs, places = post(words)
-            n, lists = len(terms), pa.list_(pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array([block] * n, pa.int64()), terms, pa.array(n_docs, pa.int32()), places, none(n, lists), none(n, lists), none(n, pa.list_(pa.int32()))], schema=schema)
-            rows, ids = ([x.to_pylist()] for x in (piece.column("row"), piece.column("doc_id")))
-            yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), none(1, pa.binary()), none(1, pa.int32()), none(1, pa.binary()), pa.array(rows, lists), pa.array(ids, lists), pa.array([[len(w) for w in words]], pa.list_(pa.int32()))], schema=schema)
+            yield pa.RecordBatch.from_arrays([pa.array([block] * len(terms), pa.int64()), terms, pa.array(n_docs, pa.int32()), places, pa.nulls(len(terms), about)], schema=schema)
+            own = {"rows": piece.column("row").to_pylist(), "doc_ids": piece.column("doc_id").to_pylist(), "sizes": [len(w) for w in words]}
+            yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.nulls(1, pa.binary()), pa.nulls(1, pa.int32()), pa.nulls(1, pa.binary()), pa.array([own], about)], schema=schema)
 
     numbered = df.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text")
-    posted = numbered.mapInArrow(run, POSTED).withColumn("salt", F.pmod(F.xxhash64("block"), F.lit(SALTS)))
     # Rows of blocks' documents have no term; the block deals them.
-    dealt = posted.repartition(partitions(df.sparkSession), F.coalesce("term", F.col("block").cast("string").cast("binary")), "salt")
-    dealt.drop("salt").sortWithinPartitions("term", "block").write.parquet(path)
+    keys = F.coalesce("term", F.col("block").cast("string").cast("binary")), F.pmod(F.xxhash64("block"), F.lit(SALTS))
+    numbered.mapInArrow(run, POSTED).repartition(partitions(df.sparkSession), *keys).sortWithinPartitions("term", "block").write.parquet(path)
     return path
 
 
@@ -253,12 +253,12 @@ def search_pass(spark: SparkSession, path: str, block: TestBlock, slop: int) ->
     often = terms.groupBy("term").agg(F.sum("n_docs").alias("n"))  # no more rows than the pass has terms
     block.plan({bytes(r.term): r.n for r in often.collect()})
     shared = spark.sparkContext.broadcast(block)
-    documents = index.where("term is null").select("block", F.lit(None).cast("int").alias("number"), "places", "rows", "doc_ids", "sizes")
-    lists = terms.select("block", "number", "places", *[F.lit(None).cast(f"array<{t}>").alias(c) for c, t in (("rows", "long"), ("doc_ids", "long"), ("sizes", "int"))])
+    documents = index.where("term is null").select("block", F.lit(None).cast("int").alias("number"), "places", "about")
+    lists = terms.select("block", "number", "places", F.lit(None).cast(_ABOUT).alias("about"))
 
     def find(postings: pa.Table) -> pa.Table:
         number = postings.column("number").to_numpy(zero_copy_only=False)
-        about = postings.take(np.flatnonzero(np.isnan(number))).to_pylist()[0]
+        about = postings.take(np.flatnonzero(np.isnan(number))).column("about").to_pylist()[0]
         held = postings.take(np.flatnonzero(~np.isnan(number)))
         raw = held.column("places").to_pylist()
         steps = np.frombuffer(b"".join(raw), np.int32).astype(np.int64)
