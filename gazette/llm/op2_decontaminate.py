@@ -60,14 +60,14 @@ def words_of(text: bytes) -> list[bytes]:
 # ----------------------------------------------------------------- the index
 
 
-def post(words: list[list[bytes]]) -> tuple[pa.Array, np.ndarray, pa.Array]:
-    """(terms, documents of each, places of each as differences of 32 bits) of a block's documents."""
+def post(words: list[pa.Array]) -> tuple[pa.Array, np.ndarray, pa.Array]:
+    """(terms, documents of each, places of each as differences of 32 bits) of a block's documents, each an array of its words."""
     sizes = np.array([len(w) for w in words], np.int64)
-    coded = pa.array([x for w in words for x in w], pa.binary()).dictionary_encode()
+    coded = pa.concat_arrays([*words, pa.array([], pa.binary())]).dictionary_encode()
     term = coded.indices.to_numpy()
     base = np.cumsum(sizes + GAP) - sizes
-    place = np.arange(len(term)) + np.repeat(base - (np.cumsum(sizes) - sizes), sizes)
-    document = np.repeat(np.arange(len(words)), sizes)
+    place = np.arange(len(term), dtype=np.int32) + np.repeat((base - (np.cumsum(sizes) - sizes)).astype(np.int32), sizes)
+    document = np.repeat(np.arange(len(words), dtype=np.int32), sizes)
     order = np.argsort(term, kind="stable")
     term, place, document = term[order], place[order], document[order]
     first = np.diff(term, prepend=-1) != 0
@@ -92,7 +92,8 @@ def build_index(df: DataFrame, path: str) -> str:
         schema = pa.schema([("block", pa.int64()), ("term", pa.binary()), ("n_docs", pa.int32()), ("places", pa.binary()), ("about", about)])
         for piece, texts in chunks(batches, limit=BLOCK_BYTES):
             block += 1
-            words = [words_of(t) for t in texts]
+            # As arrays, so that a block's words are never all objects at once.
+            words = [pa.array(words_of(t), pa.binary()) for t in texts]
             terms, n_docs, places = post(words)
             yield pa.RecordBatch.from_arrays([pa.array([block] * len(terms), pa.int64()), terms, pa.array(n_docs, pa.int32()), places, pa.nulls(len(terms), about)], schema=schema)
             own = {"rows": piece.column("row").to_pylist(), "doc_ids": piece.column("doc_id").to_pylist(), "sizes": [len(w) for w in words]}

@@ -16,6 +16,7 @@ import functools
 import time
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -178,10 +179,10 @@ def in_order(rules: list[Rule], measured: list[Measure]) -> list[Rule]:
 
 
 def sampled(df: DataFrame, at: str, rows: int) -> DataFrame:
-    """About ``rows`` random rows of df's texts with their counts, kept in memory."""
+    """About ``rows`` random rows of df's texts with their counts, kept on the executors' disks."""
     n = df.count()
     some = df.select("text").sample(min(1.0, 1.05 * rows / n), SEED) if n > rows else df.select("text")
-    return with_counts(some, at).cache()
+    return with_counts(some, at).persist(StorageLevel.DISK_ONLY)
 
 
 def rejected(rules: list[Rule]) -> Column:
