@@ -5,8 +5,8 @@
 2. Licence templates and passages are sparse TF-IDF vectors over words; document frequencies of the
    template words are counted over all texts, any other word weighs as the median of those that occur, so a line with a name or
    a year scores alike in small and large tables. A passage is scored by its cosine to each template.
-3. Prefix filter: of each template the heaviest words are kept until the rest's norm is under the
-   threshold. A passage with none of these anchors can't reach the threshold, so only texts and
+3. Prefix filter: of each template the most frequent words are left out while their norm is under the
+   threshold. A passage with none of the others, the anchors, can't reach the threshold, so only texts and
    passages with one go on; nothing that would match is lost.
 4. A file's own licence is that of its best passage. Licence files (by name, or by a text that as a
    whole is a licence) give theirs to their directory; a file without its own inherits from
@@ -124,22 +124,34 @@ def unit_templates(idf: dict[str, float]) -> list[tuple[int, str, dict[str, floa
     return out
 
 
-def anchors(vectors: list[tuple[int, str, dict[str, float]]], threshold: float) -> list[str]:
-    """Words of which a passage holds one if its cosine to any template reaches the threshold."""
+def anchors(vectors: list[tuple[int, str, dict[str, float]]], idf: dict[str, float], threshold: float) -> list[str]:
+    """Words of which a passage holds one if its cosine to any template reaches the threshold.
+
+    A template's most frequent words are left out, then the lightest, as long as the norm of all left out is under the
+    threshold: a passage that shares those alone can't reach it. So 'the' and 'of' are no anchors, however often a template has them.
+    """
     found = set()
     for _, _, v in vectors:
-        rest = sum(x * x for x in v.values())
-        for word, x in sorted(v.items(), key=lambda p: (-p[1], p[0])):
-            if rest < (threshold * 0.999) ** 2:
-                break
-            found.add(word)
-            rest -= x * x
+        room = (threshold * 0.999) ** 2
+        for word, x in sorted(v.items(), key=lambda p: (idf[p[0]], p[1], p[0])):
+            if x * x < room:
+                room -= x * x
+            else:
+                found.add(word)
     return sorted(found)
 
 
+def any_of(words: list[str]) -> str:
+    """A pattern of the words, branched by their first characters, so that a text's word is compared with few of them."""
+    by: dict[str, list[str]] = {}
+    for w in words:
+        by.setdefault(w[0], []).append(re.escape(w[1:]))
+    return "|".join(f"{re.escape(first)}(?:{'|'.join(rest)})" for first, rest in sorted(by.items()))
+
+
 def passages(df: DataFrame, words: list[str]) -> DataFrame:
     """row, passage of every passage with an anchor. df: row, text."""
-    held = r"(?<![a-z0-9])(?:" + "|".join(re.escape(w) for w in sorted(words, key=lambda w: (-len(w), w))) + r")(?![a-z0-9])"
+    held = rf"(?<![a-z0-9])(?:{any_of(words)})(?![a-z0-9])"
     low = df.where(F.col("text").isNotNull()).select("row", F.lower("text").alias("low")).where(F.col("low").rlike(held))
     parts = F.concat(F.split("low", "\n"), F.split("low", _BLANK_LINE), F.split("low", _SENTENCE), F.array("low"))
     return low.select("row", F.explode(F.array_distinct(F.transform(parts, lambda x: F.btrim(x, F.lit(_ENDS))))).alias("passage")).where(F.col("passage").rlike(held))
@@ -177,7 +189,7 @@ def own_licences(rows: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     idf, other = inverse_frequency(rows)
     vectors = unit_templates(idf)
     # Repeated texts have one key, and repeated passages are scored once.
-    found = passages(rows, anchors(vectors, threshold)).groupBy("row", F.md5("passage").alias("id")).agg(F.first("passage").alias("passage"))
+    found = passages(rows, anchors(vectors, idf, threshold)).groupBy("row", F.md5("passage").alias("id")).agg(F.first("passage").alias("passage"))
     found = materialize(found, "licence_passages")
     scored = scores(found.groupBy("id").agg(F.first("passage").alias("passage")), vectors, idf, other, threshold)
     hits = found.select("row", "id").join(scored, "id")

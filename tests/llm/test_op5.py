@@ -1,3 +1,5 @@
+import re
+
 import duckdb
 import pytest
 from pyspark.sql import functions as F
@@ -10,9 +12,19 @@ def test_prefix_filter_holds_every_match():
     idf = {w: 1.0 + i % 7 for i, w in enumerate(m.vocabulary())}
     vectors = m.unit_templates(idf)
     for t in (0.3, 0.6, 0.9):
-        words = set(m.anchors(vectors, t))
+        words = set(m.anchors(vectors, idf, t))
         for _, _, v in vectors:
             assert sum(x * x for w, x in v.items() if w not in words) < t * t
+    # Frequent words are no anchors, though a long template repeats them.
+    idf |= dict.fromkeys(("the", "of", "or", "to", "and"), 1.0) | dict.fromkeys(("software", "license"), 12.0)
+    assert not {"the", "of", "or", "to", "and"} & set(m.anchors(m.unit_templates(idf), idf, 0.6))
+
+
+def test_pattern_of_anchors_is_their_alternation():
+    words = ["a", "apache", "affero", "2.0", "2", "gnu"]
+    found = re.compile(rf"(?<![a-z0-9])(?:{m.any_of(words)})(?![a-z0-9])")
+    assert [w for w in (*words, "ap", "2.1", "200", "gnus", "xgnu", "b") if found.fullmatch(w)] == words
+    assert [bool(found.search(t)) for t in ("the gnu.", "in 2.0,", "v2.0", "apach", "gnus 20")] == [True, True, False, False, False]
 
 
 def test_headers_files_and_inheritance(spark):
