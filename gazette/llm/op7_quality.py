@@ -26,8 +26,8 @@ SPACES = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
 #: Rows, about, on which rules are measured; they only decide the order of the rules.
 SAMPLE_ROWS = 10_000
-#: Passes over the sample for each rule.
-PASSES = 3
+#: Passes over the sample for each rule, and the tasks of a pass, whatever the table's partitions.
+PASSES, SAMPLE_TASKS = 3, 16
 SEED = 7
 REPEATS = "repeated_windows"
 
@@ -182,7 +182,7 @@ def sampled(df: DataFrame, at: str, rows: int) -> DataFrame:
     """About ``rows`` random rows of df's texts with their counts, kept on the executors' disks."""
     n = df.count()
     some = df.select("text").sample(min(1.0, 1.05 * rows / n), SEED) if n > rows else df.select("text")
-    return with_counts(some, at).persist(StorageLevel.DISK_ONLY)
+    return with_counts(some.repartition(SAMPLE_TASKS), at).persist(StorageLevel.DISK_ONLY)
 
 
 def rejected(rules: list[Rule]) -> Column:
