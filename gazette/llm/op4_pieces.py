@@ -15,8 +15,10 @@ sentencepiece library, and any difference stops the job.
 from __future__ import annotations
 
 import functools
+import gc
 import heapq
 import itertools
+import operator
 import re
 from collections.abc import Iterator
 
@@ -52,6 +54,8 @@ class MergeVocabulary:
         self.end_id = self.pieces.index("</s>")
         self.pairs = {x + y for p in self.id for x, y in itertools.pairwise(p)}
         self.atoms: dict[str, list[int]] = {}
+        self.surfaces = [self._surface_of(i) for i in range(len(self.pieces))]
+        self.decimals = [str(i).encode() for i in range(len(self.pieces))]
 
     def merge(self, text: str) -> list[str]:
         """The agenda over one part."""
@@ -91,33 +95,31 @@ class MergeVocabulary:
 
     def ids(self, part: str) -> list[int]:
         """Ids of a part, whose spaces are SPACE already; cut where no piece can reach across."""
+        pairs, atoms = self.pairs, self.atoms
+        cuts = [i for i, pair in enumerate(map(operator.add, part, part[1:]), 1) if pair not in pairs]
         out: list[int] = []
-        begin = 0
-        for i in range(1, len(part) + 1):
-            if i == len(part) or part[i - 1] + part[i] not in self.pairs:
-                atom = part[begin:i]
-                found = self.atoms.get(atom)
-                if found is None:
-                    if len(self.atoms) >= 200_000:
-                        self.atoms.clear()
-                    found = self.atom_ids(atom)
-                    if len(atom) <= 64:
-                        self.atoms[atom] = found
-                out += found
-                begin = i
+        for begin, end in zip([0, *cuts], [*cuts, len(part)], strict=True):
+            atom = part[begin:end]
+            found = atoms.get(atom)
+            if found is None:
+                if len(atoms) >= 200_000:
+                    atoms.clear()
+                found = self.atom_ids(atom)
+                if len(atom) <= 64:
+                    atoms[atom] = found
+            out += found
         return out
 
+    def _surface_of(self, i: int) -> bytes:
+        if self.kinds[i] == BYTE:
+            return bytes([int(self.pieces[i][3:5], 16)])
+        if self.kinds[i] == UNKNOWN:
+            return " ⁇ ".encode()
+        return b"" if self.kinds[i] == CONTROL else self.pieces[i].replace(SPACE, " ").encode()
+
     def surface(self, ids: list[int]) -> bytes:
         """The text of ids, with a space for each SPACE; control pieces have none."""
-        out = []
-        for i in ids:
-            if self.kinds[i] == BYTE:
-                out.append(bytes([int(self.pieces[i][3:5], 16)]))
-            elif self.kinds[i] == UNKNOWN:
-                out.append(" ⁇ ".encode())
-            elif self.kinds[i] != CONTROL:
-                out.append(self.pieces[i].replace(SPACE, " ").encode())
-        return b"".join(out)
+        return b"".join(map(self.surfaces.__getitem__, ids))
 
     def decode(self, ids: list[int]) -> str:
         """The text of a whole document's ids: the dummy prefix's space goes."""
@@ -158,23 +160,50 @@ class PieceCodec:
             import sentencepiece
 
             self.library = sentencepiece.SentencePieceProcessor(model_file=model_path)
-        self.cache = WordCache(self._make, 250_000)
+        # Stands before a part in a check: it is in no pair of characters that a piece holds, so nothing merges across it.
+        joined = {c for pair in self.vocabulary.pairs for c in pair}
+        self.anchor = next(c for c in map(chr, range(10, 0x110000)) if c not in joined and c != "\r")
+        self.anchor_ids = self.vocabulary.ids(SPACE + self.anchor)
+        self.cache = WordCache(self._make, 250_000, size=lambda part, made: len(part) + len(made[0]) + len(made[1]))
 
-    def _make(self, parts: list[bytes]) -> list[tuple[bytes, bytes]]:
-        texts = [part_text(x) for x in parts]
-        found = [self.vocabulary.ids(x) for x in texts]
         if self.library is not None:
-            self.check(texts, found)
-        return [(" ".join(map(str, x)).encode(), self.vocabulary.surface(x)) for x in found]
+            self.check_surfaces()
+
+    def _make(self, parts: list[bytes]) -> list[tuple[bytes, bytes]]:
+        collecting = gc.isenabled()
+        gc.disable()  # many small lists and no cycles
+        try:
+            texts = [part_text(x) for x in parts]
+            found = [self.vocabulary.ids(x) for x in texts]
+            if self.library is not None:
+                self.check(texts, found)
+            decimals = self.vocabulary.decimals.__getitem__
+            return [(b" ".join(map(decimals, x)), self.vocabulary.surface(x)) for x in found]
+        finally:
+            if collecting:
+                gc.enable()
 
     def check(self, texts: list[str], found: list[list[int]]) -> None:
-        """Holds ids of parts against the library, which puts a space before each text."""
-        prefix = self.vocabulary.id[SPACE]
-        plain = [x[1:].replace(SPACE, " ") if x[0] == SPACE else x for x in texts]
-        for text, own, other in zip(texts, found, self.library.encode(plain, num_threads=1), strict=True):
-            if (other or [prefix]) != (own if text[0] == SPACE else [prefix, *own]):
+        """Holds ids of parts against the library.
+
+        It puts a space before what it encodes. So a part that begins with a space is given without it, and any other
+        behind the anchor.
+        """
+        spaced = [x[0] == SPACE for x in texts]
+        plain = [x[1:].replace(SPACE, " ") if s else self.anchor + x.replace(SPACE, " ") for s, x in zip(spaced, texts, strict=True)]
+        prefix, lead = [self.vocabulary.id[SPACE]], self.anchor_ids
+        for text, own, other, s in zip(texts, found, self.library.encode(plain, num_threads=1), spaced, strict=True):
+            if other != (own if s else lead + own) and (other or not s or own != prefix):
                 raise ValueError(f"the agenda and the library differ on {text!r}")
 
+    def check_surfaces(self) -> None:
+        """Holds the decoded text of every piece, behind the anchor, against the library; a text's is theirs one after the other."""
+        ids = [i for i, kind in enumerate(self.vocabulary.kinds) if kind != BYTE]
+        lead = self.vocabulary.surface(self.anchor_ids).removeprefix(b" ")
+        for i, other in zip(ids, self.library.decode([[*self.anchor_ids, i] for i in ids], num_threads=1), strict=True):
+            if other.encode() != lead + self.vocabulary.surfaces[i]:
+                raise ValueError(f"the decoded text and the library's differ on piece {i}")
+
     def encode(self, texts: list[bytes]) -> list[tuple[bytes, bytes]]:
         """(decimal ids with the end id, decoded text) of each text."""
         parts = [parts_of(x.replace(SPACE.encode(), b" ")) for x in texts]

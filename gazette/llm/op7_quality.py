@@ -20,7 +20,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gazette.llm.shared import table
+from gazette.llm.shared import fresh, table
 
 SPACES = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
@@ -48,13 +48,6 @@ def n_of(text: Column, characters: str) -> Column:
     return (F.length(text) - F.length(F.translate(text, characters, ""))).cast("long")
 
 
-def fresh(df: DataFrame, base: str) -> str:
-    """A name that no column of df begins with, in any case."""
-    while any(c.lower().startswith(base.lower()) for c in df.columns):
-        base = f"_{base}"
-    return base
-
-
 def with_counts(df: DataFrame, at: str) -> DataFrame:
     """Adds a struct column ``at`` of what the cheap rules look at. A null text is empty."""
     text, words, lines = (f"{at}_{x}" for x in ("text", "words", "lines"))

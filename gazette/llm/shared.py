@@ -105,18 +105,30 @@ def with_text(df: DataFrame, *keep: str) -> DataFrame:
 
 
 class WordCache(dict):
-    """Values by word, kept within ``limit`` entries: what is dropped is just made again."""
+    """Values by word, kept within ``limit`` entries and ``most_bytes`` (by ``size``): what is dropped is just made again."""
 
-    def __init__(self, make, limit: int = 400_000):
+    def __init__(self, make, limit: int = 400_000, most_bytes: int = 48_000_000, size=lambda word, value: len(word)):
         super().__init__()
-        self.make, self.limit = make, limit
+        self.make, self.limit, self.most_bytes, self.size, self.held = make, limit, most_bytes, size, 0
+
+    def _add(self, values: list[tuple]) -> None:
+        self.update(values)
+        self.held += sum(self.size(w, v) for w, v in values)
 
     def fill(self, words: set[bytes]) -> None:
-        """Makes the missing values in one call. Past the limit only the values of these words stay."""
-        if len(self) + len(words) > self.limit:
-            kept = {w: self[w] for w in words if w in self}
+        """Makes the missing values in one call. Past a limit only the values of these words stay."""
+        if len(self) + len(words) > self.limit or self.held > self.most_bytes:
+            kept = [(w, self[w]) for w in words if w in self]
             self.clear()
-            self.update(kept)
+            self.held = 0
+            self._add(kept)
         missing = [w for w in words if w not in self]
         if missing:
-            self.update(zip(missing, self.make(missing), strict=True))
+            self._add(list(zip(missing, self.make(missing), strict=True)))
+
+
+def fresh(df: DataFrame, base: str) -> str:
+    """A name that no column of df begins with, in any case."""
+    while any(c.lower().startswith(base.lower()) for c in df.columns):
+        base = f"_{base}"
+    return base

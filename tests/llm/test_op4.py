@@ -27,10 +27,25 @@ def test_odd_texts_as_the_library():
 
 
 def test_random_texts_as_the_library():
+    """With the check on: doubled, leading and trailing spaces, indented lines, words at the start of a line."""
     rng = random.Random(4)
-    texts = ["".join(rng.choices("abcdeth  \n.,'é日▁😀01", k=rng.randrange(60))) for _ in range(3000)]
-    for text, (ids, _) in zip(texts, PieceCodec(MODEL, check=False).encode([x.encode() for x in texts]), strict=True):
-        assert list(map(int, ids.split())) == LIBRARY.encode(text, add_eos=True), text
+    words = ["One.", " ", "  ", "    ", "\n", "\n    ", "The", "the", "end", "def f(x):", "return", "é", "日本", "😀", "▁", "\t", "\0", "x1", "...", "\r\n", "The end", "</s>"]
+    codec = PieceCodec(MODEL)
+    for begin in range(0, 20_000, 1_000):
+        texts = ["".join(rng.choices("abcdeth  \n.,'é日▁😀01", k=rng.randrange(60))) for _ in range(500)]
+        texts += ["".join(rng.choices(words, k=rng.randrange(16))) for _ in range(500)]
+        for text, (ids, decoded) in zip(texts, codec.encode([x.encode() for x in texts]), strict=True):
+            want = LIBRARY.encode(text, add_eos=True)
+            assert list(map(int, ids.split())) == want, text
+            assert decoded.decode() == LIBRARY.decode(want), text
+
+
+def test_parts_are_kept_within_bytes():
+    codec = PieceCodec(MODEL)
+    codec.cache.most_bytes = 100_000
+    for i in range(30):
+        codec.encode([(f"{i}" + "q" * 20_000).encode()])
+        assert codec.cache.held < 100_000 + 200_000
 
 
 def test_difference_is_raised():
