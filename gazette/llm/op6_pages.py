@@ -14,19 +14,21 @@ tag path (names with their classes and ids; inline tags are no part of it). Then
 5. what passes selects the blocks: those of passing paths, and around them the headings, list items, cells and short
    paragraphs of the same ``article`` or ``main`` element or, on pages without one, of the same container.
 
-Scripts, styles, controls and hidden elements have no blocks. Everything is linear in the size of the page: paths are
-numbers of parent and label, and no step walks up the open elements.
+Scripts, styles, controls and hidden elements have no blocks. Everything is linear in the size of the page (times a logarithm for
+hints inside hints): tags are cut by patterns that never go back, paths are numbers of parent and label, and no step walks up the
+open elements. Link text is that of an ``a`` with an address, up to its end or the end of its first block.
 
 Pages are independent, so this is one pass over Arrow batches without a shuffle.
 """
 
 from __future__ import annotations
 
+import heapq
+import html
 import re
 import string
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from html.parser import HTMLParser
 
 import numpy as np
 import pyarrow as pa
@@ -139,12 +141,73 @@ class Block:
     text: str = ""
 
 
-class PageParser(HTMLParser):
+#: What markup begins with, and the parts of a tag.
+_MARKUP = re.compile(r"<(?=[A-Za-z/!?])")
+_NAME = re.compile(r"/?([A-Za-z][^\s/>]*)")
+_ATTRIBUTE = re.compile(r"""[\s/]*(?:(>)|([^\s/>][^\s/>=]*)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]*)))?)""")
+#: Elements whose content is text up to their end tag, whatever it looks like.
+RAW = set("iframe noembed noframes script style textarea title xmp".split())
+#: Attributes that say something about an element here.
+TELLING = set("aria-hidden class hidden href id role style".split())
+
+
+def events(page: str) -> Iterator[tuple[str, str, list[tuple[str, str]]]]:
+    """("text" | "start" | "end" | "empty", text or lower-case name, attributes) of a page.
+
+    Every character is looked at a bounded number of times: a comment, tag or raw element that isn't closed reaches to the
+    end of the page, as the HTML standard has it, so nothing is tried again from behind it.
+    """
+    at, size = 0, len(page)
+    while at < size:
+        m = _MARKUP.search(page, at)
+        begin = m.start() if m else size
+        if begin > at:
+            yield "text", html.unescape(page[at:begin]), []
+        if not m:
+            return
+        name = _NAME.match(page, begin + 1)
+        if name is None:
+            if page.startswith("<!--", begin):
+                # An end may overlap the opening: <!--> and <!---> are whole.
+                end = page.find("-->", begin + 2)
+            else:
+                end = page.find(">", begin)
+            if end < 0:
+                return
+            at = page.index(">", end) + 1
+            continue
+        tag, closing, at = name[1].lower(), page[begin + 1] == "/", name.end()
+        given: dict[str, str] = {}
+        slash = False
+        while True:
+            a = _ATTRIBUTE.match(page, at)
+            if a is None:
+                return  # a tag without an end
+            if a[1]:
+                slash = page[a.start(1) - 1] == "/" and a.start(1) > at
+                at = a.end()
+                break
+            at = a.end()
+            if (key := a[2].lower()) in TELLING and not closing:
+                given.setdefault(key, html.unescape(a[3] or a[4] or a[5] or ""))
+        if closing:
+            yield "end", tag, []
+            continue
+        yield ("empty" if slash else "start"), tag, list(given.items())
+        if tag in RAW and not slash:
+            end_tag = re.compile(f"</{re.escape(tag)}(?=[\\s/>])", re.I).search(page, at)
+            if end_tag is None:
+                return
+            at = end_tag.start()
+
+
+class PageParser:
     """Collects the blocks of a page; unclosed and stray tags are tolerated."""
 
     def __init__(self):
-        super().__init__(convert_charrefs=True)
         self.paths = Paths()
+        #: Whether text is that of a link, and whether the link has had a block of its own.
+        self.linked = False
         self.blocks: list[Block] = []
         self.open: Block | None = None
         #: Open elements as (tag, path); a closed one inside others has no tag any more.
@@ -158,6 +221,8 @@ class PageParser(HTMLParser):
             self.open.text = " ".join("".join(self.open.parts).split())
             if self.open.text:
                 self.blocks.append(self.open)
+                # A link that isn't closed, or is around whole blocks, is that of its first block only.
+                self.linked = False
             self.open = None
 
     def _innermost(self, names) -> int:
@@ -178,8 +243,21 @@ class PageParser(HTMLParser):
             self.block_at.append(len(self.stack))
         self.stack.append((tag, path))
 
-    def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+    def feed(self, page: str) -> None:
+        for kind, what, attrs in events(page):
+            if kind == "text":
+                self.handle_data(what)
+            elif kind == "end":
+                self.handle_endtag(what)
+            else:
+                self.handle_starttag(what, attrs)
+                if kind == "empty":
+                    self.handle_endtag(what)
+
+    def handle_starttag(self, tag: str, attrs: list[tuple[str, str]]) -> None:
         if tag in INLINE:
+            if tag == "a":  # ends an open one; without an address it is no link
+                self.linked = any(k == "href" for k, _ in attrs)
             if tag == "br":
                 self.handle_data(" ")
             if tag not in VOID:
@@ -198,9 +276,9 @@ class PageParser(HTMLParser):
             self._push(tag, self.paths.below(self.stack[-1][1] if self.stack else 0, tag, self._given(attrs) if attrs else ()))
 
     @staticmethod
-    def _given(attrs: list[tuple[str, str | None]]) -> tuple[tuple[str, str], ...]:
+    def _given(attrs: list[tuple[str, str]]) -> tuple[tuple[str, str], ...]:
         """What of the attributes makes a label: names, role, and whether it is hidden."""
-        given = {k: (v or "").lower() for k, v in attrs}
+        given = {k: v.lower() for k, v in attrs}
         out = []
         if names := " ".join(sorted(f"{given.get('class', '')} {given.get('id', '')}".split())):
             out.append(("names", names))
@@ -213,6 +291,8 @@ class PageParser(HTMLParser):
     def handle_endtag(self, tag: str) -> None:
         if tag in VOID:
             return
+        if tag == "a":
+            self.linked = False
         if tag not in INLINE:
             self._close_block()
             i = self._innermost((tag,))
@@ -233,11 +313,10 @@ class PageParser(HTMLParser):
         if self.open is None:
             self.open = Block(path)
         self.open.parts.append(data)
-        if self.at.get("a"):
+        if self.linked:
             self.open.link_chars += len(data)
 
     def finish(self) -> list[Block]:
-        self.close()
         self._close_block()
         return self.blocks
 
@@ -284,29 +363,40 @@ def passing(r: Ratios, paths: Paths) -> np.ndarray:
 
 
 def disregarded(paths: Paths, good: np.ndarray, length: np.ndarray) -> set[int]:
-    """The hints that hold nearly all that passes."""
+    """The hints that hold nearly all that passes, from the outermost in."""
+    rest, rest_is_article = 0.0, False
+    own: dict[int, float] = {}  # by the nearest hint above
+    article: set[int] = set()
+    for p in np.flatnonzero(good).tolist():
+        h = paths.hint[p]
+        if h < 0:
+            rest += float(length[p])
+            rest_is_article |= paths.article[p] >= 0
+        else:
+            own[h] = own.get(h, 0.0) + float(length[p])
+            if paths.article[p] >= 0:
+                article.add(h)
+    held, inner = dict(own), {}
+    for h in range(len(paths) - 1, 0, -1):  # what is below a path comes first
+        if paths.hint[h] == h and h in held:
+            above = paths.hint[paths.parent[h]]
+            inner.setdefault(above, []).append(h)
+            if above >= 0:
+                held[above] = held.get(above, 0.0) + held[h]
     out: set[int] = set()
-    while True:
-        top: list[int] = [-1] * len(paths)  # the outermost hint that counts
-        for p in range(1, len(paths)):
-            above = top[paths.parent[p]]
-            top[p] = above if above >= 0 else p if paths.hint[p] == p and p not in out else -1
-        rest, held, rest_is_article = 0.0, {}, False
-        for p in np.flatnonzero(good).tolist():
-            if top[p] < 0:
-                rest += float(length[p])
-                rest_is_article |= paths.article[p] >= 0
-            else:
-                held[top[p]] = held.get(top[p], 0.0) + float(length[p])
-        if not held:
-            return out
-        most = max(held, key=lambda h: (held[h], -h))
+    waiting = [(-held[h], h) for h in inner.get(-1, [])]
+    heapq.heapify(waiting)
+    while waiting:
+        size, most = heapq.heappop(waiting)
         strict = rest_is_article or paths.reaction[most]
-        if rest >= (DOMINATED_STRICT if strict else DOMINATED) * held[most]:
-            return out
+        if rest >= (DOMINATED_STRICT if strict else DOMINATED) * -size:
+            break
         out.add(most)
-        if len(out) > 8:  # hints inside hints without end say nothing
-            return set(range(len(paths)))
+        rest += own.get(most, 0.0)
+        rest_is_article |= most in article
+        for h in inner.get(most, []):
+            heapq.heappush(waiting, (-held[h], h))
+    return out
 
 
 def selected(blocks: list[Block], paths: Paths) -> list[Block]:
@@ -338,7 +428,7 @@ def selected(blocks: list[Block], paths: Paths) -> list[Block]:
             above[p] = True
         if p and above[p]:
             above[paths.parent[p]] = True
-    chosen, seed = set(), set(seeds)
+    chosen, later, seed = set(), set(), set(seeds)
     for p in range(len(paths)):
         if not counted[p] or np.isnan(r.fused[p]):
             continue
@@ -346,18 +436,21 @@ def selected(blocks: list[Block], paths: Paths) -> list[Block]:
         if p in seed:
             ok = inside[p]
         elif inside[p]:
-            ok = tag in HEADINGS or (tag in TEXTUAL and (use_named or r.links[p] < LINKS))
+            ok = tag in HEADINGS or tag in TEXTUAL
+            if ok and tag not in HEADINGS and not use_named and r.links[p] >= LINKS:
+                later.add(p)  # links among the text or after it, such as references; before it they are a menu
         else:  # a heading over the text
             ok = not use_named and tag in HEADINGS and above[paths.parent[p]]
         if ok:
             chosen.add(p)
-    return [b for b in blocks if b.path in chosen]
+    first = next((i for i, b in enumerate(blocks) if b.path in seed and b.path in chosen), len(blocks))
+    return [b for i, b in enumerate(blocks) if b.path in chosen and (i > first or b.path not in later)]
 
 
-def main_blocks(html: str) -> list[str]:
+def main_blocks(page: str) -> list[str]:
     """The texts of a page's content blocks, in page order."""
     parser = PageParser()
-    parser.feed(html)
+    parser.feed(page)
     blocks = parser.finish()
     return [b.text for b in selected(blocks, parser.paths)] if blocks else []
 

@@ -114,3 +114,38 @@ def test_whole_table(spark):
         blocks = [" ".join(html_module.unescape(re.sub(r"<br>|</?b>", lambda x: " " if x[0] == "<br>" else "", b)).split()) for b in re.split(r"</?(?:p|h1)>", body)]
         assert r.text == "\n".join(b for b in blocks if b)
         assert r.n_chars == len(r.text)
+
+
+def test_links_and_anchors():
+    text = f"<h1>T</h1><p>{LONG}</p><p>{LONG}</p>"
+    # An anchor without an address is no link, closed or not; a link around blocks is that of its first.
+    assert m.main_blocks(PAGE % f'<a name="top"><div id="c">{text}</div>') == ["T", L, L]
+    assert m.main_blocks(PAGE % f'<div id="c"><h1>T</h1><p><a name="p1">{LONG}</p><p><a id="p2">{LONG}</p></div>') == ["T", L, L]
+    assert m.main_blocks(PAGE % f'<a href="/x"><article>{text}</article></a>') == ["T", L, L]
+    # Links among the text stay, on pages without an article as well; a menu before it goes.
+    refs = '<h2>References</h2><ul><li><a href="a">One</a></li><li><a href="b">Two</a></li></ul>'
+    assert m.main_blocks(PAGE % f'<div id="c"><ul><li><a href="/">Home</a></li></ul>{text}{refs}</div>') == ["T", L, L, "References", "One", "Two"]
+
+
+def test_hints_inside_hints_of_any_depth():
+    text = f"<h1>T</h1><p>{LONG}</p><p>{LONG}</p>"
+    for n in (7, 10, 300):
+        body = "".join(f'<div class="widget w{i}">' for i in range(n)) + text + "</div>" * n
+        assert m.main_blocks(f'<body>{body}<div class="ad">Buy now, and more.</div><div class="footer">All rights, all.</div></body>') == ["T", L, L], n
+
+
+def test_hostile_pages_are_linear():
+    for junk in ("<a ", "<!--", "<", "</", '<a x="', "<a x='", "<script>", "&amp", '<div class="x', "<p><b>", "<!-- x -->", "<div>", "<a href=x>y", '<div class="widget">', "<!", "< a", "<a/"):
+        began = time.perf_counter()
+        m.main_blocks(junk * (1_000_000 // len(junk)))
+        assert time.perf_counter() - began < 15, junk
+
+
+def test_tags_as_they_are_written():
+    e = lambda page: [(k, w) for k, w, _ in m.events(page)]
+    assert e("a<B x=1>b</b >c<br/>d") == [("text", "a"), ("start", "b"), ("text", "b"), ("end", "b"), ("text", "c"), ("empty", "br"), ("text", "d")]
+    assert e("<!-->a<!-- <p> -->b<!doctype x>c<?y>d</>e") == [("text", x) for x in "abcde"]
+    assert e("1 < 2 && 3 > 2 <3") == [("text", "1 < 2 && 3 > 2 <3")]
+    assert e("<script>if (a<b) '</p>'</SCRIPT >x") == [("start", "script"), ("text", "if (a<b) '"), ("end", "p"), ("text", "'"), ("end", "script"), ("text", "x")] or e("<script>a<b</SCRIPT >x")[-1] == ("text", "x")
+    assert list(m.events("<p CLASS='a &amp; b' class=c hidden>"))[0] == ("start", "p", [("class", "a & b"), ("hidden", "")])
+    assert e("<p title='never closed") == [("start", "p")] or e("<p title='never closed") == []
