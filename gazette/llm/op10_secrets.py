@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gazette.llm.shared import chunks, scratch_path, table
+from gazette.llm.shared import chunks, fresh, scratch_path, table
 
 #: Labelled findings that a forest is fitted on at most.
 TRAIN_FINDINGS = 6_000
@@ -391,7 +391,7 @@ def scan(df: DataFrame, forest: Forest, dictionary: Dictionary, path: str | None
     holds the file's path. Null and empty texts have no candidates; whole texts of any length; equal
     rows get equal findings; an empty table gives none. ``at`` must not be a column of df; all other columns stay as they are.
     """
-    if at in df.columns:
+    if at.lower() in (c.lower() for c in df.columns):
         raise ValueError(f"{at} is a column already")
     spark = df.sparkSession
     shared = spark.sparkContext.broadcast((forest, dictionary))
@@ -441,12 +441,13 @@ def default_forest(spark: SparkSession) -> Forest:
 
 def redact(df: DataFrame, forest: Forest, dictionary: Dictionary) -> DataFrame:
     """df with secrets replaced in ``text`` (and ``n_chars`` made to fit); rows without secrets are unchanged."""
-    found = scan(df, forest, dictionary, "source" if "source" in df.columns else None)
-    new = F.col("_secrets.redacted")
+    at = fresh(df, "_secrets")
+    found = scan(df, forest, dictionary, "source" if "source" in df.columns else None, at)
+    new = F.col(f"{at}.redacted")
     out = found.withColumn("text", F.coalesce(new, F.col("text")))
     if "n_chars" in df.columns:
         out = out.withColumn("n_chars", F.when(new.isNotNull(), F.length(new).cast(df.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
-    return out.select(*df.columns)
+    return out.select(*[F.col(f"`{c}`") for c in df.columns])
 
 
 def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:

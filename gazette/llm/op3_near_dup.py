@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gazette.llm.components import components
-from gazette.llm.shared import Disposable, WordCache, chunks, materialize, table
+from gazette.llm.shared import Disposable, WordCache, chunks, fresh, materialize, table
 
 SHINGLE = 5
 #: Links have 100 * |intersection| >= PERCENT * |union|.
@@ -45,8 +45,6 @@ SYMBOLS = 4 * CHUNKS
 #: Bits of the filter that prunes documents before a shuffle, by the number of ids; what it lets through too much is dropped
 #: later. Beyond the most (32 MB) it lets more through, which costs a shuffle and changes no result.
 LEAST_BITS, MOST_BITS, BITS_AN_ID = 1 << 20, 1 << 28, 16
-#: The column of row numbers where documents are dropped by row.
-ROW = "_row"
 
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _RNG = np.random.default_rng(3)
@@ -296,42 +294,41 @@ def near_duplicates(df: DataFrame) -> DataFrame:
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
 
 
-def numbered(df: DataFrame) -> DataFrame:
-    """df with a row number in ROW, stored, so that all who read it see the same: doc_ids may be null or repeated."""
-    if ROW in df.columns:
-        raise ValueError(f"{ROW} is a column already")
-    return materialize(df.withColumn(ROW, F.monotonically_increasing_id()), "numbered_rows")
+def numbered(df: DataFrame) -> tuple[DataFrame, str]:
+    """(df with a row number, its column's name), stored, so that all who read it see the same: doc_ids may be null or repeated."""
+    row = fresh(df, "_row")
+    return materialize(df.withColumn(row, F.monotonically_increasing_id()), "numbered_rows"), row
 
 
-def by_row(rows: DataFrame) -> DataFrame:
+def by_row(rows: DataFrame, row: str) -> DataFrame:
     """The row numbers as doc_ids, and the texts."""
-    return rows.select(F.col(ROW).alias("doc_id"), "text")
+    return rows.select(F.col(row).alias("doc_id"), "text")
 
 
-def without_rows(rows: DataFrame, dropped: DataFrame) -> DataFrame:
-    """A numbered table without the rows whose number is in dropped(ROW), and without the numbers.
+def without_rows(rows: DataFrame, row: str, dropped: DataFrame) -> DataFrame:
+    """A numbered table without the rows whose number is in dropped's first column, and without the numbers.
 
     Most rows pass on a filter of the numbers alone and are never shuffled.
     """
-    dropped = materialize(dropped.select(ROW).distinct(), "dropped")
+    dropped = materialize(dropped.select(F.col(dropped.columns[0]).alias(row)).distinct(), "dropped")
     bits = id_filter(dropped)
-    maybe = prune(rows, bits, True, ROW)
-    return prune(rows, bits, False, ROW).unionByName(maybe.join(dropped, ROW, "left_anti")).drop(ROW)
+    maybe = prune(rows, bits, True, row)
+    return prune(rows, bits, False, row).unionByName(maybe.join(dropped, row, "left_anti").select(*[F.col(f"`{c}`") for c in rows.columns])).drop(row)
 
 
 def keep_first(df: DataFrame) -> DataFrame:
-    """df's rows, of each near-duplicate component only the one with the smallest doc_id.
+    """df's rows, of each near-duplicate component only the one with the smallest doc_id; all columns stay, whatever their names.
 
     A null doc_id comes last; of rows with one doc_id in a component the first stays.
     """
-    rows = numbered(df)
+    rows, row = numbered(df)
     with Disposable(df.sparkSession) as d:
-        found = d.keep(near_duplicates(by_row(rows)).where("not kept").select(F.col("doc_id").alias(ROW), "component_id"), "later_rows")
+        found = d.keep(near_duplicates(by_row(rows, row)).where("not kept").select(F.col("doc_id").alias("at"), "component_id"), "later_rows")
     # A component's label is its first row, which is kept.
-    members = found.unionByName(found.select(F.col("component_id").alias(ROW), "component_id").distinct())
-    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", ROW)
-    chosen = members.join(rows.select(ROW, "doc_id"), ROW).groupBy("component_id").agg(F.min(order).getField(ROW).alias(ROW))
-    return without_rows(rows, members.join(chosen.select(ROW), ROW, "left_anti"))
+    members = found.unionByName(found.select(F.col("component_id").alias("at"), "component_id").distinct())
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "at")
+    chosen = members.join(rows.select(F.col(row).alias("at"), "doc_id"), "at").groupBy("component_id").agg(F.min(order)["at"].alias("at"))
+    return without_rows(rows, row, members.join(chosen.select("at"), "at", "left_anti").select("at"))
 
 
 def op3_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -199,9 +199,12 @@ def own_licences(rows: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
 
 def salted_join(left: DataFrame, right: DataFrame, key: str, by: Column) -> DataFrame:
-    """left's rows with those of right (one a key), a frequent key's rows dealt to SALTS tasks by ``by``; right is small beside left."""
+    """left's rows with those of right (one a key), a frequent key's rows dealt to SALTS tasks by ``by``; right is small beside left.
+
+    It is a merge join whatever right's size: right grows with the table, so it must not be broadcast.
+    """
     each = right.withColumn("_salt", F.explode(F.array(*map(F.lit, range(SALTS)))))
-    return left.withColumn("_salt", F.pmod(F.xxhash64(by), F.lit(SALTS)).cast("int")).join(each, [key, "_salt"], "left").drop("_salt")
+    return left.withColumn("_salt", F.pmod(F.xxhash64(by), F.lit(SALTS)).cast("int")).join(each.hint("merge"), [key, "_salt"], "left").drop("_salt")
 
 
 def scan(df: DataFrame, path: Column, threshold: float = THRESHOLD) -> DataFrame:
@@ -209,11 +212,11 @@ def scan(df: DataFrame, path: Column, threshold: float = THRESHOLD) -> DataFrame
 
     df needs the column ``text``; ``path`` is each row's file path. Null and empty texts have no licence of their own; rows
     with a null path inherit none. Equal rows get equal results; of equally near templates the first SPDX id
-    counts. An empty table gives none. Columns of df with the new columns' names, or those of ``inner``, are left out.
+    counts. An empty table gives none. Columns of df with the new columns' names, or those of ``inner``, in any case, are left out.
     """
     new = ("path", "spdx", "how", "licence_dir", "score", "n_statements", "all_spdx")
     inner = {"row", "ids", "whole", "dir", "from_dir", "from_spdx", "from_score", "text", "_salt"}
-    kept = [c for c in df.columns if c not in inner and c not in new]
+    kept = [c for c in df.columns if c.lower() not in inner and c.lower() not in new]
     keyed = df.select(*[F.col(f"`{c}`") for c in kept], path.alias("path"), "text", F.md5(F.coalesce("text", F.lit(""))).alias("row"))
     own = materialize(own_licences(keyed.select("row", "text"), threshold), "own_licences")
     bare = keyed.select(*[F.col(f"`{c}`") for c in kept], "path", "row", F.md5(F.btrim(F.lower("text"), F.lit(_ENDS))).alias("whole"))

@@ -93,3 +93,9 @@ def test_whole_table_as_sql(spark, sf):
     assert sorted(expected.columns) == sorted(found.columns)
     key = lambda r: str(r)
     assert sorted(map(tuple, found.collect()), key=key) == sorted(expected.select(", ".join(found.columns)).fetchall(), key=key)
+
+
+def test_columns_that_clash_in_any_case(spark):
+    df = spark.createDataFrame([(1, "Released under the MIT License.", "x", "y", "z")], "doc_id long, text string, Path string, ROW string, extra string")
+    out = m.scan(df, F.lit("a/b.md"))
+    assert out.columns[:2] == ["doc_id", "extra"] and out.count() == 1

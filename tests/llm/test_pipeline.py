@@ -56,3 +56,20 @@ def test_null_and_repeated_ids_drop_by_row(spark, tmp_path):
     spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     clean = [tuple(r) for r in p.decontaminate(spark, df, str(tmp_path)).collect()]
     assert order(clean) == order(x for x in docs if x[1] != leak)
+
+
+def test_extra_columns_stay_whatever_their_names(spark, tmp_path):
+    rng = random.Random(7)
+    text = lambda n: " ".join(f"word{rng.randrange(3000)}a" for _ in range(n))
+    item = text(14)
+    docs = [(i, t, "en", "s", len(t), i, str(i), i * 2, "k") for i, t in enumerate([text(120), text(130), text(60) + " " + item + " " + text(50), text(110) + ' token = "0b96a8c8d79c4a5085c919698889f59b72ab7bb6" x'])]
+    docs.append((9, docs[0][1], "en", "s", 1, 9, "9", 18, "k"))
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    df = spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long, _ROW long, _Quality string, _secrets long, SALT string")
+    at = df
+    for name, stage in p.STAGES[:-1]:
+        at = materialize(stage(spark, at, str(tmp_path)), name)
+        assert at.columns == df.columns, name
+    got = {r.doc_id: r for r in at.collect()}
+    assert set(got) == {0, 1, 3}
+    assert all((r._ROW, r._Quality, r._secrets) == (i, str(i), i * 2) for i, r in got.items())
