@@ -30,11 +30,11 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with an exact match of a benchmark window go."""
-    rows = op3_near_dup.numbered(docs)
+    rows, row = op3_near_dup.numbered(docs)
     with Disposable(spark) as d:
-        found = op2_decontaminate.find_contamination(op3_near_dup.by_row(rows), table(spark, sf_dir, "benchmark"), slop=0)
-        dropped = d.keep(found.where(F.size("hits") > 0).select(F.col("doc_id").alias(op3_near_dup.ROW)), "contaminated")
-    return op3_near_dup.without_rows(rows, dropped)
+        found = op2_decontaminate.find_contamination(op3_near_dup.by_row(rows, row), table(spark, sf_dir, "benchmark"), slop=0)
+        dropped = d.keep(found.where(F.size("hits") > 0).select("doc_id"), "contaminated")
+    return op3_near_dup.without_rows(rows, row, dropped)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
