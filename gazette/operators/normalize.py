@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -12,13 +14,14 @@ def _given(df: DataFrame):
     return lambda name: F.col(name) if name in df.columns else F.lit(None).cast("string")
 
 
-def normalize_bid(df: DataFrame, kind: str = "용역") -> DataFrame:
-    """32 fields of a tender notice; fields that the input lacks count as missing."""
+def normalize_bid(df: DataFrame, kind: str = "용역", keep: Sequence[str] = ()) -> DataFrame:
+    """32 fields of a tender notice, after the columns to keep; fields that the input lacks count as missing."""
     c = _given(df)
     opening = t.first_given(c("opengDt"), c("rbidOpengDt"))
     numbered = lambda stem: [c(f"{stem}{i}") for i in range(1, 11)]
     opened = t.date_part(opening)
     return df.select(
+        *keep,
         F.lit("bid").alias("type"),
         t.notice_key(c("bidNtceNo"), c("bidNtceOrd")).alias("bidNo"),
         F.lit(kind).alias("kind"),
@@ -44,10 +47,11 @@ def normalize_bid(df: DataFrame, kind: str = "용역") -> DataFrame:
     )
 
 
-def normalize_prespec(df: DataFrame, kind: str = "용역") -> DataFrame:
-    """14 fields of a preliminary specification; a blank number is a null key."""
+def normalize_prespec(df: DataFrame, kind: str = "용역", keep: Sequence[str] = ()) -> DataFrame:
+    """14 fields of a preliminary specification, after the columns to keep; a blank number is a null key."""
     c = _given(df)
     return df.select(
+        *keep,
         F.lit("pre").alias("type"),
         F.nullif(t.text(c("bfSpecRgstNo")), F.lit("")).alias("bidNo"),
         t.first_given(t.text(c("bsnsDivNm")), F.lit(kind)).alias("kind"),

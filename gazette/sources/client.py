@@ -5,6 +5,7 @@
 
 from __future__ import annotations
 
+import http.client
 import json
 import time
 from collections.abc import Callable, Iterator
@@ -31,14 +32,16 @@ class Throttle:
 
     pause: float = MIN_PAUSE
     good: int = 0
+    #: The pause is never shorter.
+    least: float = MIN_PAUSE
 
     def succeeded(self) -> None:
         self.good += 1
         if self.good >= SPEED_UP_AFTER:
-            self.pause, self.good = max(MIN_PAUSE, self.pause * 0.8), 0
+            self.pause, self.good = max(self.least, self.pause * 0.8), 0
 
     def limited(self) -> None:
-        self.pause, self.good = min(MAX_PAUSE, max(PAUSE_AFTER_LIMIT, self.pause * 2)), 0
+        self.pause, self.good = max(self.least, min(MAX_PAUSE, max(PAUSE_AFTER_LIMIT, self.pause * 2))), 0
 
 
 @dataclass
@@ -59,7 +62,7 @@ class PagedClient:
             first, self.calls = self.calls == 0, self.calls + 1
             try:
                 code, text = self.fetch(params)
-            except OSError as e:
+            except (OSError, http.client.HTTPException) as e:  # also a body that is cut
                 code, text = 0, str(e)
             if code == 200:
                 self.throttle.succeeded()
@@ -80,6 +83,8 @@ class PagedClient:
             parsed = json.loads(text)
         except ValueError:
             raise ApiError("other", f"not JSON: {text[:200]}") from None
+        if not isinstance(parsed, dict):
+            raise ApiError("other", f"no object: {text[:200]}")
         gateway = (parsed.get("OpenAPI_ServiceResponse") or {}).get("cmmMsgHeader")
         backend = (parsed.get("nkoneps.com.response.ResponseError") or {}).get("header")
         header = backend or (parsed.get("response") or {}).get("header") or {}
