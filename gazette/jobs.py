@@ -6,16 +6,25 @@
 from __future__ import annotations
 
 import argparse
+import os
+import sys
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from gazette.functions.rules import Rules, parse_rules
 from gazette.operators import discovery, normalize, views
 from gazette.operators.upsert import upsert
+from gazette.sources import services, stores
 from gazette.sources.client import ApiError
+from gazette.streaming import ingest
+from gazette.streaming.upserts import UpsertSink
+
+#: The fields of a tender notice's record that are read.
+BID_RECORD = ", ".join(f"{x} string" for x in [*"bidNtceNo bidNtceOrd bidNtceNm dminsttNm ntceInsttNm bidNtceDt bidClseDt opengDt rbidOpengDt bidQlfctRgstDt presmptPrce asignBdgtAmt cntrctCnclsMthdNm sucsfbidMthdNm techAbltEvlRt bidPrceEvlRt reNtceYn intrntnlBidYn arsltCmptYn indstrytyLmtYn rgnLmtYn cmmnSpldmdMethdNm cmmnCntrctYn cmmnSpldmdCorpRgnLmtYn pubPrcrmntClsfcNo pubPrcrmntClsfcNm pubPrcrmntMidClsfcNm pubPrcrmntLrgClsfcNm bidNtceDtlUrl bidNtceUrl".split(), *[f"{stem}{i}" for i in range(1, 11) for stem in ("ntceSpecFileNm", "ntceSpecDocUrl")]])
 
 SUMMARY = "run string, at timestamp, source string, read long, added long, kept long, failure string"
 
@@ -95,50 +104,133 @@ def summary(spark: SparkSession, run: str, at: str, counts: dict[str, dict[str,
     return found.withColumn("at", F.lit(at).cast("timestamp")).select("run", "at", "source", "read", "added", "kept", "failure")
 
 
+def stored_version(spark: SparkSession, versions: str) -> str | None:
+    """The newest version's name; None before the first. A log that can't be read is an error, not an empty store."""
+    try:
+        return spark.read.text(versions).agg(F.max("value")).first()[0]
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+
+
+def _refresh_one(spark: SparkSession, store: str, name: str, path: str, now: str) -> dict[str, int]:
+    # Records as they were fetched: the last one of a key wins, as a correction follows what it corrects.
+    raw = spark.read.json(path).withColumn("_fetched", F.monotonically_increasing_id())
+    bids = normalize.valid(normalize.normalize_bid(raw, keep=["_fetched"])).withColumn("source", F.lit(name))
+    at, versions = f"{store}/{name}", f"{store}/versions/{name}"
+    newest = stored_version(spark, versions)
+    old = spark.read.parquet(f"{at}/{newest}") if newest else spark.createDataFrame([], bids.drop("_fetched").schema).withColumn("first_seen", F.lit(now).cast("timestamp"))
+    version = f"{int(newest or 0) + 1:012d}"
+    counts = upsert_counted(old, bids, ["bidNo"], ["_fetched"], now, lambda df: df.drop("_fetched").write.mode("overwrite").parquet(f"{at}/{version}"))
+    spark.createDataFrame([(version,)], "value string").coalesce(1).write.mode("append").text(versions)
+    return counts
+
+
 def refresh(spark: SparkSession, store: str, incoming: dict[str, str], now: str, run: str = "refresh") -> DataFrame:
     """Overlays stored bids with incoming raw records (JSON lines by source), a new version a run; gives and stores the summary.
 
-    If every source fails, what is stored stays.
+    A source that fails, be it while its records are read or while they are stored, stays as it is; the others go on.
     """
-    raw = load_each({name: (lambda p=path: spark.read.json(p)) for name, path in incoming.items()})
-    counts = {}
-    for name, df in raw.tables.items():
-        bids = normalize.valid(normalize.normalize_bid(df)).withColumn("source", F.lit(name))
-        path, versions = f"{store}/{name}", f"{store}/versions/{name}"
-        last = load_each({"v": lambda v=versions: spark.read.text(v)}).tables.get("v")
-        newest = last.agg(F.max("value")).first()[0] if last is not None else None
-        old = spark.read.parquet(f"{path}/{newest}") if newest else spark.createDataFrame([], bids.schema).withColumn("first_seen", F.lit(now).cast("timestamp"))
-        version = f"{int(newest or 0) + 1:012d}"
-        counts[name] = upsert_counted(old, bids, ["bidNo"], ["date", "deadline", "title"], now, lambda df, p=f"{path}/{version}": df.write.parquet(p))
-        spark.createDataFrame([(version,)], "value string").coalesce(1).write.mode("append").text(versions)
-    found = summary(spark, run, now, counts, raw.failures)
+    counts, failures = {}, {}
+    for name, path in incoming.items():
+        try:
+            counts[name] = _refresh_one(spark, store, name, path, now)
+        except Exception as e:  # noqa: BLE001 - isolation is the point
+            failures[name] = f"{type(e).__name__}: {str(e)[:200]}"
+    found = summary(spark, run, now, counts, failures)
     found.write.mode("append").parquet(f"{store}/runs")
     return found
 
 
+@dataclass(frozen=True)
+class Feed:
+    """What a run collects: lanes of a service (or of recorded responses), the record's DDL, its normalizing, a converted-to column."""
+
+    lanes: tuple[str, ...]
+    options: dict[str, str]
+    record: str
+    normalize: Callable[..., DataFrame]
+    converted: str | None = None
+
+
+@dataclass
+class Collected:
+    runs: dict[str, ingest.Run]
+    published: bool
+    status: int
+
+
+def collect(spark: SparkSession, store: str, feeds: dict[str, Feed], rules: Rules, start: str, as_of: str, now: str, page: tuple[str, str, str] | None = None) -> Collected:
+    """A run from windows to what readers see: each feed's pending windows into its table, the gold notices of all, a new version if they changed.
+
+    A feed that fails keeps what it has, and the run's status is 1; without any stored table nothing is published. ``page``: a template and its
+    two markers; the page is stored with a new version.
+    """
+    runs, parts = {}, []
+    for name, feed in feeds.items():
+        sink = UpsertSink(spark, f"{store}/{name}", ["bidNo"], ingest.SEQUENCE, now)
+        convert = lambda stream, f=feed: ingest.records(stream, f.record, f.normalize)
+        try:
+            runs[name] = ingest.ingest(spark, sink, f"{store}/checkpoints/{name}", convert, lanes=",".join(feed.lanes), start=start, asOf=as_of, **feed.options)
+            found = sink.current()
+            if found is not None:
+                parts.append(views.gold(found, rules, as_of, feed.converted).drop(*ingest.SEQUENCE, "_bucket").withColumn("feed", F.lit(name)))
+        except Exception as e:  # noqa: BLE001 - isolation is the point
+            runs[name] = ingest.Run(error=f"{type(e).__name__}: {str(e)[:500]}")
+    changed = False
+    if parts:
+        gold = views.union_sources(parts)
+        changed = ingest.publish(spark, gold, f"{store}/gold")
+        if changed and page:
+            template, begin, end = page
+            text = stores.embed(template, ingest.published(spark, f"{store}/gold").orderBy(F.desc("date"), "bidNo"), begin, end)
+            spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(f"{store}/page")
+    return Collected(runs, changed, max((r.status for r in runs.values()), default=0))
+
+
 def report(spark: SparkSession, titles: DataFrame, rules: Rules, title: str = "title") -> DataFrame:
     """label, n: how the rules deal with stored titles."""
     return discovery.classify(titles, F.col(title), F.col(title), rules).groupBy("label").agg(F.count("*").alias("n"))
 
 
-def main(argv: list[str] | None = None) -> None:
+def main(argv: list[str] | None = None) -> int:
+    """The exit status: 1 if a source failed."""
     parser = argparse.ArgumentParser(prog="gazette.jobs")
     todo = parser.add_subparsers(dest="job", required=True)
     r = todo.add_parser("refresh")
     r.add_argument("--store", required=True)
     r.add_argument("--incoming", action="append", default=[], metavar="NAME=PATH")
     r.add_argument("--now", required=True)
+    c = todo.add_parser("collect")
+    for name in ("store", "rules", "start", "as-of", "now"):
+        c.add_argument(f"--{name}", required=True)
+    c.add_argument("--path", help="recorded responses, in place of the service (whose key is in NOTICE_KEY)")
+    c.add_argument("--max-calls", type=int)
     q = todo.add_parser("report")
     q.add_argument("--titles", required=True)
     q.add_argument("--rules", required=True)
     given = parser.parse_args(argv)
     spark = SparkSession.builder.getOrCreate()
     if given.job == "refresh":
-        refresh(spark, given.store, dict(x.split("=", 1) for x in given.incoming), given.now).show(truncate=False)
+        found = refresh(spark, given.store, dict(x.split("=", 1) for x in given.incoming), given.now)
+        found.show(truncate=False)
+        return int(not found.where("failure is not null").isEmpty())
+    if given.job == "collect":
+        own = {"path": given.path} if given.path else {"service": "BID", "key": os.environ.get("NOTICE_KEY", "")}
+        own |= {"maxCalls": str(given.max_calls)} if given.max_calls else {}
+        lanes = tuple(f"{operation}|{region}" for operation in services.BID_OPERATIONS.values() for region in services.REGIONS)
+        text = "\n".join(r.value for r in spark.read.text(given.rules).collect())  # a rule file
+        done = collect(spark, given.store, {"bids": Feed(lanes, own, BID_RECORD, normalize.normalize_bid)}, parse_rules(text), given.start, given.as_of, given.now)
+        for name, r in done.runs.items():
+            print(name, r)
+        print("published" if done.published else "unchanged")
+        return done.status
     else:
         text = "\n".join(r.value for r in spark.read.text(given.rules).collect())  # a rule file
         report(spark, spark.read.parquet(given.titles), parse_rules(text)).orderBy(F.desc("n")).show(truncate=False)
+    return 0
 
 
 if __name__ == "__main__":
-    main()
+    sys.exit(main())

@@ -12,6 +12,8 @@ from gazette.operators.upsert import upsert
 
 #: Buckets that a table's keys are dealt to; a batch rewrites those it touches.
 BUCKETS = 64
+#: Every so many batches the log gets a list of all buckets, from which it is read on.
+SUMMED = 20
 
 
 class UpsertSink:
@@ -28,18 +30,30 @@ class UpsertSink:
         at = self.spark._jvm.org.apache.hadoop.fs.Path(path)
         return at, at.getFileSystem(self.spark._jsc.hadoopConfiguration())
 
-    def _newest(self, before: int | None = None) -> dict[int, str]:
-        """The folder of each bucket as of the last batch, or the last before a batch."""
+    def _log(self) -> list[tuple[int, bool, str]]:
+        """(batch, whether it names all buckets, folder) of the versions that were named, oldest first."""
         at, files = self._hadoop(f"{self.path}/versions")
         if not files.exists(at):
+            return []
+        named = [f.getPath() for f in files.listStatus(at) if files.exists(self.spark._jvm.org.apache.hadoop.fs.Path(f.getPath(), "_SUCCESS"))]
+        parts = [(p.getName().split("-"), p.toString()) for p in named]
+        return sorted((int(n[0]), len(n) > 1, path) for n, path in parts)
+
+    def _newest(self, before: int | None = None) -> dict[int, str]:
+        """The folder of each bucket as of the last batch, or the last before a batch."""
+        log = [x for x in self._log() if before is None or x[0] < before]
+        whole = max((i for i, x in enumerate(log) if x[1]), default=0)
+        if not log:
             return {}
-        named = self.spark.read.schema("batch long, bucket int, data string").json(f"{self.path}/versions")
-        if before is not None:
-            named = named.where(F.col("batch") < before)
-        # A repeated batch names its buckets again; either version holds the same rows.
+        named = self.spark.read.schema("batch long, bucket int, data string").json([path for _, _, path in log[whole:]])
         newest = named.groupBy("bucket").agg(F.max(F.struct("batch", "data")).getField("data").alias("data"))
         return {r.bucket: r.data for r in newest.collect()}  # a row a bucket
 
+    def _name(self, names: dict[int, str], batch_id: int, suffix: str = "") -> None:
+        """A repeated batch names its buckets again, in place of the first time."""
+        rows = [(batch_id, b, data) for b, data in sorted(names.items())]
+        self.spark.createDataFrame(rows, "batch long, bucket int, data string").coalesce(1).write.mode("overwrite").json(f"{self.path}/versions/{batch_id:012d}{suffix}")
+
     def _read(self, folders: dict[int, str]) -> DataFrame | None:
         return self.spark.read.parquet(*[folders[b] for b in sorted(folders)]) if folders else None
 
@@ -58,21 +72,32 @@ class UpsertSink:
             old = self.spark.createDataFrame([], batch.schema).withColumn("first_seen", now)
         data = f"{self.path}/data/{batch_id}-{uuid.uuid4().hex[:8]}"
         upsert(old, known, self.key, self.seq, now).withColumn("_bucket", bucket).write.partitionBy("_bucket").parquet(data)
-        names = [(batch_id, b, f"{data}/_bucket={b}") for b in sorted(touched)]
-        self.spark.createDataFrame(names, "batch long, bucket int, data string").coalesce(1).write.mode("append").json(f"{self.path}/versions")
+        self._name({b: f"{data}/_bucket={b}" for b in touched}, batch_id)
+        if batch_id % SUMMED == SUMMED - 1:
+            self._name(self._newest(), batch_id, "-all")
 
     def clean(self) -> int:
-        """Deletes the buckets' versions that are no longer the newest, after readers of old ones are done; gives their number."""
+        """Deletes the buckets' versions that no batch needs, after readers of old ones are done; gives their number.
+
+        The last batch may be repeated, so what it read stays, too. The log before the last list of all buckets goes.
+        """
         at, files = self._hadoop(f"{self.path}/data")
-        if not files.exists(at):
+        log = self._log()
+        if not log or not files.exists(at):
             return 0
-        kept = {d.removeprefix("file://").split("/data/", 1)[1] for d in self._newest().values()}
+        last = log[-1][0]
+        needed = [*self._newest().values(), *self._newest(last).values()]
+        kept = {d.split("/data/", 1)[1] for d in needed}
         gone = 0
         for version in files.listStatus(at):
             for bucket in files.listStatus(version.getPath()):
                 name = f"{version.getPath().getName()}/{bucket.getPath().getName()}"
                 if bucket.isDirectory() and name not in kept:
                     gone += bool(files.delete(bucket.getPath(), True))
+        whole = max((x[0] for x in log if x[1] and x[0] < last), default=0)
+        for batch, _, path in log:
+            if batch < whole:
+                files.delete(self._hadoop(path)[0], True)
         return gone
 
 
