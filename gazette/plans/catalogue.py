@@ -747,3 +747,6 @@ def ext_last_year(spark, sf_dir):
     before = o.select("o_custkey", "o_orderpriority", (F.col("y") + 1).alias("y"), F.col("o_orderkey").alias("b"), F.col("o_totalprice").alias("p"))
     near = o.join(before, ["o_custkey", "o_orderpriority", "y"]).where(F.abs(F.col("o_totalprice") - F.col("p")) <= 0.2 * F.col("o_totalprice"))
     return near.groupBy("o_orderkey").agg(F.min("b").alias("last_year"))
+
+
+from gazette.plans import streams  # noqa: E402, F401 - registers its queries here

@@ -76,8 +76,8 @@ def first_seen(stream: DataFrame, key: Sequence[str], at: str, seq: str, data: s
     ``at``: the records' event time. A record that is later than the watermark (``delay`` behind the newest) is dropped. A key is
     expired once no record has come for ``keep``; if it comes again it is new. Rows without a key, time or sequence are left out.
     """
-    keep_ms = _milliseconds(stream.sparkSession, keep)
-    known = stream.select(*key, F.col(at).alias("at"), F.col(seq).cast("long").alias("seq"), F.col(data).cast("string").alias("data")).dropna(subset=[*key, "at", "seq"])
+    keep_ms = milliseconds(keep)
+    known = stream.select(*key, F.col(at).cast("timestamp").alias("at"), F.col(seq).cast("long").alias("seq"), F.col(data).cast("string").alias("data")).dropna(subset=[*key, "at", "seq"])
     rows = known.withColumn("at_ms", F.unix_millis("at")).withWatermark("at", delay)
     fields = [f"{f.name} {f.dataType.simpleString()}" for f in rows.schema if f.name in key]
     made = rows.groupBy(*key).transformWithStateInPandas(FirstSeen(keep_ms), ", ".join([*fields, "first_ms long, at_ms long, seq long, data string, version int, expired boolean"]), "Append", "EventTime")
@@ -87,12 +87,12 @@ def first_seen(stream: DataFrame, key: Sequence[str], at: str, seq: str, data: s
 class Alerts(StatefulProcessor):
     """One alert a kind and date of a notice, when its day has come; a moved date moves the alert that wasn't sent yet."""
 
-    def __init__(self, lead: dict[str, int]):
-        self.lead = lead
+    def __init__(self, lead: dict[str, int], keep_ms: int):
+        self.lead, self.keep_ms = lead, keep_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.notice = handle.getValueState("notice", "at_ms long, seq long")
+        self.notice = handle.getValueState("notice", "at_ms long, seq long, forget_ms long")
         #: By kind: the date, when it is to be sent, and the date that was sent last.
         self.due = handle.getMapState("due", "kind string", "date_ms long, send_ms long, sent_ms long")
 
@@ -100,18 +100,20 @@ class Alerts(StatefulProcessor):
         return {k[0]: v for k, v in self.due.iterator()}
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        newest = self.notice.get() if self.notice.exists() else None
+        *newest, forget = self.notice.get() if self.notice.exists() else (-1, -1, -1)
         last = None
         for r in _in_order(rows):
-            if newest is None or (r.at_ms, r.seq) > tuple(newest):
+            if (r.at_ms, r.seq) > tuple(newest):
                 newest, last = (int(r.at_ms), int(r.seq)), r
         if last is None:
             return
-        self.notice.update(newest)
         held = self._timers()
-        before = {v[1] for v in held.values() if v[1] >= 0}
+        before = {v[1] for v in held.values() if v[1] >= 0} | ({forget} if forget >= 0 else set())
         now = timerValues.getCurrentWatermarkInMs()
-        after = set()
+        # Once all its dates are long past, nothing of a notice can be sent again.
+        forget = max([newest[0], *[int(getattr(last, kind)) for kind in self.lead if not pd.isna(getattr(last, kind))]]) + self.keep_ms
+        self.notice.update((*newest, forget))
+        after = {forget}
         for kind, lead in self.lead.items():
             date = getattr(last, kind)
             sent = held[kind][2] if kind in held else -1
@@ -137,6 +139,9 @@ class Alerts(StatefulProcessor):
             if send == fired:
                 self.due.updateValue((kind,), (date, -1, date))
                 out.append((*key, kind, date))
+        if self.notice.exists() and self.notice.get()[2] == fired:
+            self.notice.clear()
+            self.due.clear()
         if out:
             yield pd.DataFrame(out)
 
@@ -144,24 +149,21 @@ class Alerts(StatefulProcessor):
         pass
 
 
-def alerts(stream: DataFrame, key: Sequence[str], at: str, seq: str, dates: dict[str, tuple[str, int]], delay: str = "1 day") -> DataFrame:
-    """key, kind, date of each alert, once for a notice's date of a kind. dates: by kind the timestamp column and the days before it.
+def alerts(stream: DataFrame, key: Sequence[str], at: str, seq: str, dates: dict[str, tuple[str, int]], delay: str = "1 day", keep: str = "30 days") -> DataFrame:
+    """key, kind, date of each alert. dates: by kind the timestamp column and the days before it.
 
-    A notice's newest record (by ``at`` and ``seq``) holds. The clock is the watermark: ``delay`` behind the newest record.
+    A notice's newest record (by ``at`` and ``seq``) holds. The clock is the watermark: ``delay`` behind the newest record. A date that was
+    sent last isn't sent again, one that had passed when it came isn't sent at all. A notice is forgotten ``keep`` after its last date.
     """
-    known = stream.select(*key, F.col(at).alias("at"), F.col(seq).cast("long").alias("seq"), *[F.unix_millis(c).alias(kind) for kind, (c, _) in dates.items()]).dropna(subset=[*key, "at", "seq"])
+    known = stream.select(*key, F.col(at).cast("timestamp").alias("at"), F.col(seq).cast("long").alias("seq"), *[F.unix_millis(F.col(c).cast("timestamp")).alias(kind) for kind, (c, _) in dates.items()]).dropna(subset=[*key, "at", "seq"])
     rows = known.withColumn("at_ms", F.unix_millis("at")).withWatermark("at", delay)
     fields = [f"{f.name} {f.dataType.simpleString()}" for f in rows.schema if f.name in key]
     lead = {kind: days * DAY_MS for kind, (_, days) in dates.items()}
-    made = rows.groupBy(*key).transformWithStateInPandas(Alerts(lead), ", ".join([*fields, "kind string, date_ms long"]), "Append", "EventTime")
+    made = rows.groupBy(*key).transformWithStateInPandas(Alerts(lead, milliseconds(keep)), ", ".join([*fields, "kind string, date_ms long"]), "Append", "EventTime")
     return made.select(*key, "kind", F.timestamp_millis("date_ms").alias("date"))
 
 
-def _milliseconds(spark: SparkSession, interval: str) -> int:
-    return int(spark.sql(f"select cast(extract(epoch from interval {interval}) * 1000 as bigint)").first()[0]) if False else _parse(interval)
-
-
-def _parse(interval: str) -> int:
+def milliseconds(interval: str) -> int:
     """Milliseconds of '<n> days|hours|minutes|seconds'."""
     n, unit = interval.split()
     return int(n) * {"day": DAY_MS, "hour": 3_600_000, "minute": 60_000, "second": 1_000}[unit.rstrip("s")]
