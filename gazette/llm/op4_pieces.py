@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gazette.llm.shared import WordCache, chunks, table
+from gazette.llm.shared import AgingCache, chunks, table
 
 SPACE = "▁"
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
@@ -49,7 +49,7 @@ class MergeVocabulary:
         self.pieces = [p.piece for p in proto.pieces]
         self.kinds = [p.type for p in proto.pieces]
         self.id = {p.piece: i for i, p in enumerate(proto.pieces) if p.type == NORMAL}
-        self.score = {p.piece: p.score for p in proto.pieces if p.type == NORMAL}
+        self.cost = {p.piece: -p.score for p in proto.pieces if p.type == NORMAL}
         self.byte_id = {int(p.piece[3:5], 16): i for i, p in enumerate(proto.pieces) if p.type == BYTE}
         self.end_id = self.pieces.index("</s>")
         self.pairs = {x + y for p in self.id for x, y in itertools.pairwise(p)}
@@ -59,17 +59,19 @@ class MergeVocabulary:
 
     def merge(self, text: str) -> list[str]:
         """The agenda over one part."""
-        symbols, score = list(text), self.score
+        symbols, cost = list(text), self.cost
         n = len(symbols)
         before, after = list(range(-1, n - 1)), list(range(1, n + 1))
         agenda: list[tuple[float, int, int, str]] = []
         for i in range(n - 1):
             union = symbols[i] + symbols[i + 1]
-            if union in score:
-                agenda.append((-score[union], i, i + 1, union))
+            if union in cost:
+                agenda.append((cost[union], i, i + 1, union))
         heapq.heapify(agenda)
+        pop, push = heapq.heappop, heapq.heappush
         while agenda:
-            _, left, right, union = heapq.heappop(agenda)
+            _, left, right, union = pop(agenda)
+            # A merged symbol is longer or empty, so a stale pair's union is no longer that of its symbols.
             if not symbols[left] or not symbols[right] or symbols[left] + symbols[right] != union:
                 continue
             symbols[left], symbols[right] = union, ""
@@ -77,13 +79,13 @@ class MergeVocabulary:
             if follow < n:
                 before[follow] = left
                 wider = union + symbols[follow]
-                if wider in score:
-                    heapq.heappush(agenda, (-score[wider], left, follow, wider))
+                if wider in cost:
+                    push(agenda, (cost[wider], left, follow, wider))
             lead = before[left]
             if lead >= 0:
                 wider = symbols[lead] + union
-                if wider in score:
-                    heapq.heappush(agenda, (-score[wider], lead, left, wider))
+                if wider in cost:
+                    push(agenda, (cost[wider], lead, left, wider))
         return [x for x in symbols if x]
 
     def atom_ids(self, atom: str) -> list[int]:
@@ -150,6 +152,11 @@ def part_text(part: bytes) -> str:
     return part.decode() if part[:1] == b"\n" else SPACE + part.decode()
 
 
+def surface_of(part: bytes) -> bytes:
+    """The text that a part stands for."""
+    return part[1:] if part[:1] == b"\0" else part if part[:1] == b"\n" else b" " + part
+
+
 class PieceCodec:
     """Encodes and decodes whole texts; the values of parts are kept."""
 
@@ -164,12 +171,15 @@ class PieceCodec:
         joined = {c for pair in self.vocabulary.pairs for c in pair}
         self.anchor = next(c for c in map(chr, range(10, 0x110000)) if c not in joined and c != "\r")
         self.anchor_ids = self.vocabulary.ids(SPACE + self.anchor)
-        self.cache = WordCache(self._make, 250_000, size=lambda part, made: len(part) + len(made[0]) + len(made[1]))
+        self.cache = AgingCache(self._make, 600_000, size=lambda part, made: len(part) + len(made))
+        #: Parts whose ids don't decode to the part itself.
+        self.odd: dict[bytes, bytes] = {}
 
         if self.library is not None:
             self.check_surfaces()
 
-    def _make(self, parts: list[bytes]) -> list[tuple[bytes, bytes]]:
+    def _make(self, parts: list[bytes]) -> list[bytes]:
+        """Decimal ids of parts. Their decoded text is held against the parts, so that it need not be kept for most."""
         collecting = gc.isenabled()
         gc.disable()  # many small lists and no cycles
         try:
@@ -177,8 +187,11 @@ class PieceCodec:
             found = [self.vocabulary.ids(x) for x in texts]
             if self.library is not None:
                 self.check(texts, found)
+            for part, ids in zip(parts, found, strict=True):
+                if (made := self.vocabulary.surface(ids)) != surface_of(part):
+                    self.odd[part] = made
             decimals = self.vocabulary.decimals.__getitem__
-            return [(b" ".join(map(decimals, x)), self.vocabulary.surface(x)) for x in found]
+            return [b" ".join(map(decimals, x)) for x in found]
         finally:
             if collecting:
                 gc.enable()
@@ -206,13 +219,16 @@ class PieceCodec:
 
     def encode(self, texts: list[bytes]) -> list[tuple[bytes, bytes]]:
         """(decimal ids with the end id, decoded text) of each text."""
-        parts = [parts_of(x.replace(SPACE.encode(), b" ")) for x in texts]
+        plain = [x.replace(SPACE.encode(), b" ") for x in texts]
+        parts = [parts_of(x) for x in plain]
         self.cache.fill(set(itertools.chain.from_iterable(parts)))
-        end = str(self.vocabulary.end_id).encode()
+        end, ids_of = str(self.vocabulary.end_id).encode(), self.cache.__getitem__
         out = []
-        for x in parts:
-            made = list(map(self.cache.__getitem__, x))
-            out.append((b" ".join([*[i for i, _ in made], end]), b"".join([t for _, t in made]).removeprefix(b" ")))
+        for text, x in zip(plain, parts, strict=True):
+            # A text whose parts all decode to themselves decodes to itself, less the dummy prefix's space.
+            if self.odd and not self.odd.keys().isdisjoint(x):
+                text = b"".join([self.odd.get(part, surface_of(part)) for part in x]).removeprefix(b" ")
+            out.append((b" ".join([*map(ids_of, x), end]), text))
         return out
 
 

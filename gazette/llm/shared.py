@@ -127,6 +127,26 @@ class WordCache(dict):
             self._add(list(zip(missing, self.make(missing), strict=True)))
 
 
+class AgingCache(WordCache):
+    """A WordCache of two generations: a full one becomes the old one, from which what is asked for again is taken over."""
+
+    def __init__(self, *args, **named):
+        super().__init__(*args, **named)
+        self.old: dict = {}
+
+    def fill(self, words: set[bytes]) -> None:
+        if 2 * (len(self) + len(words)) > self.limit or 2 * self.held > self.most_bytes:
+            self.old = dict(self)
+            self.clear()
+            self.held = 0
+        missing = [w for w in words if w not in self]
+        known = [(w, self.old[w]) for w in missing if w in self.old]
+        self._add(known)
+        new = [w for w in missing if w not in self.old] if known else missing
+        if new:
+            self._add(list(zip(new, self.make(new), strict=True)))
+
+
 def fresh(df: DataFrame, base: str) -> str:
     """A name that no column of df begins with, in any case."""
     while any(c.lower().startswith(base.lower()) for c in df.columns):
