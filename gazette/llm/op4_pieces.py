@@ -1,9 +1,10 @@
 """SentencePiece encoding and decoding for merge-type (BPE) vocabularies.
 
 The encoder is an agenda: every adjacent pair of symbols whose union is in the
-vocabulary waits in a heap ordered by the union's score, then from the left; the
-best pair is merged, its new neighbours join the agenda, and stale entries are
-skipped. Symbols outside the vocabulary become byte pieces.
+vocabulary waits, ordered by the union's score, then from the left; the
+best pair is merged and its new neighbours join the agenda. Symbols outside the vocabulary
+become byte pieces. The agendas of many short strings go on together in numpy, each as a row of ranks; a long
+string has a heap, whose stale entries are skipped.
 
 A merge can never span two neighbouring characters that are adjacent in no
 piece of the vocabulary, so a text is cut there (at word starts, line ends,
@@ -22,6 +23,7 @@ import operator
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,6 +31,9 @@ from pyspark.sql import functions as F
 from gazette.llm.shared import AgingCache, chunks, table
 
 SPACE = "▁"
+#: Atoms whose agendas go on together, their greatest length, and how many are kept.
+TOGETHER, SHORT, KEPT_ATOMS = 16_384, 48, 200_000
+NO_RANK = np.iinfo(np.int32).max
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 
 
@@ -54,6 +59,7 @@ class MergeVocabulary:
         self.end_id = self.pieces.index("</s>")
         self.pairs = {x + y for p in self.id for x, y in itertools.pairwise(p)}
         self.atoms: dict[str, list[int]] = {}
+        self._merges()
         self.surfaces = [self._surface_of(i) for i in range(len(self.pieces))]
         self.decimals = [str(i).encode() for i in range(len(self.pieces))]
 
@@ -88,30 +94,101 @@ class MergeVocabulary:
                     push(agenda, (cost[wider], lead, left, wider))
         return [x for x in symbols if x]
 
-    def atom_ids(self, atom: str) -> list[int]:
-        out = []
-        for symbol in self.merge(atom):
-            i = self.id.get(symbol)
-            out += [i] if i is not None else [self.byte_id[b] for b in symbol.encode()]
+    def _merges(self) -> None:
+        """Symbols by number, and the table of the pairs whose union is in the vocabulary: keys, unions, and ranks by score."""
+        chars = sorted({c for p in self.id for c in p})
+        self.symbols = [*chars, *[p for p in self.id if len(p) > 1]]
+        number = {x: i for i, x in enumerate(self.symbols)}
+        self.of_char = np.full(0x110000, -1, np.int32)
+        self.of_char[[ord(c) for c in chars]] = np.arange(len(chars))
+        rank = {c: i for i, c in enumerate(sorted(set(self.cost.values())))}  # equal scores are one rank
+        found = [(number[p[:i]] * len(number) + number[p[i:]], number[p], rank[self.cost[p]]) for p in self.id for i in range(1, len(p)) if p[:i] in number and p[i:] in number]
+        found.sort()
+        self.pair_keys, self.unions, self.ranks = (np.array(x, t) for x, t in zip(zip(*found, strict=True), (np.int64, np.int32, np.int32), strict=True))
+        self.symbol_ids = [self._ids_of(x) for x in self.symbols]
+
+    def _ids_of(self, symbol: str) -> list[int]:
+        i = self.id.get(symbol)
+        return [i] if i is not None else [self.byte_id[b] for b in symbol.encode()]
+
+    def _pairs_of(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(rank, union) of pairs of symbols; NO_RANK where there is none."""
+        key = left.astype(np.int64) * len(self.symbols) + right
+        at = np.minimum(np.searchsorted(self.pair_keys, key), len(self.pair_keys) - 1)
+        hit = (self.pair_keys[at] == key) & (left >= 0) & (right >= 0)
+        return np.where(hit, self.ranks[at], NO_RANK), self.unions[at]
+
+    def merge_all(self, atoms: list[str]) -> list[list[int]]:
+        """The symbols of atoms of two characters or more: their agendas go on together, a merge of each atom at a time.
+
+        An atom's agenda is the row of its adjacent pairs' ranks. The least rank, and of equal ones the leftmost, is merged; the pairs
+        around it are ranked anew.
+        """
+        out: list[list[int]] = [[]] * len(atoms)
+        order = sorted(range(len(atoms)), key=lambda i: len(atoms[i]))
+        for begin in range(0, len(order), TOGETHER):
+            which = np.array(order[begin : begin + TOGETHER])
+            some = [atoms[i] for i in which.tolist()]
+            lengths = np.array([len(x) for x in some])
+            width = int(lengths.max())
+            symbols = np.full((len(some), width), -1, np.int32)
+            symbols[np.arange(width)[None, :] < lengths[:, None]] = self.of_char[np.frombuffer("".join(some).encode("utf-32-le"), np.uint32)]
+            ranks, unions = self._pairs_of(symbols[:, :-1], symbols[:, 1:])
+            while len(which):
+                at = ranks.argmin(1)
+                row = np.arange(len(which))
+                going = ranks[row, at] != NO_RANK
+                if not going.all():
+                    done = ~going
+                    for i, x in zip(which[done].tolist(), symbols[done].tolist(), strict=True):
+                        out[i] = x[: x.index(-1)] if x[-1] == -1 else x
+                    which, symbols, ranks, unions, at = (x[going] for x in (which, symbols, ranks, unions, at))
+                    row = np.arange(len(which))
+                    if not len(which):
+                        break
+                symbols[row, at] = unions[row, at]
+                # The right one of the pair goes, and what follows moves up.
+                after = np.arange(symbols.shape[1] - 1)[None, :] > at[:, None]
+                symbols[:, :-1] = np.where(after, symbols[:, 1:], symbols[:, :-1])
+                symbols[:, -1] = -1
+                ranks[:, :-1] = np.where(after[:, :-1], ranks[:, 1:], ranks[:, :-1])
+                unions[:, :-1] = np.where(after[:, :-1], unions[:, 1:], unions[:, :-1])
+                ranks[:, -1] = NO_RANK
+                for first in (at, at - 1):
+                    ok = (first >= 0) & (first < symbols.shape[1] - 1)
+                    r, f = row[ok], first[ok]
+                    ranks[r, f], unions[r, f] = self._pairs_of(symbols[r, f], symbols[r, f + 1])
         return out
 
-    def ids(self, part: str) -> list[int]:
-        """Ids of a part, whose spaces are SPACE already; cut where no piece can reach across."""
-        pairs, atoms = self.pairs, self.atoms
+    def atoms_of(self, part: str) -> list[str]:
+        """A part, whose spaces are SPACE already, cut where no piece can reach across."""
+        pairs = self.pairs
         cuts = [i for i, pair in enumerate(map(operator.add, part, part[1:]), 1) if pair not in pairs]
-        out: list[int] = []
-        for begin, end in zip([0, *cuts], [*cuts, len(part)], strict=True):
-            atom = part[begin:end]
-            found = atoms.get(atom)
-            if found is None:
-                if len(atoms) >= 200_000:
-                    atoms.clear()
-                found = self.atom_ids(atom)
-                if len(atom) <= 64:
-                    atoms[atom] = found
-            out += found
+        return [part[a:b] for a, b in zip([0, *cuts], [*cuts, len(part)], strict=True)] if cuts else [part]
+
+    def ids_of_all(self, parts: list[str]) -> list[list[int]]:
+        """Ids of each part. Atoms are kept; long ones have an agenda of their own."""
+        cut = [self.atoms_of(x) for x in parts]
+        if len(self.atoms) > KEPT_ATOMS:
+            self.atoms.clear()
+        atoms = self.atoms
+        new = [x for x in dict.fromkeys(itertools.chain.from_iterable(cut)) if x not in atoms]
+        ids = self.symbol_ids
+        for x in new:
+            if not 2 <= len(x) <= SHORT:
+                atoms[x] = [i for symbol in self.merge(x) for i in self._ids_of(symbol)]
+        short = [x for x in new if 2 <= len(x) <= SHORT]
+        for x, symbols in zip(short, self.merge_all(short), strict=True):
+            atoms[x] = ids[symbols[0]] if len(symbols) == 1 else [i for y in symbols for i in ids[y]]
+        out = [atoms[x[0]] if len(x) == 1 else [i for atom in x for i in atoms[atom]] for x in cut]
+        for x in new:
+            if len(x) > SHORT:
+                del atoms[x]
         return out
 
+    def ids(self, part: str) -> list[int]:
+        return self.ids_of_all([part])[0]
+
     def _surface_of(self, i: int) -> bytes:
         if self.kinds[i] == BYTE:
             return bytes([int(self.pieces[i][3:5], 16)])
@@ -184,7 +261,7 @@ class PieceCodec:
         gc.disable()  # many small lists and no cycles
         try:
             texts = [part_text(x) for x in parts]
-            found = [self.vocabulary.ids(x) for x in texts]
+            found = self.vocabulary.ids_of_all(texts)
             if self.library is not None:
                 self.check(texts, found)
             for part, ids in zip(parts, found, strict=True):
