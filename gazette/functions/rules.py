@@ -33,6 +33,7 @@ class Rules:
         return Rules({g: tuple(w for w in ws if w != word) for g, ws in self.groups.items()}, tuple(w for w in self.exclude if w != word), self.allow, self.group_allow, self.release, self.codes)
 
 
+# The headings of a rule file, and what marks its explanations.
 _HEADINGS = (("group_allow", r"#\s*수집\s*예외"), ("groups", r"#\s*수집"), ("allow", r"#\s*제외\s*예외"), ("release", r"#\s*제외\s*해제"), ("exclude", r"#\s*제외"), ("codes", r"#\s*조달분류"))
 #: Lines that are explanations, not entries.
 _PROSE = re.compile(r"[.。]$|합니다|됩니다|적용|형식:")

@@ -114,15 +114,12 @@ def called(given: dict) -> Callable[[dict], tuple[int, str]]:
     """``fetch(params)`` of the service or the recorded responses."""
     if given.get("path"):
         return recorded(given["path"].rstrip("/"))
-    key, service = services.credential(given), given["service"]
-    fetchers: dict[str, Callable] = {}
+    api = services.Service.of(given)
 
     def fetch(params: dict) -> tuple[int, str]:
         window = params["window"]
-        operation = window.split("|")[0]
-        if operation not in fetchers:
-            fetchers[operation] = services.fetcher(service, operation, key)
-        return fetchers[operation]({**services.window_params(window), **{k: v for k, v in params.items() if k != "window"}})
+        asked = services.window_params(window) | {k: v for k, v in params.items() if k != "window"}
+        return api.fetch(window.split("|")[0], asked)
 
     return fetch
 

@@ -31,14 +31,14 @@ class PagesReader(DataSourceReader):
         self.path, self.service = given.get("path", "").rstrip("/"), given.get("service")
         if not self.path and not self.service:
             raise ValueError("notice_pages needs the option path or service")
-        self.key = services.credential(given) if self.service else ""
+        self.api = services.Service.of(given) if self.service else None
         self.max_pages, self.max_calls = int(given.get("maxpages", "200")), given.get("maxcalls")
 
     def partitions(self) -> list[WindowPartition]:
         return [WindowPartition(k) for k in self.keys]
 
     def read(self, partition: WindowPartition) -> Iterator[tuple[str, str]]:
-        client = PagedClient(self._recorded(partition.key), sleep=lambda _: None) if self.path else PagedClient(services.fetcher(self.service, partition.key.split("|")[0], self.key))
+        client = PagedClient(self._recorded(partition.key), sleep=lambda _: None) if self.path else PagedClient(self.api.fetcher(partition.key.split("|")[0]))
         client.max_calls = int(self.max_calls) if self.max_calls else None
         for record in client.scan({} if self.path else services.window_params(partition.key), self.max_pages):
             yield partition.key, json.dumps(record, ensure_ascii=False)

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-import re
+import functools
 import urllib.error
 import urllib.parse
 import urllib.request
 from collections.abc import Callable, Mapping
+from dataclasses import dataclass, field
 
 # Addresses and operations of the public notice services, region codes, search words.
 HOSTS = {
@@ -20,26 +21,6 @@ REGIONS = ("00", "11")
 SEARCH_WORDS = ("모집", "신청")
 
 
-def credential(options: Mapping[str, str]) -> str:
-    """The option ``key``; an error, without it in the text, if it is missing or blank."""
-    key = (options.get("key") or "").strip()
-    if not key:
-        raise ValueError("the option key (the service's credential) is missing")
-    return key
-
-
-def encoded(key: str) -> str:
-    """A key that is percent-encoded already stays as it is."""
-    return key if re.search("%[0-9A-Fa-f]{2}", key) else urllib.parse.quote(key, safe="")
-
-
-def request_url(service: str, operation: str, key: str, params: Mapping[str, object]) -> str:
-    """Parameters without a value are left out."""
-    pairs = [f"serviceKey={encoded(key)}", "type=json"]
-    pairs += [f"{k}={urllib.parse.quote(str(v), safe='')}" for k, v in params.items() if v not in (None, "")]
-    return f"{HOSTS.get(service, service)}/{operation}?{'&'.join(pairs)}"
-
-
 def window_params(key: str) -> dict[str, str]:
     """The request parameters of a window ``operation|region|bgn[|end]``; a window without an end is its month."""
     _, region, bgn, *end = key.split("|")
@@ -51,16 +32,36 @@ def window_params(key: str) -> dict[str, str]:
     return {"inqryDiv": "1", "inqryBgnDt": bgn, "inqryEndDt": end[0], "prtcptLmtRgnCd": region}
 
 
-def fetcher(service: str, operation: str, key: str, timeout: float = 30.0) -> Callable[[dict], tuple[int, str]]:
-    """``fetch(params) -> (HTTP status, text)`` for a PagedClient. Errors name the operation, never the address with its key."""
+@dataclass(frozen=True)
+class Service:
+    """A service by its name in HOSTS or its address, and the credential, which no text of an error or of the object shows."""
+
+    name: str
+    key: str = field(repr=False)
+    timeout: float = 30.0
+
+    @classmethod
+    def of(cls, options: Mapping[str, str]) -> Service:
+        """From a data source's options service and key."""
+        if not (options.get("key") or "").strip():
+            raise ValueError("the option key (the service's credential) is missing")
+        return cls(options["service"], options["key"].strip())
+
+    def url(self, operation: str, params: Mapping[str, object]) -> str:
+        # A key may be given as it is or percent-encoded; decoded it is one and the same.
+        asked = {"serviceKey": urllib.parse.unquote(self.key), "type": "json"} | {k: v for k, v in params.items() if v is not None and v != ""}
+        return f"{HOSTS.get(self.name, self.name)}/{operation}?" + urllib.parse.urlencode(asked, quote_via=urllib.parse.quote)
 
-    def fetch(params: dict) -> tuple[int, str]:
+    def fetch(self, operation: str, params: Mapping[str, object]) -> tuple[int, str]:
+        """(HTTP status, text). What can't be reached is an OSError that names the operation."""
         try:
-            with urllib.request.urlopen(request_url(service, operation, key, params), timeout=timeout) as r:  # noqa: S310
+            with urllib.request.urlopen(self.url(operation, params), timeout=self.timeout) as r:  # noqa: S310
                 return r.status, r.read().decode(errors="replace")
         except urllib.error.HTTPError as e:
             return e.code, e.read().decode(errors="replace")
         except urllib.error.URLError as e:
             raise OSError(f"{operation}: {e.reason}") from None
 
-    return fetch
+    def fetcher(self, operation: str) -> Callable[[dict], tuple[int, str]]:
+        """``fetch(params)`` for a PagedClient."""
+        return functools.partial(self.fetch, operation)

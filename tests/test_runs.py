@@ -68,11 +68,12 @@ def test_scan_stops_early_on_known_records():
 
 
 def test_requests():
-    assert services.request_url("BID", "op", "a+b/", {"x": "한 글", "y": "", "z": None, "n": 1}) == services.HOSTS["BID"] + "/op?serviceKey=a%2Bb%2F&type=json&x=%ED%95%9C%20%EA%B8%80&n=1"
-    assert services.encoded("a%2Bb") == "a%2Bb"
+    assert services.Service("BID", "a+b/").url("op", {"x": "한 글", "y": "", "z": None, "n": 1}) == services.HOSTS["BID"] + "/op?serviceKey=a%2Bb%2F&type=json&x=%ED%95%9C%20%EA%B8%80&n=1"
+    assert services.Service("BID", "a%2Bb").url("op", {}) == services.Service("BID", "a+b").url("op", {})
+    assert "a+b" not in repr(services.Service("BID", "a+b"))
     assert services.window_params("op|11|202402010000")["inqryEndDt"] == "202402292359"
     with pytest.raises(ValueError):
-        services.credential({"key": " "})
+        services.Service.of({"service": "BID", "key": " "})
 
 
 def test_fetcher_over_http():
@@ -92,12 +93,12 @@ def test_fetcher_over_http():
     server = HTTPServer(("127.0.0.1", 0), Handler)
     threading.Thread(target=server.serve_forever, daemon=True).start()
     base = f"http://127.0.0.1:{server.server_port}"
-    assert PagedClient(services.fetcher(base, "op", "secret"), sleep=lambda _: None).page({})["totalCount"] == 1
-    assert services.fetcher(base, "gone", "secret")({})[0] == 404
+    assert PagedClient(services.Service(base, "secret").fetcher("op"), sleep=lambda _: None).page({})["totalCount"] == 1
+    assert services.Service(base, "secret").fetcher("gone")({})[0] == 404
     server.shutdown()
     server.server_close()
     with pytest.raises(OSError) as e:
-        services.fetcher(base, "op", "secret", 2)({})
+        services.Service(base, "secret", 2).fetcher("op")({})
     assert "secret" not in str(e.value)
 
 
