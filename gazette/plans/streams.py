@@ -21,8 +21,6 @@ RECORD = "bidNtceNo string, bidNtceNm string, bidNtceDt string, bidClseDt string
 #: Calls of a run that can't reach all windows.
 FEW_CALLS = 40
 
-_REGION = F.when(F.col("o_orderkey") % 2 == 0, "00").otherwise("11")
-
 
 def record_responses(orders: DataFrame, path: str) -> None:
     """The pages of every month and region, as the service would answer, each a row of a table partitioned by window."""
@@ -33,7 +31,8 @@ def record_responses(orders: DataFrame, path: str) -> None:
         F.date_format("o_orderdate", "yyyy-MM-dd HH:mm").alias("bidNtceDt"),
         F.date_format(F.date_add("o_orderdate", 20), "yyyy-MM-dd 18:00").alias("bidClseDt"),
     )
-    rows = orders.where("o_orderdate is not null").select(_REGION.alias("region"), F.date_format(month, "yyyyMMddHHmm").alias("bgn"), "o_orderkey", item.alias("item"))
+    region = F.when(F.col("o_orderkey") % 2 == 0, "00").otherwise("11")
+    rows = orders.where("o_orderdate is not null").select(region.alias("region"), F.date_format(month, "yyyyMMddHHmm").alias("bgn"), "o_orderkey", item.alias("item"))
     # A window's records are numbered as they stream by in their order; its pages hold PAGE_ROWS each.
     at = F.row_number().over(W.partitionBy("region", "bgn").orderBy("o_orderkey")) - 1
     paged = rows.withColumn("at", at).withColumn("page", F.floor(F.col("at") / PAGE_ROWS).cast("int") + 1)
