@@ -749,4 +749,4 @@ def ext_last_year(spark, sf_dir):
     return near.groupBy("o_orderkey").agg(F.min("b").alias("last_year"))
 
 
-from gazette.plans import streams  # noqa: E402, F401 - registers its queries here
+from gazette.plans import relations, streams  # noqa: E402, F401 - register their queries here

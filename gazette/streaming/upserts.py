@@ -60,18 +60,22 @@ class UpsertSink:
     def current(self, before: int | None = None) -> DataFrame | None:
         return self._read(self._newest(before))
 
+    def merged(self, old: DataFrame | None, new: DataFrame) -> DataFrame:
+        """The touched buckets' rows after a batch; there are no old ones at first."""
+        now = F.lit(self.now).cast("timestamp")
+        if old is None:
+            old = self.spark.createDataFrame([], new.schema).withColumn("first_seen", now)
+        return upsert(old, new, self.key, self.seq, now)
+
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         bucket = F.pmod(F.xxhash64(*self.key), F.lit(self.buckets)).cast("int")
         known = batch.dropna(subset=self.key)
         touched = {r[0] for r in known.select(bucket).distinct().collect()}  # a row a bucket
         if not touched:
             return
-        now = F.lit(self.now).cast("timestamp")
         old = self._read({b: d for b, d in self._newest(batch_id).items() if b in touched})
-        if old is None:
-            old = self.spark.createDataFrame([], batch.schema).withColumn("first_seen", now)
         data = f"{self.path}/data/{batch_id}-{uuid.uuid4().hex[:8]}"
-        upsert(old, known, self.key, self.seq, now).withColumn("_bucket", bucket).write.partitionBy("_bucket").parquet(data)
+        self.merged(old, known).withColumn("_bucket", bucket).write.partitionBy("_bucket").parquet(data)
         self._name({b: f"{data}/_bucket={b}" for b in touched}, batch_id)
         if batch_id % SUMMED == SUMMED - 1:
             self._name(self._newest(), batch_id, "-all")
