@@ -8,10 +8,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gazette.functions import automaton
+from gazette.functions.rules import Rules
 from gazette.operators import asof, similar, trends
 from gazette.plans.catalogue import read, register
 from gazette.sources.stores import scratch
 from gazette.streaming import parts
+from gazette.streaming.profiles import ProfileSink, profiles
 from gazette.streaming.upserts import parquet_stream, run_available
 
 TODAY = "1999-06-15"
@@ -143,3 +146,46 @@ def _predicted(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = read(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "ts", "value")
     made = e.where("event_type = 'click'").select("user_id", "ts", "event_id", "value")
     return asof.as_of(e.where("event_type <> 'click'"), made, ["user_id"], "ts", "ts", "event_id", strict=True)
+
+
+_SOLD = "(select l_orderkey, cast(l_suppkey as varchar) as owner, l_returnflag, l_linestatus, l_quantity, cast(l_extendedprice as decimal(38,2)) as amount from lineitem where l_orderkey is not null qualify row_number() over (partition by l_orderkey order by l_shipdate desc nulls last, l_linenumber desc nulls last, l_suppkey desc nulls last, l_extendedprice desc nulls last) = 1)"
+_COUNTS = f"(select owner, d as dimension, v as value, count(*) as n, sum(coalesce(amount, 0)) as amount from (select owner, amount, 'l_returnflag' as d, l_returnflag as v from {_SOLD} union all select owner, amount, 'l_linestatus', l_linestatus from {_SOLD}) where owner is not null and v is not null group by 1, 2, 3)"
+
+
+@register(
+    "profile_suppliers",
+    f"""select owner, dimension, cast(sum(n) as bigint) as n, cast(sum(amount) as double) as amount, count(*) as n_values, arg_min(value, (-n, value)) as mode, max(n) as mode_n, round(sum(n * n) / pow(sum(n), 2), 6) as concentration
+    from {_COUNTS} group by owner, dimension""",
+)
+def profile_suppliers(spark, sf_dir):
+    """Suppliers by the last line of each order: histograms that are kept from changes."""
+    at = scratch(spark)
+    sink = ProfileSink(spark, f"{at}/table", ["l_orderkey"], ["l_shipdate", "l_linenumber", "l_suppkey", "l_extendedprice"], "l_suppkey", "l_extendedprice", ["l_returnflag", "l_linestatus"])
+    query = _stream(spark, sf_dir, "lineitem").writeStream.foreachBatch(sink).option("checkpointLocation", f"{at}/checkpoint").trigger(availableNow=True).start()
+    query.awaitTermination()
+    return profiles(sink.current()).withColumns({"amount": F.col("amount").cast("double"), "concentration": F.round("concentration", 6)})
+
+
+#: How many words and phrases a large rule file has: exclude words, group words, allowed phrases, releases.
+RULE_SIZES = (170, 120, 40, 7)
+
+
+def rules_of_corpus(docs: DataFrame) -> Rules:
+    """A rule file of RULE_SIZES from a corpus' most frequent words and pairs of words (a bounded list of each)."""
+    n_exclude, n_group, n_allow, n_release = RULE_SIZES
+    words = F.filter(F.split("text", r"[ \t\n\x0B\f\r]+"), lambda w: F.length(w) >= 3)
+    frequent = lambda column, n: [r[0] for r in docs.select(F.explode(F.array_distinct(column)).alias("x")).groupBy("x").count().orderBy(F.desc("count"), "x").limit(n).collect()]
+    top = frequent(words, n_exclude + n_group)
+    grouped, exclude = top[:n_group], tuple(top[n_group:])
+    pairs = F.zip_with(words, F.slice(words, F.lit(2), F.greatest(F.size(words) - 1, F.lit(0))), lambda a, b: F.when(a.isin(*exclude) & b.isNotNull(), F.concat_ws(" ", a, b)))
+    allow = tuple(frequent(F.array_compact(pairs), n_allow)) if exclude else ()
+    groups = {f"g{i}": tuple(grouped[i::6]) for i in range(6)}
+    return Rules(groups, exclude, allow, allow[:10], tuple((w, exclude[i :: n_release][:5]) for i, w in enumerate(grouped[-n_release:])))
+
+
+@register("rules_automaton")
+def rules_automaton(spark, sf_dir):
+    """Whole texts by a rule file of the size that is used in practice; tested against the expressions a word."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    found = automaton.classify(docs, F.col("text"), F.col("text"), rules_of_corpus(docs))
+    return found.select("doc_id", F.concat_ws(",", "groups").alias("groups"), F.concat_ws(",", "excluded").alias("excluded"), "label")

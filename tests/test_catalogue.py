@@ -31,7 +31,7 @@ def rows(found, columns):
     return sorted((tuple(plain(r[i]) for i in at) for r in found), key=repr)
 
 
-@pytest.mark.parametrize("name", sorted(catalogue.QUERIES))
+@pytest.mark.parametrize("name", sorted(catalogue.ORACLES))
 def test_as_sql(spark, duck, name):
     out = catalogue.QUERIES[name](spark, SF)
     expected = duck.sql(catalogue.ORACLES[name])
