@@ -98,15 +98,14 @@ def history_timeline(spark, sf_dir):
     p as (select a.doc_id, a.lang, b.doc_id as last_id, len(list_intersect(a.w, b.w)) as s, len(a.w) + len(b.w) as total from s a join s b on a.lang = b.lang
       where a.doc_id % 2 = 1 and b.doc_id % 2 = 0 and 4 * least(len(a.w), len(b.w)) >= 3 * greatest(len(a.w), len(b.w))),
     q as (select *, s / (total - s) as similarity from p where 4 * s >= 3 * (total - s))
-    select doc_id, lang, last_id, round(similarity, 6) as similarity, case when similarity = 1 then 'strong' else 'medium' end as tier from q
+    select doc_id, lang, last_id, similarity, case when similarity = 1 then 'strong' else 'medium' end as tier from q
     qualify row_number() over (partition by doc_id order by similarity desc, last_id) = 1""",
 )
 def similar_last_year(spark, sf_dir):
     """Texts with odd ids (this year's) and the most similar in their language with even ids, by whole texts' words."""
     docs = read(spark, sf_dir, "documents").select("doc_id", "lang", "text")
     words = F.filter(F.split("text", r"[ \t\n\x0B\f\r]+"), lambda w: w != "")
-    found = similar.last_years(docs.where("doc_id % 2 = 1"), docs.where("doc_id % 2 = 0"), ["lang"], words, "doc_id")
-    return found.withColumn("similarity", F.round("similarity", 6))
+    return similar.last_years(docs.where("doc_id % 2 = 1"), docs.where("doc_id % 2 = 0"), ["lang"], words, "doc_id")
 
 
 @register(
@@ -154,7 +153,7 @@ _COUNTS = f"(select owner, d as dimension, v as value, count(*) as n, sum(coales
 
 @register(
     "profile_suppliers",
-    f"""select owner, dimension, cast(sum(n) as bigint) as n, cast(sum(amount) as double) as amount, count(*) as n_values, arg_min(value, (-n, value)) as mode, max(n) as mode_n, round(sum(n * n) / pow(sum(n), 2), 6) as concentration
+    f"""select owner, dimension, cast(sum(n) as bigint) as n, cast(sum(amount) as double) as amount, count(*) as n_values, arg_min(value, (-n, value)) as mode, max(n) as mode_n, cast(sum(n * n) as double) / pow(sum(n), 2) as concentration
     from {_COUNTS} group by owner, dimension""",
 )
 def profile_suppliers(spark, sf_dir):
@@ -163,7 +162,7 @@ def profile_suppliers(spark, sf_dir):
     sink = ProfileSink(spark, f"{at}/table", ["l_orderkey"], ["l_shipdate", "l_linenumber", "l_suppkey", "l_extendedprice"], "l_suppkey", "l_extendedprice", ["l_returnflag", "l_linestatus"])
     query = _stream(spark, sf_dir, "lineitem").writeStream.foreachBatch(sink).option("checkpointLocation", f"{at}/checkpoint").trigger(availableNow=True).start()
     query.awaitTermination()
-    return profiles(sink.current()).withColumns({"amount": F.col("amount").cast("double"), "concentration": F.round("concentration", 6)})
+    return profiles(sink.current()).withColumn("amount", F.col("amount").cast("double"))
 
 
 #: How many words and phrases a large rule file has: exclude words, group words, allowed phrases, releases.
