@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from gazette.functions import automaton
 from gazette.functions.rules import Rules
-from gazette.operators import asof, similar, trends
+from gazette.operators import asof, competitors, similar, trends
 from gazette.plans.catalogue import read, register
 from gazette.sources.stores import scratch
 from gazette.streaming import parts
@@ -165,6 +165,28 @@ def profile_suppliers(spark, sf_dir):
     return profiles(sink.current()).withColumn("amount", F.col("amount").cast("double"))
 
 
+#: Months of three periods, as ``trends.month_number`` counts them: two years and all.
+_PERIODS = {"1996": (1996 * 12, 1996 * 12 + 11), "1999-h1": (1999 * 12, 1999 * 12 + 5), "all": (0, 9999 * 12)}
+
+
+@register(
+    "ext_competitors_by_word",
+    """with a as (select unnest(list_distinct(string_split(p_name, ' '))) as word, l_suppkey as supplier, year(l_shipdate) * 12 + month(l_shipdate) - 1 as m from lineitem join part on l_partkey = p_partkey),
+    p as (select * from (values ('1996', 1996 * 12, 1996 * 12 + 11), ('1999-h1', 1999 * 12, 1999 * 12 + 5), ('all', 0, 9999 * 12)) t(period, first, last)),
+    c as (select period, word, supplier, count(*) as n from a join p on m between first and last where supplier is not null group by all),
+    t as (select *, sum(n) over (partition by period, word) as total, row_number() over (partition by period, word order by n desc, supplier) as rank from c)
+    select period, word, rank, supplier, n, cast(floor(total * 7 / 16384) as bigint) as error from t where rank <= 10""",
+)
+def ext_competitors_by_word(spark, sf_dir):
+    """The ten suppliers with most lines of parts named with a word, by period, all from one stored table of monthly sketches."""
+    words = read(spark, sf_dir, "part").select("p_partkey", F.explode(F.array_distinct(F.split("p_name", " "))).alias("word"))
+    lines = read(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("p_partkey"), F.col("l_suppkey").alias("supplier"), trends.month_number(F.col("l_shipdate")).alias("month"))
+    at = f"{scratch(spark)}/sketches"
+    competitors.month_sketches(lines.join(words, "p_partkey"), ["word"], "month", "supplier").write.parquet(at)
+    found = competitors.top_items(spark.read.parquet(at), ["word"], "month", _PERIODS)
+    return found.select("period", "word", F.col("rank").cast("long").alias("rank"), F.col("item").alias("supplier"), "n", "error")
+
+
 #: How many words and phrases a large rule file has: exclude words, group words, allowed phrases, releases.
 RULE_SIZES = (170, 120, 40, 7)
 
