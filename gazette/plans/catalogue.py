@@ -403,13 +403,28 @@ def gold_prespec_anti(spark, sf_dir):
 # ------------------------------------------------------------- windows, progress
 
 
+_SPAN = "span as (select min(cast(o_orderdate as date)) as lo, max(cast(o_orderdate as date)) as hi from orders), g as (select unnest(generate_series(cast(date_trunc('month', lo) as timestamp), cast(hi as timestamp), interval 1 month)) as m, hi from span)"
+
+
+def _planned(spark, sf_dir):
+    """The windows from the first order's month to the last order's day."""
+    first, last = read(spark, sf_dir, "orders").select(F.min(F.to_date("o_orderdate")), F.max(F.to_date("o_orderdate"))).first()
+    return windows.windows(spark, (last - first).days, str(last))
+
+
+def _orders_by_window(spark, sf_dir):
+    return read(spark, sf_dir, "orders").where("o_orderdate is not null").groupBy(t.stamp(F.trunc("o_orderdate", "month")).alias("bgn"))
+
+
 @register(
     "windows_calendar",
-    f"""select strftime(m, '%Y%m%d') || '0000' as bgn, strftime(least(last_day(m), date '{AS_OF}'), '%Y%m%d') || '2359' as end_at, m + interval 1 month <= date '{AS_OF}' as resumable
-    from generate_series(date_trunc('month', date '{AS_OF}' - 400)::timestamp, timestamp '{AS_OF}', interval 1 month) g(m)""",
+    f"""with {_SPAN}, n as (select date_trunc('month', o_orderdate) as m, count(*) as n from orders where o_orderdate is not null group by 1)
+    select strftime(g.m, '%Y%m%d') || '0000' as bgn, strftime(least(last_day(g.m), hi), '%Y%m%d') || '2359' as end_at, g.m + interval 1 month <= hi as resumable, coalesce(n.n, 0) as n_orders from g left join n on n.m = g.m""",
 )
 def windows_calendar(spark, sf_dir):
-    return windows.windows(spark, 400, AS_OF).withColumnRenamed("end", "end_at")
+    """The windows that cover all orders, and how many each holds."""
+    held = _orders_by_window(spark, sf_dir).agg(F.count("*").alias("n_orders"))
+    return _planned(spark, sf_dir).withColumnRenamed("end", "end_at").join(held, "bgn", "left").fillna(0, ["n_orders"])
 
 
 @register("months_missing", "select strftime(m, '%Y-%m') as ym from generate_series(timestamp '1990-01-01', timestamp '2000-06-01', interval 1 month) g(m) where m not in (select date_trunc('month', o_orderdate) from orders)")
@@ -420,14 +435,13 @@ def months_missing(spark, sf_dir):
 
 @register(
     "windows_pending",
-    f"""select strftime(m, '%Y%m%d') || '0000' as bgn, 'op|00|' || strftime(m, '%Y%m%d') || '0000' as key
-    from generate_series(date_trunc('month', date '{AS_OF}' - 400)::timestamp, timestamp '{AS_OF}', interval 1 month) g(m) where month(m) % 3 <> 0 or m + interval 1 month > date '{AS_OF}'""",
+    f"""with {_SPAN}, done as (select date_trunc('month', o_orderdate) as m from orders where o_orderdate is not null group by 1 having count(*) filter (where o_orderstatus = 'P') * 3 <= count(*))
+    select strftime(g.m, '%Y%m%d') || '0000' as bgn, 'op|00|' || strftime(g.m, '%Y%m%d') || '0000' as key from g where g.m not in (select m from done) or g.m + interval 1 month > hi""",
 )
 def windows_pending(spark, sf_dir):
-    """Quarters' last months are done, but the month that isn't over is always fetched again."""
-    planned = windows.windows(spark, 400, AS_OF)
-    done = planned.where("cast(substring(bgn, 5, 2) as int) % 3 = 0").select("bgn")
-    return windows.pending(planned, done, ["bgn"]).select("bgn", windows.window_key(F.lit("op"), F.lit("00"), F.col("bgn")).alias("key"))
+    """A window is done if at most a third of its orders is in progress, but the month that isn't over is always fetched again."""
+    done = _orders_by_window(spark, sf_dir).agg(F.count(F.when(F.col("o_orderstatus") == "P", 1)).alias("open"), F.count("*").alias("n")).where("open * 3 <= n").select("bgn")
+    return windows.pending(_planned(spark, sf_dir), done, ["bgn"]).select("bgn", windows.window_key(F.lit("op"), F.lit("00"), F.col("bgn")).alias("key"))
 
 
 # --------------------------------------------------------------------- discovery
@@ -526,14 +540,14 @@ def _board(spark: SparkSession, sf_dir: str) -> DataFrame:
     ts = F.date_format("ts", "yyyy-MM-dd")
     due = F.when(F.col("event_id") % 3 != 0, F.date_format(F.date_add("ts", 10), "yyyy-MM-dd")).otherwise("")
     raw = read(spark, sf_dir, "events").select(F.concat_ws(" &amp; ", "event_type", F.col("user_id").cast("string")).alias("title"), F.when(F.col("event_id") % 2 == 0, "").otherwise(F.col("event_type")).alias("dept"), ts.alias("date"), due.alias("deadline"), F.col("event_id").cast("string").alias("url"), "event_type")
-    return views.union_sources([views.unify(raw.where("event_type = 'view'"), "seoul", "서울시"), views.unify(raw.where("event_type = 'click'"), "ydp"), views.unify(raw.where("event_type = 'error'").withColumn("period", F.concat(F.lit("x ~ "), "date")).withColumn("region", F.lit("부산")), "biz")])
+    return views.union_sources([views.unify(raw.where("event_type = 'view'"), "seoul", "서울시"), views.unify(raw.where("event_type = 'click'"), "ydp"), views.unify(raw.where("coalesce(event_type, '') not in ('view', 'click')").withColumn("period", F.concat(F.lit("x ~ "), "date")).withColumn("region", F.lit("부산")), "biz")])
 
 
 _BOARD = """with b as (
-    select case event_type when 'view' then 'seoul' when 'click' then 'ydp' else 'biz' end as src, event_type || ' & ' || user_id as title,
-        case when event_type = 'error' then '부산' || case when event_id % 2 = 0 then '' else ' · error' end when event_id % 2 = 1 then event_type when event_type = 'view' then '서울시' else '' end as org,
-        strftime(ts, '%Y-%m-%d') as date, case when event_type = 'error' then strftime(ts, '%Y-%m-%d') when event_id % 3 <> 0 then strftime(cast(ts as date) + 10, '%Y-%m-%d') end as deadline, cast(event_id as varchar) as url
-    from events where event_type in ('view', 'click', 'error'))
+    select case event_type when 'view' then 'seoul' when 'click' then 'ydp' else 'biz' end as src, concat_ws(' & ', event_type, user_id) as title,
+        case when coalesce(event_type, '') not in ('view', 'click') then '부산' || case when event_id % 2 = 0 then '' else concat(' · ', event_type) end when event_id % 2 = 1 then event_type when event_type = 'view' then '서울시' else '' end as org,
+        strftime(ts, '%Y-%m-%d') as date, case when coalesce(event_type, '') not in ('view', 'click') then strftime(ts, '%Y-%m-%d') when event_id % 3 <> 0 then strftime(cast(ts as date) + 10, '%Y-%m-%d') end as deadline, cast(event_id as varchar) as url
+    from events)
 """
 
 
