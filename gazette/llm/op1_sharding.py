@@ -5,7 +5,8 @@ rows of each slot are summed, and a slot map says which shard holds a slot. Maps
 have versions: the first gives every slot a shard at random, and ``rebalance``
 edits it, moving as few slots as bring the shards' bytes together (law ``bytes``). A
 map has as many entries as there are slots, whatever the data's size, so it
-is planned on the driver, stored as a small table, and looked up as an array.
+is planned on the driver, stored as a small table, and looked up as an array. Rows are
+placed by a version read back from that table.
 
 Rows are never moved to be counted: copies are added up before the shuffle, and
 a row's place in its shard is the slot's place plus its place in the slot.
@@ -20,7 +21,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from gazette.llm.shared import materialize, table
+from gazette.llm.shared import materialize, scratch_path, table
 
 SLOTS = 8192
 SHARDS = 8
@@ -118,14 +119,15 @@ def measured(df: DataFrame, n_slots: int = SLOTS) -> DataFrame:
 
     Size is the text's UTF-8 bytes plus 1 (null: 1), the checksum of a null that of an empty text.
     Equal rows are added up and numbered, and each copy has a hash of its own, so no
-    repeated row fills a slot.
+    repeated row fills a slot. Blocks of copies are dealt to tasks before the copies are made.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = df.select("doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"))
     counted = rows.groupBy("doc_id", "size", "text_crc32").agg(F.count("*").alias("n"))
     block = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n") - 1) / COPIES).cast("long")))
     copy = F.explode(F.sequence(F.col("block") * COPIES, F.least((F.col("block") + 1) * COPIES, F.col("n")) - 1))
-    copies = counted.withColumn("block", block).withColumn("copy", copy).drop("block", "n")
+    blocks = counted.withColumn("block", block).repartition("doc_id", "size", "text_crc32", "block")
+    copies = blocks.withColumn("copy", copy).drop("block", "n")
     return copies.withColumn("virtual_slot", F.pmod(F.xxhash64("doc_id", "text_crc32", "size", "copy"), F.lit(n_slots)).cast("int"))
 
 
@@ -149,21 +151,21 @@ def place(rows: DataFrame, slots: SlotMap, totals: dict[int, tuple[int, int]]) -
 def assign(df: DataFrame, n_shards: int = SHARDS, n_slots: int = SLOTS, map_path: str | None = None) -> DataFrame:
     """doc_id, size, text_crc32, virtual_slot, shard, slot, map_version of every row of df.
 
-    Shard bytes are near equal. With map_path the last stored map is edited and the new version
-    added; without, the map is planned afresh. Nulls count as empty texts, null doc_ids are ids like others,
+    Shard bytes are near equal. The last map stored at map_path (by default a new table in the shared folder), or a first
+    one that is stored there, is edited; the new version is added, and rows are placed by it as it is
+    read back. Nulls count as empty texts, null doc_ids are ids like others,
     equal rows get places of their own, an empty table gives none; other columns are ignored.
     """
     spark = df.sparkSession
     rows = materialize(measured(df, n_slots), "slots")
     totals = slot_totals(rows)
-    old = None
-    if map_path:
-        path = spark._jvm.org.apache.hadoop.fs.Path(map_path)
-        if path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
-            old = load_map(spark, map_path)
-    slots = rebalance(old or first_map(n_slots, n_shards), {k: v[0] for k, v in totals.items()}, n_shards)
-    if map_path:
-        slots.save(spark, map_path)
+    map_path = map_path or scratch_path(spark, "slot_map")
+    path = spark._jvm.org.apache.hadoop.fs.Path(map_path)
+    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+        first_map(n_slots, n_shards).save(spark, map_path)
+    edited = rebalance(load_map(spark, map_path), {k: v[0] for k, v in totals.items()}, n_shards)
+    edited.save(spark, map_path)
+    slots = load_map(spark, map_path, edited.version)
     return place(rows, slots, totals).withColumn("map_version", F.lit(slots.version)).drop("copy")
 
 

@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import functools
 import itertools
+import json
 import re
 import struct
 import uuid
@@ -28,13 +29,13 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from gazette.llm.shared import WordCache, chunks, partitions, scratch_path, table, with_text
+from gazette.llm.shared import WordCache, chunks, materialize, partitions, scratch_path, table, with_text
 
 MAGIC = b"GZDAC001"
 CHUNK_BITS = 8
 RANK_BLOCK = 512
 #: Tokens after which a task closes a file and begins the next (bounds its memory).
-FILE_TOKENS = 2_000_000
+FILE_TOKENS = 8_000_000
 END_ID = 2
 
 
@@ -144,6 +145,27 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b if b in own else next(spare)) for b in range(256)}
 
 
+# What a tokenizer file must say for texts to be cut into parts and pre-tokens here.
+_SECTIONS = {
+    "truncation": None,
+    "normalizer": {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    "pre_tokenizer": {
+        "type": "Sequence",
+        "pretokenizers": [
+            {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+}
+
+
+def cuts_as_known(description: dict) -> bool:
+    """Whether a tokenizer file normalizes and cuts texts as this module does; its special tokens must begin with ``<|`` and hold no space."""
+    special = [x["content"] for x in description.get("added_tokens", []) if not x["normalized"] and not x["lstrip"] and not x["rstrip"]]
+    known = len(special) == len(description.get("added_tokens", [])) and all(x.startswith("<|") and not re.search(r"\s", x) for x in special)
+    return known and all(description.get(k) == v for k, v in _SECTIONS.items()) and not description["model"].get("dropout")
+
+
 @functools.lru_cache(1)
 def word_encoder(tokenizer_path: str) -> Callable[[list[bytes]], list[bytes]]:
     """Encodes texts with the tokenizers library to little-endian unsigned 32-bit ids.
@@ -153,11 +175,14 @@ def word_encoder(tokenizer_path: str) -> Callable[[list[bytes]], list[bytes]]:
     ids are those of its parts between spaces and line ends, and each different part
     is encoded once by a Python worker, over all its tasks. A part of plain characters is in normal form but for its case; its
     pre-tokens go to the library's model one by one. Other parts, and those in which a special token
-    may begin, go through the whole library.
+    may begin, go through the whole library. So do whole texts if the file's tokenizer cuts in another way.
     """
     from tokenizers import Tokenizer
 
     library = Tokenizer.from_file(tokenizer_path)
+    with open(tokenizer_path, encoding="utf-8") as f:
+        if not cuts_as_known(json.load(f)):
+            return lambda texts: [np.array(x.ids, "<u4").tobytes() for x in library.encode_batch_fast([x.decode() for x in texts], add_special_tokens=False)]
     model, letters = library.model, {i: c for i, c in byte_letters().items() if i > 127}
 
     def encode_pretokens(words: list[str]) -> list[bytes]:
@@ -241,9 +266,11 @@ def write_token_files(df: DataFrame, out: str, encoder: Callable[[], Callable[[l
 
 def read_token_files(manifest: DataFrame, out: str) -> DataFrame:
     """doc_id, start (ids of all documents before), n_tokens, ids_crc32, read from the files."""
-    # A row for each file: files hold millions of tokens, so this one ordered sum stays small.
-    before = Window.orderBy("part", "file").rowsBetween(Window.unboundedPreceding, -1)
-    spread = manifest.withColumn("base", F.coalesce(F.sum("n_tokens").over(before), F.lit(0))).repartition(partitions(manifest.sparkSession), "path")
+    # Parts first, a row for each task that wrote; then the files of a part, side by side with those of others.
+    before = lambda w: F.coalesce(F.sum("n_tokens").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    parts = manifest.groupBy("part").agg(F.sum("n_tokens").alias("n_tokens")).select("part", before(Window.orderBy("part")).alias("begin"))
+    placed = manifest.withColumn("inside", before(Window.partitionBy("part").orderBy("file"))).join(parts, "part")
+    spread = placed.select("path", (F.col("begin") + F.col("inside")).alias("base")).repartition(partitions(manifest.sparkSession), "path")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, _ = _store(out)
@@ -269,8 +296,6 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents through the files: see the module text. Empty table: no rows."""
     import public_tokenizers
 
-    from gazette.llm.shared import materialize
-
     model = public_tokenizers.path("word_bpe_49k.json")
     out = scratch_path(spark, "tokens")
     manifest = materialize(write_token_files(table(spark, sf_dir, "documents"), out, lambda: word_encoder(model)), "manifest")

@@ -60,6 +60,21 @@ def test_map_is_versioned_and_edited(spark):
     assert sum(two.shard[i] == 8 for i in moved) > 0.9 * len(moved)
 
 
+def test_rows_lie_where_the_stored_map_says(spark):
+    df = spark.range(3000).selectExpr("id as doc_id", "repeat('y', cast(id % 31 as int)) as text")
+    path = scratch_path(spark, "map")
+    for n_shards, version in ((4, 2), (5, 3)):
+        rows = m.assign(df, n_shards, 64, map_path=path).collect()
+        stored = m.load_map(spark, path, version)
+        assert {(r.map_version, r.shard - stored.shard[r.virtual_slot]) for r in rows} == {(version, 0)}
+    assert m.load_map(spark, path, 1) == m.first_map(64, 4)
+
+
+def test_long_text(spark):
+    texts = [(1, "é" * 3_000_000), (2, "a"), (1, "é" * 3_000_000)]
+    check(m.assign(spark.createDataFrame(texts, "doc_id long, text string"), 2).collect(), texts, 2)
+
+
 def test_a_shard_can_go():
     old = m.first_map(100, 5)
     new = m.rebalance(old, dict.fromkeys(range(100), 10), 4)

@@ -1,3 +1,5 @@
+import functools
+import json
 import random
 import zlib
 
@@ -63,3 +65,38 @@ def test_query_as_the_library(spark):
         ids = [*LIBRARY.encode(text, add_special_tokens=False).ids, 2]
         assert (r.doc_id, r.start, r.n_tokens, r.ids_crc32) == (doc_id, start, len(ids), crc(ids))
         start += len(ids)
+
+
+def test_places_of_many_files(spark):
+    """Starts of files that were closed by size, over parts without any file."""
+    out = scratch_path(spark, "t")
+    manifests = []
+    for part, files in ((0, 3), (2, 1), (11, 5), (12, 2)):
+        df = spark.createDataFrame([(100 * part + i, "a b " * (part + i)) for i in range(files)], "doc_id long, text string")
+        written = m.materialize(m.write_token_files(df, out, lambda: m.word_encoder(PATH), n_partitions=files), "manifest")
+        manifests.append(written.selectExpr(f"{part} as part", "part as file", "path", "n_docs", "n_tokens"))
+    manifest = functools.reduce(lambda a, b: a.unionByName(b), manifests)
+    found = sorted(m.read_token_files(manifest, out).collect())
+    assert [r.start for r in found] == np.concatenate([[0], np.cumsum([r.n_tokens for r in found])])[:-1].tolist()
+    assert len(found) == 11
+
+
+def test_another_tokenizer_goes_through_its_library(tmp_path):
+    other = json.load(open(PATH))
+    assert m.cuts_as_known(other)
+    other["normalizer"]["normalizers"].pop()  # no lower-casing
+    path = str(tmp_path / "other.json")
+    json.dump(other, open(path, "w"))
+    assert not m.cuts_as_known(other)
+    texts = ["The End  of\nÉté", "", "a"]
+    library = Tokenizer.from_file(path)
+    assert [np.frombuffer(x, "<u4").tolist() for x in m.word_encoder(path)([t.encode() for t in texts])] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_very_long_text(spark):
+    text = "lorem ipsum 12 " * 200_000
+    df = spark.createDataFrame([(1, text), (2, "a")], "doc_id long, text string")
+    out = scratch_path(spark, "t")
+    found = sorted(m.read_token_files(m.materialize(m.write_token_files(df, out, lambda: m.word_encoder(PATH)), "manifest"), out).collect())
+    ids = LIBRARY.encode(text, add_special_tokens=False).ids
+    assert (found[0].n_tokens, found[0].ids_crc32, found[1].start) == (len(ids) + 1, crc([*ids, 2]), len(ids) + 1)
