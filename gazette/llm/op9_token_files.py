@@ -29,7 +29,7 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from gazette.llm.shared import WordCache, chunks, materialize, partitions, scratch_path, table, with_text
+from gazette.llm.shared import AgingCache, chunks, materialize, partitions, scratch_path, table, with_text
 
 MAGIC = b"GZDAC001"
 CHUNK_BITS = 8
@@ -134,8 +134,8 @@ class TokenFile:
 
 #: Parts whose normal form and pre-tokens are known without the library: printable ASCII and the letters À to ÿ.
 _PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]*")
-#: The tokenizer's own pre-token pattern over the lower-cased plain characters.
-_PRETOKEN = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[!-/:-@\[-`{-~]+")
+#: The tokenizer's own pre-token pattern over the lower-cased plain characters, and the line ends between parts.
+_PRETOKEN = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[!-/:-@\[-`{-~]+|\n")
 
 
 def byte_letters() -> dict[int, str]:
@@ -186,19 +186,28 @@ def word_encoder(tokenizer_path: str) -> Callable[[list[bytes]], list[bytes]]:
     model, letters = library.model, {i: c for i, c in byte_letters().items() if i > 127}
 
     def encode_pretokens(words: list[str]) -> list[bytes]:
-        spelled = [w if w.isascii() else "".join(letters.get(b) or chr(b) for b in w.encode()) for w in words]
-        return [np.array([t.id for t in model.tokenize(w)], "<u4").tobytes() for w in spelled]
+        spelled = [w if w.isascii() else w.encode().decode("latin-1").translate(letters) for w in words]
+        made = [[t.id for t in model.tokenize(w)] for w in spelled]
+        raw, cut = np.array([*itertools.chain.from_iterable(made)], "<u4").tobytes(), [0, *itertools.accumulate(4 * len(x) for x in made)]
+        return [raw[a:b] for a, b in itertools.pairwise(cut)]
 
-    pretokens = WordCache(encode_pretokens, 150_000)
+    pretokens = AgingCache(encode_pretokens, 300_000)
+    between = b"\xff" * 4  # no id: ids are below 2 ** 24
+
+    def encode_plain(parts: list[str]) -> list[bytes]:
+        """All parts' pre-tokens in one pass, line ends between the parts."""
+        found = _PRETOKEN.findall("\n".join(parts).lower())
+        pretokens.fill({*found} - {"\n"})
+        return b"".join([between if x == "\n" else pretokens[x] for x in found]).split(between)
 
     def encode_parts(parts: list[bytes]) -> list[bytes]:
         texts = [x.decode() for x in parts]
-        split = [_PRETOKEN.findall(x.lower()) if _PLAIN.fullmatch(x) and "<|" not in x else None for x in texts]
-        pretokens.fill(set(itertools.chain.from_iterable(x for x in split if x)))
-        odd = iter(library.encode_batch_fast([t for t, x in zip(texts, split, strict=True) if x is None], add_special_tokens=False))
-        return [np.array(next(odd).ids, "<u4").tobytes() if x is None else b"".join(map(pretokens.__getitem__, x)) for x in split]
+        plain = [_PLAIN.fullmatch(x) is not None and "<|" not in x for x in texts]
+        easy = iter(encode_plain([*itertools.compress(texts, plain)]))
+        odd = iter(library.encode_batch_fast([t for t, p in zip(texts, plain, strict=True) if not p], add_special_tokens=False))
+        return [next(easy) if p else np.array(next(odd).ids, "<u4").tobytes() for p in plain]
 
-    cache = WordCache(encode_parts, 250_000)
+    cache = AgingCache(encode_parts, 600_000)
     lines = bytes.maketrans(b"\n", b" ")
 
     def encode(texts: list[bytes]) -> list[bytes]:

@@ -105,15 +105,15 @@ def with_text(df: DataFrame, *keep: str) -> DataFrame:
 
 
 class WordCache(dict):
-    """Values by word, kept within ``limit`` entries and ``most_bytes`` (by ``size``): what is dropped is just made again."""
+    """Values by word, kept within ``limit`` entries and ``most_bytes`` (by ``size``, or the words' own lengths): what is dropped is just made again."""
 
-    def __init__(self, make, limit: int = 400_000, most_bytes: int = 48_000_000, size=lambda word, value: len(word)):
+    def __init__(self, make, limit: int = 400_000, most_bytes: int = 48_000_000, size=None):
         super().__init__()
         self.make, self.limit, self.most_bytes, self.size, self.held = make, limit, most_bytes, size, 0
 
     def _add(self, values: list[tuple]) -> None:
         self.update(values)
-        self.held += sum(self.size(w, v) for w, v in values)
+        self.held += sum(self.size(w, v) for w, v in values) if self.size else sum(len(w) for w, _ in values)
 
     def fill(self, words: set[bytes]) -> None:
         """Makes the missing values in one call. Past a limit only the values of these words stay."""
