@@ -187,8 +187,11 @@ def word_encoder(tokenizer_path: str) -> Callable[[list[bytes]], list[bytes]]:
 
     def encode_pretokens(words: list[str]) -> list[bytes]:
         spelled = [w if w.isascii() else w.encode().decode("latin-1").translate(letters) for w in words]
-        made = [[t.id for t in model.tokenize(w)] for w in spelled]
-        raw, cut = np.array([*itertools.chain.from_iterable(made)], "<u4").tobytes(), [0, *itertools.accumulate(4 * len(x) for x in made)]
+        ids, cut = [], [0]
+        for w in spelled:
+            ids.extend([t.id for t in model.tokenize(w)])
+            cut.append(4 * len(ids))
+        raw = np.array(ids, "<u4").tobytes()
         return [raw[a:b] for a, b in itertools.pairwise(cut)]
 
     pretokens = AgingCache(encode_pretokens, 300_000)

@@ -111,20 +111,21 @@ class WordCache(dict):
         super().__init__()
         self.make, self.limit, self.most_bytes, self.size, self.held = make, limit, most_bytes, size, 0
 
-    def _add(self, values: list[tuple]) -> None:
-        self.update(values)
-        self.held += sum(self.size(w, v) for w, v in values) if self.size else sum(len(w) for w, _ in values)
+    def _add(self, words: list[bytes], values: list) -> None:
+        self.update(zip(words, values, strict=True))
+        self.held += sum(map(self.size, words, values)) if self.size else sum(map(len, words))
 
     def fill(self, words: set[bytes]) -> None:
         """Makes the missing values in one call. Past a limit only the values of these words stay."""
         if len(self) + len(words) > self.limit or self.held > self.most_bytes:
-            kept = [(w, self[w]) for w in words if w in self]
+            kept = [w for w in words if w in self]
+            values = [self[w] for w in kept]
             self.clear()
             self.held = 0
-            self._add(kept)
-        missing = [w for w in words if w not in self]
+            self._add(kept, values)
+        missing = [*words.difference(self)]
         if missing:
-            self._add(list(zip(missing, self.make(missing), strict=True)))
+            self._add(missing, self.make(missing))
 
 
 class AgingCache(WordCache):
@@ -139,12 +140,12 @@ class AgingCache(WordCache):
             self.old = dict(self)
             self.clear()
             self.held = 0
-        missing = [w for w in words if w not in self]
-        known = [(w, self.old[w]) for w in missing if w in self.old]
-        self._add(known)
-        new = [w for w in missing if w not in self.old] if known else missing
+        missing = words.difference(self)
+        new = missing.difference(self.old)
+        known = [*missing.difference(new)]
+        self._add(known, [self.old[w] for w in known])
         if new:
-            self._add(list(zip(new, self.make(new), strict=True)))
+            self._add([*new], self.make([*new]))
 
 
 def fresh(df: DataFrame, base: str) -> str:
