@@ -37,6 +37,8 @@ RANK_BLOCK = 512
 #: Tokens after which a task closes a file and begins the next (bounds its memory).
 FILE_TOKENS = 8_000_000
 END_ID = 2
+#: Bytes of text that are encoded in one call.
+ENCODED_BYTES = 8_000_000
 
 
 # ---------------------------------------------------------------- the format
@@ -132,10 +134,41 @@ class TokenFile:
 # ------------------------------------------------------- encoding whole texts
 
 
-#: Parts whose normal form and pre-tokens are known without the library: printable ASCII and the letters À to ÿ.
-_PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]*")
-#: The tokenizer's own pre-token pattern over the lower-cased plain characters, and the line ends between parts.
-_PRETOKEN = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[!-/:-@\[-`{-~]+|\n")
+#: Texts whose normal form and pre-tokens are known without the library: spaces, line ends, printable ASCII and the letters À to ÿ,
+#: without the beginning of a special token. In their UTF-8 a byte from 0x80 only follows 0xC3.
+_ASCII, _LETTERS = bytes([10, *range(32, 127)]), re.compile(rb"(?:\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])*")
+_LOWER = bytes(b + 32 if 65 <= b <= 90 or 0x80 <= b <= 0x9E else b for b in range(256))
+_SPACE, _LETTER, _DIGIT, _SIGN = range(4)
+_KIND = bytes(_SPACE if b in b"\n " else _DIGIT if b in b"0123456789" else _LETTER if b > 127 or bytes([b]).isalpha() else _SIGN for b in range(256))
+
+
+def is_plain(text: bytes) -> bool:
+    return b"<|" not in text and _LETTERS.fullmatch(text.translate(None, _ASCII)) is not None
+
+
+def plain_pretokens(texts: list[bytes]) -> tuple[pa.LargeBinaryArray, np.ndarray]:
+    """The lower-cased pre-tokens of plain texts by the tokenizer's own pattern, and how many come before each text and the end.
+
+    A pre-token is a run of letters, a digit or a run of signs; but where one begins at an apostrophe
+    and 's, 't, 're, 've, 'm, 'll or 'd follows, it is just that.
+    """
+    every = b"\n".join([*texts, b"", b""]).translate(_LOWER)
+    kind, low = np.frombuffer(every.translate(_KIND), np.uint8), np.frombuffer(every, np.uint8)
+    begins = kind == _DIGIT
+    begins[0] = True
+    begins[1:] |= kind[1:] != kind[:-1]
+    quotes = np.flatnonzero(begins[:-2] & (low[:-2] == ord("'")))
+    one, two = low[quotes + 1], low[quotes + 2]
+    short = np.isin(one, np.frombuffer(b"stmd", np.uint8))
+    long = np.isin(one.astype(np.uint16) << 8 | two, np.frombuffer(b"revell", ">u2"))
+    begins[quotes[short | long] + 1] = False
+    begins[quotes[short] + 2] = True
+    begins[quotes[long] + 3] = True
+    solid = every.translate(None, b"\n ")
+    at = np.append(np.flatnonzero(begins[kind != _SPACE]), len(solid))
+    pretokens = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(at) - 1, [None, pa.py_buffer(at.astype(np.int64)), pa.py_buffer(solid)])
+    lengths = [len(x) - x.count(b" ") - x.count(b"\n") for x in texts]
+    return pretokens, np.searchsorted(at, np.concatenate([[0], np.cumsum(lengths, dtype=np.int64)]))
 
 
 def byte_letters() -> dict[int, str]:
@@ -170,12 +203,12 @@ def cuts_as_known(description: dict) -> bool:
 def word_encoder(tokenizer_path: str) -> Callable[[list[bytes]], list[bytes]]:
     """Encodes texts with the tokenizers library to little-endian unsigned 32-bit ids.
 
-    This tokenizer never joins anything across a space or a line end (its pre-tokenizer
-    drops white space and neither composition nor lower-casing looks across it), so a text's
-    ids are those of its parts between spaces and line ends, and each different part
-    is encoded once by a Python worker, over all its tasks. A part of plain characters is in normal form but for its case; its
-    pre-tokens go to the library's model one by one. Other parts, and those in which a special token
-    may begin, go through the whole library. So do whole texts if the file's tokenizer cuts in another way.
+    A plain text is in normal form but for its case. It is cut into pre-tokens, and each different one of a call goes to the
+    library's model unless the Python worker, over all its tasks, still has its ids; cutting, telling different ones and
+    placing their ids are numpy's and Arrow's. For other texts: this tokenizer never joins anything across a space or
+    a line end (its pre-tokenizer drops white space and neither composition nor lower-casing looks across it), so a
+    text's ids are those of its parts between them. Plain parts go on as plain texts, the others through the whole
+    library. So do whole texts if the file's tokenizer cuts in another way.
     """
     from tokenizers import Tokenizer
 
@@ -185,8 +218,8 @@ def word_encoder(tokenizer_path: str) -> Callable[[list[bytes]], list[bytes]]:
             return lambda texts: [np.array(x.ids, "<u4").tobytes() for x in library.encode_batch_fast([x.decode() for x in texts], add_special_tokens=False)]
     model, letters = library.model, {i: c for i, c in byte_letters().items() if i > 127}
 
-    def encode_pretokens(words: list[str]) -> list[bytes]:
-        spelled = [w if w.isascii() else w.encode().decode("latin-1").translate(letters) for w in words]
+    def encode_pretokens(words: list[bytes]) -> list[bytes]:
+        spelled = [w.decode() if w.isascii() else w.decode("latin-1").translate(letters) for w in words]
         ids, cut = [], [0]
         for w in spelled:
             ids.extend([t.id for t in model.tokenize(w)])
@@ -194,30 +227,39 @@ def word_encoder(tokenizer_path: str) -> Callable[[list[bytes]], list[bytes]]:
         raw = np.array(ids, "<u4").tobytes()
         return [raw[a:b] for a, b in itertools.pairwise(cut)]
 
-    pretokens = AgingCache(encode_pretokens, 300_000)
-    between = b"\xff" * 4  # no id: ids are below 2 ** 24
+    pretokens = AgingCache(encode_pretokens, 1_000_000)
 
-    def encode_plain(parts: list[str]) -> list[bytes]:
-        """All parts' pre-tokens in one pass, line ends between the parts."""
-        found = _PRETOKEN.findall("\n".join(parts).lower())
-        pretokens.fill({*found} - {"\n"})
-        return b"".join([between if x == "\n" else pretokens[x] for x in found]).split(between)
+    def encode_plain(texts: list[bytes]) -> list[bytes]:
+        found, before = plain_pretokens(texts)
+        coded = found.dictionary_encode()
+        words = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        pretokens.fill(set(words))
+        placed = pa.array([pretokens[w] for w in words], pa.large_binary()).take(coded.indices)
+        _, ends, raw = placed.buffers()
+        raw = memoryview(raw or b"")
+        cut = np.frombuffer(ends, np.int64)[before].tolist() if len(found) else [0] * len(before)
+        return [bytes(raw[a:b]) for a, b in itertools.pairwise(cut)]
 
     def encode_parts(parts: list[bytes]) -> list[bytes]:
-        texts = [x.decode() for x in parts]
-        plain = [_PLAIN.fullmatch(x) is not None and "<|" not in x for x in texts]
-        easy = iter(encode_plain([*itertools.compress(texts, plain)]))
-        odd = iter(library.encode_batch_fast([t for t, p in zip(texts, plain, strict=True) if not p], add_special_tokens=False))
+        plain = [is_plain(x) for x in parts]
+        easy = iter(encode_plain([*itertools.compress(parts, plain)]))
+        odd = iter(library.encode_batch_fast([x.decode() for x, p in zip(parts, plain, strict=True) if not p], add_special_tokens=False))
         return [next(easy) if p else np.array(next(odd).ids, "<u4").tobytes() for p in plain]
 
-    cache = AgingCache(encode_parts, 600_000)
+    cache = AgingCache(encode_parts, 300_000)
     lines = bytes.maketrans(b"\n", b" ")
 
-    def encode(texts: list[bytes]) -> list[bytes]:
+    def encode_odd(texts: list[bytes]) -> list[bytes]:
         parts = [x.translate(lines).split(b" ") for x in texts]
         cache.fill(set(itertools.chain.from_iterable(parts)))
         return [b"".join(map(cache.__getitem__, x)) for x in parts]
 
+    def encode(texts: list[bytes]) -> list[bytes]:
+        plain = [is_plain(x) for x in texts]
+        easy = iter(encode_plain([*itertools.compress(texts, plain)]))
+        odd = iter(encode_odd([x for x, p in zip(texts, plain, strict=True) if not p]))
+        return [next(easy if p else odd) for p in plain]
+
     return encode
 
 
@@ -262,7 +304,7 @@ def write_token_files(df: DataFrame, out: str, encoder: Callable[[], Callable[[l
             store.move(name + ".tmp", name)
             return pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int32()), "file": pa.array([n_file], pa.int32()), "path": [name], "n_docs": [len(docs)], "n_tokens": [int(lengths.sum())]})
 
-        for piece, texts in chunks(batches):
+        for piece, texts in chunks(batches, limit=ENCODED_BYTES):
             made = encode(texts)
             docs += piece.column("doc_id").to_pylist()
             ids += [x + end for x in made]

@@ -44,6 +44,28 @@ def test_random_parts_as_whole_texts():
         assert np.frombuffer(ids, "<u4").tolist() == LIBRARY.encode(text, add_special_tokens=False).ids, text
 
 
+def test_plain_texts_as_whole_texts():
+    """Cut by plain_pretokens: short forms after an apostrophe, digits, runs of signs, ends of texts."""
+    rng = random.Random(10)
+    texts = ["'", "'s", "''s", "'sé 's's'", "I'LL'VE", "5's'r", "don't\n'Tis", "", "\n \n", "É'é", "a<b | c", "'re", "'r", "'l l", "À-ÿ!?12"]
+    texts += ["".join(rng.choices("'stmdrevlLSaÉéß 5.-\n", k=rng.randrange(30))) for _ in range(4000)]
+    assert all(m.is_plain(x.encode()) for x in texts)
+    assert not any(m.is_plain(x.encode()) for x in ["<|", "×", "a÷", "\t", "ā", "µ", "日", "\x7f", "\0"])
+    for text, ids in zip(texts, m.word_encoder(PATH)([x.encode() for x in texts]), strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == LIBRARY.encode(text, add_special_tokens=False).ids, text
+
+
+def test_python_handles_different_pretokens_only(monkeypatch):
+    """10,000 different parts of 100 words and a comma: as many look-ups, not one for each part."""
+    asked, fill = [], m.AgingCache.fill
+    monkeypatch.setattr(m.AgingCache, "fill", lambda self, words: (asked.append(len(words)), fill(self, words)))
+    words = [a + b for a in "abcdefghij" for b in "klmnopqrst"]
+    text = " ".join(f"{x},{y}" for x in words for y in words)
+    (ids,) = m.word_encoder(PATH)([text.encode()])
+    assert np.frombuffer(ids, "<u4").tolist() == LIBRARY.encode(text, add_special_tokens=False).ids
+    assert sum(asked) <= 101
+
+
 def test_ties_nulls_many_files(spark, monkeypatch):
     rows = [(3, "c c"), (1, None), (None, "n"), (2, ""), (3, "c c"), (3, "b")]
     df = spark.createDataFrame([(d, t, 1) for d, t in rows], "doc_id long, text string, n_tokens int")
