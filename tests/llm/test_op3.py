@@ -2,6 +2,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 
 from gazette.llm import op3_near_dup as m
 from gazette.llm.components import components
@@ -89,6 +90,35 @@ def test_recall_at_the_threshold():
     assert missed <= 1
 
 
+def test_filter_of_ids(spark):
+    """All of its own ids pass, hardly any others."""
+    bits = m.id_filter(spark.range(0, 120_000, 2))
+    assert m.in_filter(bits, pa.array(range(0, 120_000, 2))).all()
+    assert m.in_filter(bits, pa.array(range(1, 400_001, 2))).mean() < 0.005
+
+
+def test_wide_tables_are_shuffled_once(spark, monkeypatch):
+    """Keys and exploded shingles meet in one shuffle each, and no set moves to be exploded, where no table is small enough to be sent to all tasks."""
+    plans, store = {}, m.materialize
+
+    def stored(df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return store(df, name)
+
+    monkeypatch.setattr(m, "materialize", stored)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        rows = m.near_duplicates(spark.createDataFrame([(1, "a b c d e f"), (2, "a b c d e f"), (3, "g")], "doc_id long, text string")).collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert sorted(map(tuple, rows)) == [(1, 2, 1, True), (2, 2, 1, False), (3, 1, 3, True)]
+    assert plans["members"].count("Exchange hashpartitioning(key#") == 1
+    # It is read twice there; the second shuffle is the first one, reused.
+    assert plans["mixed_able"].count("Exchange hashpartitioning(shingle#") == 2
+    assert "LeftSemi" not in plans["mixed_able"]
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(30)] + [(100, 50 + i) for i in range(20)] + [(200, 300), (300, 201), (7, 7)]
     found = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
