@@ -15,7 +15,7 @@ sentencepiece library, and any difference stops the job.
 
 from __future__ import annotations
 
-import functools
+import contextlib
 import gc
 import heapq
 import itertools
@@ -28,11 +28,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gazette.llm.shared import AgingCache, chunks, table
+from gazette.llm.shared import AgingCache, Lent, chunks, table
 
 SPACE = "▁"
 #: Atoms whose agendas go on together, their greatest length, and how many are kept.
 TOGETHER, SHORT, KEPT_ATOMS = 16_384, 48, 200_000
+#: Bytes of text that are cut into parts and encoded at a time.
+AT_ONCE = 1_000_000
 NO_RANK = np.iinfo(np.int32).max
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 
@@ -309,10 +311,12 @@ class PieceCodec:
         return out
 
 
-@functools.lru_cache(1)
-def codec_of_worker(model_path: str, check: bool) -> PieceCodec:
-    """One codec for all tasks of a Python worker, so that its parts are made once; PieceCodec bounds them."""
-    return PieceCodec(model_path, check)
+_CODEC = Lent(PieceCodec)
+
+
+def codec_of_worker(model_path: str, check: bool) -> contextlib.AbstractContextManager[PieceCodec]:
+    """One codec for all tasks of a Python worker, so that its parts are made once; PieceCodec bounds them. It goes when no task uses it."""
+    return _CODEC.lend(model_path, check)
 
 
 def encode_decode(df: DataFrame, model_path: str, check: bool = True) -> DataFrame:
@@ -324,17 +328,17 @@ def encode_decode(df: DataFrame, model_path: str, check: bool = True) -> DataFra
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = codec_of_worker(model_path, check)
-        for piece, texts in chunks(batches):
-            made = codec.encode(texts)
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "doc_id": piece.column("doc_id"),
-                    "n_tokens": pa.array([x.count(b" ") + 1 for x, _ in made], pa.int64()),
-                    "ids": pa.array([x for x, _ in made], pa.binary()).cast(pa.string()),
-                    "decoded": pa.array([x for _, x in made], pa.binary()).cast(pa.string()),
-                }
-            )
+        with codec_of_worker(model_path, check) as codec:
+            for piece, texts in chunks(batches, limit=AT_ONCE):
+                made = codec.encode(texts)
+                yield pa.RecordBatch.from_pydict(
+                    {
+                        "doc_id": piece.column("doc_id"),
+                        "n_tokens": pa.array([x.count(b" ") + 1 for x, _ in made], pa.int64()),
+                        "ids": pa.array([x for x, _ in made], pa.binary()).cast(pa.string()),
+                        "decoded": pa.array([x for _, x in made], pa.binary()).cast(pa.string()),
+                    }
+                )
 
     return df.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, n_tokens long, ids string, decoded string")
 

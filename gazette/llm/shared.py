@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import contextlib
 import contextvars
+import ctypes
+import gc
 import os
 import tempfile
+import threading
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -148,6 +152,50 @@ class AgingCache(WordCache):
             self._add([*new], self.make([*new]))
 
 
+class Lent:
+    """One large value of a Python worker: made once, lent to its tasks, and dropped when none has had it for ``seconds``.
+
+    A worker outlives its stage, and what it still holds counts against the executor while other stages run.
+    """
+
+    def __init__(self, make: Callable, seconds: float = 3.0):
+        self.make, self.seconds = make, seconds
+        self.lock, self.users, self.key, self.value = threading.Lock(), 0, None, None
+
+    @contextlib.contextmanager
+    def lend(self, *key) -> Iterator:
+        """make(*key); the last one if the key is the same."""
+        with self.lock:
+            if self.value is None or self.key != key:
+                self.key, self.value = key, self.make(*key)
+            value = self.value
+            self.users += 1
+        try:
+            yield value
+        finally:
+            del value
+            with self.lock:
+                self.users -= 1
+                self.last = timer = threading.Timer(self.seconds, lambda: self._drop(timer))
+            timer.daemon = True
+            timer.start()
+
+    def _drop(self, timer: threading.Timer) -> None:
+        with self.lock:
+            if self.users or self.last is not timer:
+                return
+            self.key = self.value = None
+        give_back()
+
+
+def give_back() -> None:
+    """Gives the process's free memory back to the system, which Python, Arrow and the C library else keep."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
 def fresh(df: DataFrame, base: str) -> str:
     """A name that no column of df begins with, in any case."""
     while any(c.lower().startswith(base.lower()) for c in df.columns):

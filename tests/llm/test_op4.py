@@ -1,11 +1,15 @@
+import gc
 import hashlib
 import random
+import time
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 
 from gazette.llm.op4_pieces import MergeVocabulary, PieceCodec, digests, encode_decode, op4_pieces
+from gazette.llm.shared import Lent
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
 LIBRARY = sentencepiece.SentencePieceProcessor(model_file=MODEL)
@@ -73,3 +77,34 @@ def test_whole_table_as_the_library(spark):
 
 def test_vocabulary_is_cut_only_where_no_piece_reaches():
     assert all("\n" not in p for p in MergeVocabulary(MODEL).id)
+
+
+def test_idle_workers_hold_no_codec(spark):
+    """What a worker keeps after the stage counts against the executor while later stages run."""
+
+    def held(batches):
+        for _ in batches:
+            yield pa.RecordBatch.from_pydict({"n": [sum(type(x).__name__ == "PieceCodec" for x in gc.get_objects())]})
+
+    df = spark.createDataFrame([(1, "a b")], "doc_id long, text string").coalesce(1)
+    assert [x.n_tokens for x in encode_decode(df, MODEL).collect()] == [len(LIBRARY.encode("a b")) + 1]
+    time.sleep(5)
+    assert [x.n for x in df.mapInArrow(held, "n long").collect()] == [0]
+
+
+def test_lent_values_are_kept_while_in_use():
+    made = []
+    lent = Lent(lambda key: made.append(key) or [key], 0.2)
+    with lent.lend("a") as first:
+        pass
+    with lent.lend("a") as again, lent.lend("a") as inner:
+        time.sleep(0.6)
+        assert first is again is inner is lent.value and made == ["a"]
+    with lent.lend("b") as other:
+        assert other == ["b"]
+    with pytest.raises(KeyError), lent.lend("b"):
+        raise KeyError
+    time.sleep(1)
+    assert lent.value is None and made == ["a", "b"]
+    with lent.lend("b") as other:
+        assert other == ["b"] and made == ["a", "b", "b"]
