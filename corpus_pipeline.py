@@ -17,7 +17,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gazette.llm import op2_decontaminate, op3_near_dup, op4_pieces, op7_quality, op10_secrets
-from gazette.llm.shared import Disposable, materialize, table
+from gazette.llm.shared import Disposable, bound_batches, materialize, table
+
+#: Parts whose ids a worker keeps in the last stage. By then an executor's heap may be as large as it gets, so half of what op4 alone keeps.
+KEPT_PARTS = op4_pieces.KEPT_PARTS // 2
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -25,11 +28,13 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bound_batches(spark)
     return op3_near_dup.keep_first(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with an exact match of a benchmark window go."""
+    bound_batches(spark)
     rows, row = op3_near_dup.numbered(docs)
     with Disposable(spark) as d:
         found = op2_decontaminate.find_contamination(op3_near_dup.by_row(rows, row), table(spark, sf_dir, "benchmark"), slop=0)
@@ -38,6 +43,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bound_batches(spark)
     return op10_secrets.redact(docs, op10_secrets.default_forest(spark), op10_secrets.default_dictionary())
 
 
@@ -45,7 +51,8 @@ def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, ids, and the SHA-256 of the ids and of the decoded text."""
     import public_tokenizers
 
-    encoded = op4_pieces.encode_decode(docs, public_tokenizers.path("piece_bpe_32k.model"))
+    bound_batches(spark)
+    encoded = op4_pieces.encode_decode(docs, public_tokenizers.path("piece_bpe_32k.model"), kept=KEPT_PARTS)
     ids = F.split("ids", " ").cast("array<int>")
     return encoded.select("doc_id", "n_tokens", ids.alias("ids"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 

@@ -28,13 +28,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gazette.llm.shared import AgingCache, Lent, chunks, table
+from gazette.llm.shared import AgingCache, Lent, chunks, table, trim
 
 SPACE = "▁"
-#: Atoms whose agendas go on together, their greatest length, and how many are kept.
-TOGETHER, SHORT, KEPT_ATOMS = 16_384, 48, 200_000
-#: Bytes of text that are cut into parts and encoded at a time.
-AT_ONCE = 1_000_000
+#: Atoms whose agendas go on together, and their greatest length.
+TOGETHER, SHORT = 16_384, 48
+#: Parts whose ids a codec keeps; of atoms a third as many. What is dropped is just made again.
+KEPT_PARTS = 600_000
+#: Bytes of text that are cut into parts at a time, and new parts that are encoded at a time.
+AT_ONCE, NEW_AT_ONCE = 1_000_000, 8_192
 NO_RANK = np.iinfo(np.int32).max
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 
@@ -42,7 +44,7 @@ NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 class MergeVocabulary:
     """Pieces, scores and byte pieces of a model; raises ValueError for kinds it can't reproduce."""
 
-    def __init__(self, model_path: str):
+    def __init__(self, model_path: str, kept_atoms: int = KEPT_PARTS // 3):
         from sentencepiece import sentencepiece_model_pb2 as pb
 
         proto = pb.ModelProto()
@@ -61,6 +63,7 @@ class MergeVocabulary:
         self.end_id = self.pieces.index("</s>")
         self.pairs = {x + y for p in self.id for x, y in itertools.pairwise(p)}
         self.atoms: dict[str, list[int]] = {}
+        self.kept_atoms = kept_atoms
         self._merges()
         self.surfaces = [self._surface_of(i) for i in range(len(self.pieces))]
         self.decimals = [str(i).encode() for i in range(len(self.pieces))]
@@ -171,7 +174,7 @@ class MergeVocabulary:
     def ids_of_all(self, parts: list[str]) -> list[list[int]]:
         """Ids of each part. Atoms are kept; long ones have an agenda of their own."""
         cut = [self.atoms_of(x) for x in parts]
-        if len(self.atoms) > KEPT_ATOMS:
+        if len(self.atoms) > self.kept_atoms:
             self.atoms.clear()
         atoms = self.atoms
         new = [x for x in dict.fromkeys(itertools.chain.from_iterable(cut)) if x not in atoms]
@@ -239,8 +242,8 @@ def surface_of(part: bytes) -> bytes:
 class PieceCodec:
     """Encodes and decodes whole texts; the values of parts are kept."""
 
-    def __init__(self, model_path: str, check: bool = True):
-        self.vocabulary = MergeVocabulary(model_path)
+    def __init__(self, model_path: str, check: bool = True, kept: int = KEPT_PARTS):
+        self.vocabulary = MergeVocabulary(model_path, kept // 3)
         self.library = None
         if check:
             import sentencepiece
@@ -250,7 +253,7 @@ class PieceCodec:
         joined = {c for pair in self.vocabulary.pairs for c in pair}
         self.anchor = next(c for c in map(chr, range(10, 0x110000)) if c not in joined and c != "\r")
         self.anchor_ids = self.vocabulary.ids(SPACE + self.anchor)
-        self.cache = AgingCache(self._make, 600_000, size=lambda part, made: len(part) + len(made))
+        self.cache = AgingCache(self._make, kept, size=lambda part, made: len(part) + len(made))
         #: Parts whose ids don't decode to the part itself.
         self.odd: dict[bytes, bytes] = {}
 
@@ -262,18 +265,22 @@ class PieceCodec:
         collecting = gc.isenabled()
         gc.disable()  # many small lists and no cycles
         try:
-            texts = [part_text(x) for x in parts]
-            found = self.vocabulary.ids_of_all(texts)
-            if self.library is not None:
-                self.check(texts, found)
-            for part, ids in zip(parts, found, strict=True):
-                if (made := self.vocabulary.surface(ids)) != surface_of(part):
-                    self.odd[part] = made
-            decimals = self.vocabulary.decimals.__getitem__
-            return [b" ".join(map(decimals, x)) for x in found]
+            return [x for i in range(0, len(parts), NEW_AT_ONCE) for x in self._make_some(parts[i : i + NEW_AT_ONCE])]
         finally:
             if collecting:
                 gc.enable()
+            trim()  # else the C library keeps what the encoding took for a moment
+
+    def _make_some(self, parts: list[bytes]) -> list[bytes]:
+        texts = [part_text(x) for x in parts]
+        found = self.vocabulary.ids_of_all(texts)
+        if self.library is not None:
+            self.check(texts, found)
+        for part, ids in zip(parts, found, strict=True):
+            if (made := self.vocabulary.surface(ids)) != surface_of(part):
+                self.odd[part] = made
+        decimals = self.vocabulary.decimals.__getitem__
+        return [b" ".join(map(decimals, x)) for x in found]
 
     def check(self, texts: list[str], found: list[list[int]]) -> None:
         """Holds ids of parts against the library.
@@ -314,21 +321,21 @@ class PieceCodec:
 _CODEC = Lent(PieceCodec)
 
 
-def codec_of_worker(model_path: str, check: bool) -> contextlib.AbstractContextManager[PieceCodec]:
+def codec_of_worker(model_path: str, check: bool, kept: int = KEPT_PARTS) -> contextlib.AbstractContextManager[PieceCodec]:
     """One codec for all tasks of a Python worker, so that its parts are made once; PieceCodec bounds them. It goes when no task uses it."""
-    return _CODEC.lend(model_path, check)
+    return _CODEC.lend(model_path, check, kept)
 
 
-def encode_decode(df: DataFrame, model_path: str, check: bool = True) -> DataFrame:
+def encode_decode(df: DataFrame, model_path: str, check: bool = True, kept: int = KEPT_PARTS) -> DataFrame:
     """Adds n_tokens long, ids string (decimal, one space between, end id last) and decoded string.
 
     Works on the column ``text`` (null: empty; only the end id) and keeps doc_id. Whole texts of
     any length; equal rows get equal results; an empty table gives none. Other columns are dropped.
-    ``F.split("ids", " ").cast("array<int>")`` gives the ids as an array.
+    ``F.split("ids", " ").cast("array<int>")`` gives the ids as an array. ``kept``: parts whose ids a worker keeps; fewer take less memory and more time.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        with codec_of_worker(model_path, check) as codec:
+        with codec_of_worker(model_path, check, kept) as codec:
             for piece, texts in chunks(batches, limit=AT_ONCE):
                 made = codec.encode(texts)
                 yield pa.RecordBatch.from_pydict(

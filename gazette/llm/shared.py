@@ -19,6 +19,9 @@ from pyspark.sql import functions as F
 
 #: Bytes of text that a task turns into words at a time.
 CHUNK_BYTES = 2_000_000
+#: Bytes, about, of an Arrow batch on its way to a Python worker. A batch is held in the executor's JVM and in the worker,
+#: and by Spark's own bounds (10,000 rows, 64 MB) it often holds all of a task's texts.
+BATCH_BYTES = 4_000_000
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -77,6 +80,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Arrow batches are of about BATCH_BYTES in what the session runs from now on, unless it has a bound of its own. No result depends on it."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key, None) is None:
+        spark.conf.set(key, str(BATCH_BYTES))
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -192,8 +202,13 @@ def give_back() -> None:
     """Gives the process's free memory back to the system, which Python, Arrow and the C library else keep."""
     gc.collect()
     pa.default_memory_pool().release_unused()
-    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
-        trim(0)
+    trim()
+
+
+def trim() -> None:
+    """Gives the C library's free memory back to the system, where the library can."""
+    if found := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        found(0)
 
 
 def fresh(df: DataFrame, base: str) -> str:

@@ -52,6 +52,18 @@ def test_parts_are_kept_within_bytes():
         assert codec.cache.held < 100_000 + 200_000
 
 
+def test_new_parts_are_encoded_a_slice_at_a_time():
+    """What the encoding takes for a moment doesn't grow with a chunk's new parts."""
+    codec = PieceCodec(MODEL)
+    sizes, ids_of_all = [], codec.vocabulary.ids_of_all
+    codec.vocabulary.ids_of_all = lambda parts: sizes.append(len(parts)) or ids_of_all(parts)
+    text = " ".join(f"w{i}" for i in range(30_000))
+    ((ids, decoded),) = codec.encode([text.encode()])
+    assert list(map(int, ids.split())) == LIBRARY.encode(text, add_eos=True)
+    assert decoded.decode() == text
+    assert sum(sizes) == 30_000 and max(sizes) <= 10_000
+
+
 def test_difference_is_raised():
     codec = PieceCodec(MODEL)
     with pytest.raises(ValueError):

@@ -1,9 +1,10 @@
 import random
 
 import corpus_pipeline as p
+import pyarrow as pa
 from gazette.llm import op2_decontaminate as op2
 from gazette.llm.op10_secrets import REDACTED
-from gazette.llm.shared import materialize
+from gazette.llm.shared import BATCH_BYTES, materialize
 
 from tests.llm.test_op3 import brute_force as near_brute_force
 
@@ -73,3 +74,26 @@ def test_extra_columns_stay_whatever_their_names(spark, tmp_path):
     got = {r.doc_id: r for r in at.collect()}
     assert set(got) == {0, 1, 3}
     assert all((r._ROW, r._Quality, r._secrets) == (i, str(i), i * 2) for i, r in got.items())
+
+
+def test_arrow_batches_are_bounded_by_bytes(spark, tmp_path):
+    """A batch is held in the executor's JVM and in its Python worker; a task's texts must not be one batch."""
+
+    def sizes(batches):
+        for x in batches:
+            yield pa.RecordBatch.from_pydict({"n": [x.nbytes], "rows": [x.num_rows]})
+
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    text = " ".join(f"word{i}a" for i in range(1_000))
+    large = spark.range(0, 3_000, 1, 1).selectExpr("id as doc_id", f"'{text}' as text")
+    spark.conf.unset(key)
+    try:
+        p.pieces(spark, spark.createDataFrame([(1, text)], "doc_id long, text string"), str(tmp_path))
+        found = large.mapInArrow(sizes, "n long, rows long").collect()
+        assert sum(x.rows for x in found) == 3_000
+        assert max(x.n for x in found) < 1.5 * BATCH_BYTES
+        spark.conf.set(key, "1m")
+        p.pieces(spark, spark.createDataFrame([(1, text)], "doc_id long, text string"), str(tmp_path))
+        assert spark.conf.get(key) == "1m"
+    finally:
+        spark.conf.unset(key)
