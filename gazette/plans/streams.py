@@ -53,8 +53,8 @@ def _ingested(spark: SparkSession, sf_dir: str, **options: str) -> tuple[UpsertS
     sink = UpsertSink(spark, f"{at}/table", ["bidNo"], ingest.SEQUENCE, "2024-01-01 00:00:00")
     convert = lambda stream: ingest.records(stream, RECORD, normalize.normalize_bid)
     run = ingest.ingest(spark, sink, f"{at}/checkpoint", convert, path=f"{at}/recorded", lanes=",".join(LANES), start=first, asOf=last, windowsPerBatch="400", **options)
-    if run.error:
-        raise RuntimeError(run.error)
+    if run.status:
+        raise RuntimeError(run.error or f"windows that weren't fetched: {run.failed or run.stopped}")
     return sink, f"{at}/checkpoint", first, last
 
 

@@ -3,7 +3,7 @@
 An offset says which windows are done, so a query's checkpoint is the progress table of its ingest. A lane is
 ``operation|region``; a window is a lane's month. The driver admits windows: it asks for a window's first page, which tells how many calls
 the window takes, and puts the window into the next batch if the run's call budget has room for all of them. The batch's tasks fetch the
-other pages, a window each. So
+other pages, PAGES_A_TASK of a window each. A window may have any number of pages. So
 
 - one budget (maxCalls) and one rate (callsPerSecond, shared among the tasks of a batch) hold for the run, not for a window;
 - a window beyond the service's range ends its lane towards the past for ever (``ended`` in the offset);
@@ -13,7 +13,7 @@ other pages, a window each. So
 - a month that isn't over is fetched once a run (asOf) and never done.
 
 Options: lanes (comma-separated), start (yyyy-MM), asOf (yyyy-MM-dd), order (oldest or newest first), windowsPerBatch, maxCalls, callsPerSecond,
-maxPages, resume and run (the last offset, and the run's name, see ``streaming.ingest``), and either path (recorded responses: a table page int, status int, body string
+maxPages (larger windows fail; none by default), resume and run (the last offset, and the run's name, see ``streaming.ingest``), and either path (recorded responses: a table page int, status int, body string
 partitioned by operation, region, bgn) or service with key, as for ``notice_pages``.
 """
 
@@ -31,6 +31,8 @@ from gazette.sources import services
 from gazette.sources.client import PAGE_ROWS, ApiError, PagedClient, Throttle
 
 ROWS = "window string, ordinal long, page int, index int, record string"
+#: Pages of a window that one task fetches.
+PAGES_A_TASK = 100
 #: Failures after which no further window can be had in this run.
 ENDING = {"daily_quota", "budget", "rate"}
 
@@ -92,20 +94,22 @@ def recorded(path: str) -> Callable[[dict], tuple[int, str]]:
     import pyarrow.fs as pafs
 
     store, root = pafs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (pafs.LocalFileSystem(), path)
-    held: dict[str, dict[int, tuple[int, str]]] = {}
+    held: dict[tuple[str, int], dict[int, tuple[int, str]]] = {}
 
     def fetch(params: dict) -> tuple[int, str]:
         operation, region, bgn = params["window"].split("|")
         folder = f"{root}/operation={operation}/region={region}/bgn={bgn}"
-        if folder not in held:
-            held.clear()  # one window at a time
+        lot = (params["pageNo"] - 1) // PAGES_A_TASK
+        if (folder, lot) not in held:
+            held.clear()  # a task's pages at a time
             found = {}
             if store.get_file_info(folder).type != pafs.FileType.NotFound:
-                for r in ds.dataset(folder, filesystem=store, format="parquet").to_table(columns=["page", "status", "body"]).to_pylist():
+                own = (ds.field("page") > lot * PAGES_A_TASK) & (ds.field("page") <= (lot + 1) * PAGES_A_TASK)
+                for r in ds.dataset(folder, filesystem=store, format="parquet").to_table(columns=["page", "status", "body"], filter=own).to_pylist():
                     found[r["page"]] = (r["status"], r["body"])
-            held[folder] = found
+            held[folder, lot] = found
         empty = json.dumps({"response": {"header": {"resultCode": "00"}, "body": {"totalCount": 0, "items": []}}})
-        return held[folder].get(params["pageNo"], (200, empty))
+        return held[folder, lot].get(params["pageNo"], (200, empty))
 
     return fetch
 
@@ -125,11 +129,11 @@ def called(given: dict) -> Callable[[dict], tuple[int, str]]:
 
 
 class WindowOfBatch(InputPartition):
-    """A window's pages; ``first``: the records of its first page where this run's driver has them."""
+    """PAGES_A_TASK of a window's pages, from ``begin`` on; ``first``: the records of its first page where this run's driver has them."""
 
-    def __init__(self, window: str, pages: int, ordinal: int, tasks: int, first: list[dict] | None):
-        super().__init__(window)
-        self.window, self.pages, self.ordinal, self.tasks, self.first = window, pages, ordinal, tasks, first
+    def __init__(self, window: str, pages: int, begin: int, ordinal: int, tasks: int, first: list[dict] | None):
+        super().__init__(f"{window}|{begin}")
+        self.window, self.pages, self.begin, self.ordinal, self.tasks, self.first = window, pages, begin, ordinal, tasks, first
 
 
 class WindowsReader(DataSourceStreamReader):
@@ -144,7 +148,7 @@ class WindowsReader(DataSourceStreamReader):
         self.given = given
         self.plan = Plan([x for x in given["lanes"].split(",") if x], given["start"], given["asof"], order == "newest")
         self.budget = int(given["maxcalls"]) if given.get("maxcalls") else math.inf
-        self.per_batch, self.max_pages = int(given.get("windowsperbatch", "50")), int(given.get("maxpages", "400"))
+        self.per_batch, self.max_pages = int(given.get("windowsperbatch", "50")), int(given["maxpages"]) if given.get("maxpages") else math.inf
         self.at = json.loads(given["resume"]) if given.get("resume") else empty_offset()
         # What stopped or failed in an earlier run is tried again.
         self.run = given.get("run", "")
@@ -227,11 +231,12 @@ class WindowsReader(DataSourceStreamReader):
         if end["batch"] and json.dumps(end, sort_keys=True) not in self.known:
             self.planned += sum(pages for _, pages, _ in end["batch"])
             self.known.add(json.dumps(end, sort_keys=True))
-        return [WindowOfBatch(w, pages, ordinal, len(end["batch"]), self.first.get(w)) for w, pages, ordinal in end["batch"]]
+        dealt = [(w, pages, begin, ordinal) for w, pages, ordinal in end["batch"] for begin in range(1, pages + 1, PAGES_A_TASK)]
+        return [WindowOfBatch(*x, len(dealt), self.first.get(x[0]) if x[2] == 1 else None) for x in dealt]
 
     def read(self, partition: WindowOfBatch) -> Iterator[tuple[str, int, int, int, str]]:
         client = self._new_client(partition.tasks)
-        for page in range(1, partition.pages + 1):
+        for page in range(partition.begin, min(partition.begin + PAGES_A_TASK, partition.pages + 1)):
             if page == 1 and partition.first is not None:
                 found = partition.first
             else:

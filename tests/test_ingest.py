@@ -143,3 +143,19 @@ def test_publish_on_change(spark, tmp_path):
     path = str(tmp_path / "gold")
     assert runs.publish(spark, a, path) and not runs.publish(spark, a.orderBy("t"), path)
     assert runs.publish(spark, a.where("id = 1"), path) and runs.published(spark, path).count() == 1
+
+
+def test_a_window_of_any_size_is_whole(spark, tmp_path):
+    rows = [("op", "00", "202401010000", k + 1, 200, b) for k, b in enumerate(window_pages(40_123, 0))]
+    path = f"{tmp_path}/recorded"
+    spark.createDataFrame(rows, "operation string, region string, bgn string, page int, status int, body string").write.partitionBy("operation", "region", "bgn").parquet(path)
+    run = runs.ingest(spark, sink_at(spark, f"{tmp_path}/table"), f"{tmp_path}/checkpoint", convert, **{**options(path), "lanes": "op|00", "asOf": "2024-02-01"})
+    assert (run.status, run.failed, run.windows, run.calls) == (0, {}, 2, 402 + 1)
+    held = sink_at(spark, f"{tmp_path}/table").current()
+    # Numbers repeat every 700 records; the last of each holds.
+    assert sorted(r.title for r in held.select("title").collect()) == sorted(f"notice {i}" for i in range(40_123 - 700, 40_123))
+    limited = source.WindowsReader({**options(path), "lanes": "op|00", "asOf": "2024-02-01", "maxPages": "400"})
+    assert limited.latestOffset()["failed"] == {"op|00|202401010000": "truncated"}
+    planned = source.WindowsReader({**options(path), "lanes": "op|00", "asOf": "2024-02-01"})
+    dealt = planned.partitions(source.empty_offset(), planned.latestOffset())
+    assert [(p.begin, p.first is None) for p in dealt] == [(1, False), (101, True), (201, True), (301, True), (401, True), (1, False)]
