@@ -178,13 +178,13 @@ _PERIODS = {"1996": (1996 * 12, 1996 * 12 + 11), "1999-h1": (1999 * 12, 1999 * 1
     select period, word, rank, supplier, n, cast(floor(total * 7 / 16384) as bigint) as error from t where rank <= 10""",
 )
 def ext_competitors_by_word(spark, sf_dir):
-    """The ten suppliers with most lines of parts named with a word, by period, all from one stored table of monthly sketches."""
+    """The ten suppliers with most lines of parts named with a word, by period, all from one stored table of monthly counts; ``error`` is what a sketch of that total would be off by at most."""
     words = read(spark, sf_dir, "part").select("p_partkey", F.explode(F.array_distinct(F.split("p_name", " "))).alias("word"))
     lines = read(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("p_partkey"), F.col("l_suppkey").alias("supplier"), trends.month_number(F.col("l_shipdate")).alias("month"))
-    at = f"{scratch(spark)}/sketches"
-    competitors.month_sketches(lines.join(words, "p_partkey"), ["word"], "month", "supplier").write.parquet(at)
-    found = competitors.top_items(spark.read.parquet(at), ["word"], "month", _PERIODS)
-    return found.select("period", "word", F.col("rank").cast("long").alias("rank"), F.col("item").alias("supplier"), "n", "error")
+    at = f"{scratch(spark)}/counts"
+    competitors.month_counts(lines.join(words, "p_partkey"), ["word"], "month", "supplier").write.parquet(at)
+    found = competitors.top_counted(spark.read.parquet(at), ["word"], "month", _PERIODS)
+    return found.select("period", "word", F.col("rank").cast("long").alias("rank"), F.col("item").alias("supplier"), "n", competitors.most_error(F.col("total")).alias("error"))
 
 
 #: How many words and phrases a large rule file has: exclude words, group words, allowed phrases, releases.

@@ -6,6 +6,7 @@ from collections import Counter
 import pytest
 
 from gazette.operators import competitors as m
+from gazette.plans import catalogue, relations  # noqa: F401 - registers the query
 
 TRACKED = 48  # 64 places
 
@@ -64,3 +65,32 @@ def test_texts_as_items(spark):
     df = spark.createDataFrame([("w", 1, "가나", 3), ("w", 1, "나다", 3), ("w", 2, "가나", 3)], "word string, month int, firm string, rank int")
     found = m.top_items(m.month_sketches(df, ["word"], "month", "firm"), ["word"], "month", {"p": (1, 2)}).collect()
     assert [(r["item"], r.n) for r in found] == [("가나", 2), ("나다", 1)]
+
+
+def test_counts_are_exact_for_any_number_of_items(spark, awards):
+    periods = {"all": (0, 23), "late": (17, 23), "none": (90, 99)}
+    rows = [*awards, ("hot", None, 1), ("hot", 1, None), (None, 1, 1)]
+    late, soon = [r for i, r in enumerate(rows) if i % 5 == 0], [r for i, r in enumerate(rows) if i % 5]
+    held = [m.month_counts(frame(spark, x), ["word"], "month", "firm") for x in (soon, late)]
+    found = m.top_counted(held[0].unionByName(held[1]), ["word"], "month", periods).collect()
+    expected = []
+    for period, word in [(p, w) for p in ("all", "late") for w in ("hot", "flat", "few")]:
+        truth = exact(awards, word, *periods[period])
+        top = sorted(truth.items(), key=lambda x: (-x[1], x[0]))[:10]
+        expected += [(period, word, i + 1, firm, n, sum(truth.values())) for i, (firm, n) in enumerate(top)]
+    assert sorted(map(tuple, found)) == sorted(expected)
+    assert m.top_counted(held[0].limit(0), ["word"], "month", periods).count() == 0
+
+
+def test_query_with_more_suppliers_than_a_sketch_holds(spark, tmp_path):
+    import duckdb
+
+    at = str(tmp_path)
+    spark.createDataFrame([(0, "old bolt"), (1, "bolt bolt new"), (2, None)], "p_partkey long, p_name string").write.parquet(f"{at}/part.parquet")
+    lines = spark.range(40_000).selectExpr("id % 3 as l_partkey", "nullif(pmod(xxhash64(id), 6000 + id % 7), 5) as l_suppkey", "timestamp '1995-12-15' + make_dt_interval(cast(id % 1500 as int)) as l_shipdate")
+    lines.write.parquet(f"{at}/lineitem.parquet")
+    found = sorted(tuple(r[c] for c in ("period", "word", "rank", "supplier", "n", "error")) for r in catalogue.QUERIES["ext_competitors_by_word"](spark, at).collect())
+    c = duckdb.connect()
+    for t in ("part", "lineitem"):
+        c.sql(f"create view {t} as select * from '{at}/{t}.parquet/*.parquet'")
+    assert found == sorted(c.sql(catalogue.ORACLES["ext_competitors_by_word"]).fetchall()) and len(found) == 90
