@@ -168,3 +168,31 @@ def test_slopes_as_over_the_dense_table(spark):
         assert r.relative is None if t == "zero" else r.relative == pytest.approx(r.slope / dense.mean())
     with pytest.raises(ValueError):
         trends.word_trends(spark.createDataFrame([(dt.date(2024, 1, 1), 1, ["a"])], "d date, n int, w array<string>"), F.col("w"), "d", "n")
+
+
+def shuffled(spark):
+    """MB written for shuffles so far."""
+    sc = spark.sparkContext._jsc.sc()
+    sc.listenerBus().waitUntilEmpty(30_000)
+    found = sc.statusStore().executorList(True)
+    return sum(found.apply(i).totalShuffleWrite() for i in range(found.size())) / 1e6
+
+
+@pytest.mark.parametrize("block", [1000, 7])
+def test_words_of_near_copies_are_not_shuffled_a_pair(spark, monkeypatch, block):
+    monkeypatch.setattr(similar, "BLOCK", block)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as for tables that are too large for it
+    rng = random.Random(6)
+    word = lambda: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=9))
+    base = [word() for _ in range(1200)]
+    made = lambda at: [(at + i, "o", "x", [word() if rng.random() < 0.05 else w for w in base]) for i in range(50)]
+    this, last = made(0), made(1000)
+    schema = "id long, org string, kind string, words array<string>"
+    a, b = (spark.createDataFrame(x, schema) for x in (this, last))
+    before = shuffled(spark)
+    found = similar.last_years(a, b, ["org", "kind"], F.col("words"), "id").collect()
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    written = shuffled(spark) - before
+    assert sorted((r.id, r.last_id, r.similarity, r.tier) for r in found) == best_titles(this, last) and len(found) == 50
+    # 100 sets of 12 kB; their 2,500 pairs have 60 MB of words.
+    assert 0 < written < (8 if block == 1000 else 24)
